@@ -1,0 +1 @@
+"""Reserved. Every job of the covered system is a batch job, so nothing streams here."""
