@@ -83,7 +83,8 @@ def _text(*parts: str | Column) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-_COUNT, _ROWS = F.col("failed_record_count"), F.col("_rows")
+def _count() -> Column:
+    return F.col("failed_record_count")
 
 
 def _null_required(df: DataFrame, spec: QualitySpec) -> list[_Check]:
@@ -94,10 +95,10 @@ def _null_required(df: DataFrame, spec: QualitySpec) -> list[_Check]:
                 ("MISSING_COLUMN", "HIGH", f"Required column '{c}' is absent from {spec.name}",
                  f"Confirm source query/export includes '{c}'"), ("", ""), always=True, reported="rows"))
             continue
-        share = F.lit(100) * _COUNT / _ROWS
+        share = F.lit(100) * _count() / F.col("_rows")
         out.append(_Check(
             ("NULL_REQUIRED_FIELD", F.when(share > 10, "HIGH").otherwise("MEDIUM"),
-             _text(f"'{c}' has ", _n(_COUNT), " null values (", F.format_number(share, 1), f"% of rows) in {spec.name}"),
+             _text(f"'{c}' has ", _n(_count()), " null values (", F.format_number(share, 1), f"% of rows) in {spec.name}"),
              f"Investigate upstream source for missing '{c}' values"),
             ("NULL_REQUIRED_FIELD", f"'{c}' — no nulls found"),
             count=quoted(c).isNull()))
@@ -118,7 +119,7 @@ def _duplicate_id(df: DataFrame, spec: QualitySpec) -> list[_Check]:
                                f"Ensure '{c}' is exported from the source"), ("", ""), always=True))
             continue
         out.append(_Check(
-            ("DUPLICATE_ID", "HIGH", _text(f"'{c}' contains ", _n(_COUNT), f" duplicate values in {spec.name}"),
+            ("DUPLICATE_ID", "HIGH", _text(f"'{c}' contains ", _n(_count()), f" duplicate values in {spec.name}"),
              f"Deduplicate on '{c}'; investigate source for re-sends or join issues"),
             ("DUPLICATE_ID", f"'{c}' — no duplicates found"),
             scalar=duplicate_row_count(df, c).scalar()))
@@ -138,7 +139,7 @@ def _invalid_date(df: DataFrame, spec: QualitySpec) -> list[_Check]:
                                f"Confirm '{c}' is included in the export"), ("", ""), always=True))
             continue
         out.append(_Check(
-            ("INVALID_DATE", "MEDIUM", _text(f"'{c}' has ", _n(_COUNT), f" unparseable date values in {spec.name}"),
+            ("INVALID_DATE", "MEDIUM", _text(f"'{c}' has ", _n(_count()), f" unparseable date values in {spec.name}"),
              f"Standardise '{c}' to YYYY-MM-DD format at the source"),
             ("INVALID_DATE", f"'{c}' -- all dates parsed successfully"),
             count=_unreadable(c, "timestamp_ntz")))
@@ -153,7 +154,7 @@ def _non_numeric(df: DataFrame, spec: QualitySpec) -> list[_Check]:
                                f"Ensure '{c}' is exported from the source"), ("", ""), always=True))
             continue
         out.append(_Check(
-            ("NON_NUMERIC_AMOUNT", "HIGH", _text(f"'{c}' has ", _n(_COUNT), f" non-numeric values in {spec.name}"),
+            ("NON_NUMERIC_AMOUNT", "HIGH", _text(f"'{c}' has ", _n(_count()), f" non-numeric values in {spec.name}"),
              f"Remove currency symbols, commas, or text from '{c}' before loading"),
             ("NON_NUMERIC_AMOUNT", f"'{c}' -- all values are numeric"),
             count=_unreadable(c, "double")))
@@ -166,7 +167,7 @@ def _missing_account(df: DataFrame, spec: QualitySpec) -> list[_Check]:
                        ("MISSING_ACCOUNT_ID", "account_id column not applicable for this file"), always=False)]
     account = F.col("account_id")
     return [_Check(
-        ("MISSING_ACCOUNT_ID", "HIGH", _text("account_id is null or zero for ", _n(_COUNT), f" rows in {spec.name}"),
+        ("MISSING_ACCOUNT_ID", "HIGH", _text("account_id is null or zero for ", _n(_count()), f" rows in {spec.name}"),
          "Ensure account_id is populated from source before export"),
         ("MISSING_ACCOUNT_ID", "account_id -- no nulls or zero values found"),
         count=account.isNull() | (F.coalesce(account.cast("string").try_cast("double"), F.lit(1.0)) == 0))]
@@ -193,7 +194,7 @@ def _invalid_status(df: DataFrame, spec: QualitySpec) -> list[_Check]:
             continue
         out.append(_Check(
             ("INVALID_STATUS_VALUE", "MEDIUM",
-             _text(f"'{c}' has ", _n(_COUNT), f" unexpected values in {spec.name}. Expected: {allowed}. Found (sample): ",
+             _text(f"'{c}' has ", _n(_count()), f" unexpected values in {spec.name}. Expected: {allowed}. Found (sample): ",
                    _bad_code_sample(df, c, allowed)),
              f"Standardise '{c}' values to the approved code list: {allowed}"),
             ("INVALID_STATUS_VALUE", f"'{c}' -- all values are within approved list"),
@@ -214,7 +215,7 @@ def repeated_row_count(df: DataFrame) -> DataFrame:
 
 def _duplicate_rows(df: DataFrame, spec: QualitySpec) -> list[_Check]:
     return [_Check(
-        ("DUPLICATE_FULL_ROW", "MEDIUM", _text(_n(_COUNT), f" fully duplicate rows detected in {spec.name}"),
+        ("DUPLICATE_FULL_ROW", "MEDIUM", _text(_n(_count()), f" fully duplicate rows detected in {spec.name}"),
          "Deduplicate before loading; investigate whether the file was loaded twice"),
         ("DUPLICATE_FULL_ROW", "No fully duplicate rows found"),
         scalar=repeated_row_count(df).scalar())]
@@ -229,7 +230,7 @@ def _critical_null(df: DataFrame, spec: QualitySpec) -> list[_Check]:
             continue
         out.append(_Check(
             ("NULL_CRITICAL_FIELD", "HIGH",
-             _text(f"Critical field '{c}' is null for ", _n(_COUNT), f" rows in {spec.name}"),
+             _text(f"Critical field '{c}' is null for ", _n(_count()), f" rows in {spec.name}"),
              f"Populate '{c}' before loading -- this field is required for operational use"),
             ("NULL_CRITICAL_FIELD", f"'{c}' -- no nulls found in critical field"),
             count=quoted(c).isNull()))
@@ -272,7 +273,7 @@ def _run(df: DataFrame, spec: QualitySpec, checks: list[_Check], first_id: int)
     def pick(choose) -> Column:
         out = None
         for i, check in enumerate(checks):
-            fails = F.lit(check.always) if check.always is not None else _COUNT > 0
+            fails = F.lit(check.always) if check.always is not None else _count() > 0
             value = F.when(fails, column(choose(check, True))).otherwise(column(choose(check, False)))
             out = F.when(F.col("_check") == i, value) if out is None else out.when(F.col("_check") == i, value)
         return out
