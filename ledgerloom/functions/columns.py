@@ -2,10 +2,10 @@
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-import pyarrow as pa
+from pyspark.sql import types as T
 
 MONEY = "decimal(19,4)"
 SHARES = "decimal(28,8)"
@@ -49,6 +49,30 @@ def literal_frame(spark: SparkSession, rows: list[tuple], columns: list[tuple[st
     return spark.createDataFrame(table).select(*[F.col(n).cast(t).alias(n) for n, t in columns])
 
 
+def as_number(df: DataFrame, name: str) -> Column:
+    """Numeric column as it is, text as a decimal with unreadable values missing."""
+    c = quoted(name)
+    return c if isinstance(df.schema[name].dataType, T.NumericType) else c.cast("string").try_cast(SHARES)
+
+
+def as_day(df: DataFrame, name: str) -> Column:
+    """Date column as it is, a timestamp's day, or text as a date with unreadable values missing."""
+    c, kind = quoted(name), df.schema[name].dataType
+    if isinstance(kind, T.DateType):
+        return c
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return c.cast("date")
+    return c.cast("string").try_cast("date")
+
+
+def as_moment(df: DataFrame, name: str) -> Column:
+    """Timestamp without zone, from text with unreadable values missing."""
+    c, kind = quoted(name), df.schema[name].dataType
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return c.cast("timestamp_ntz")
+    return c.cast("string").try_cast("timestamp_ntz")
+
+
 def null_count(c: Column) -> Column:
     return F.count_if(c.isNull())
 

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
-from ledgerloom.functions.columns import SHARES, first_present, literal_frame, lookup
+from ledgerloom.functions.columns import as_day, as_number, first_present, literal_frame, lookup
 from ledgerloom.functions.sizing import small_side
 from ledgerloom.operators.ids import ordered_id
 from ledgerloom.sources.schemas import ANOMALY_FLAGS
@@ -17,35 +17,30 @@ _BRACKET = 0.0005
 _SEARCH_WHOLE_BELOW = 5_000
 
 
-def _number(name: str) -> Column:
-    return F.col(name).cast("string").try_cast(SHARES)
+def standard_balances(df: DataFrame, date_column: str | None, balance_column: str) -> DataFrame:
+    """Account, day and balance under fixed names, unreadable values as missing."""
+    day = as_day(df, date_column) if date_column else F.lit(None).cast("date")
+    return df.select("account_id", day.alias("day"), as_number(df, balance_column).alias("balance"))
 
 
-def _day(name: str) -> Column:
-    return F.col(name).cast("string").try_cast("date")
+def _flag(kind, severity, reason, action, source: str, *, account="account_id", txn=None, day=None, amount=None,
+          balance=None, threshold=None, rank=None) -> Column:
+    """Flag fields in the common layout, led by a rank within the rule for ordering."""
+    given = {"account_id": account, "transaction_id": txn, "transaction_date": day, "anomaly_type": kind,
+             "amount": amount, "balance": balance, "threshold_value": threshold, "severity": severity,
+             "reason_code": reason, "review_action": action, "source_file": source}
+    names = {"account_id", "transaction_id", "transaction_date", "amount", "balance"}
+    fields = [(F.lit(0) if rank is None else F.col(rank)).alias("_rank")]
+    for f in ANOMALY_FLAGS:
+        x = given[f.name]
+        c = x if isinstance(x, Column) else F.col(x) if f.name in names and x is not None else F.lit(x)
+        fields.append(c.cast(f.dataType).alias(f.name))
+    return F.struct(*fields)
 
 
-def standard_balances(df: DataFrame, date_column: str | None, balance_column: str) -> DataFrame:
-    """Account, day and balance under fixed names, unreadable values as missing."""
-    day = _day(date_column) if date_column else F.lit(None).cast("date")
-    return df.select("account_id", day.alias("day"), _number(balance_column).alias("balance"))
-
-
-def _flags(rows: DataFrame, kind, severity, reason, action, source: str, *, account="account_id", txn=None, day=None,
-           amount=None, balance=None, threshold=None, rank=None) -> DataFrame:
-    """Flag rows in the common layout, plus a rank within the rule for ordering."""
-    kinds = {f.name: f.dataType for f in ANOMALY_FLAGS}
-    text = lambda x: x if isinstance(x, Column) else F.lit(x)
-    col = lambda x, name: (F.lit(None) if x is None else x if isinstance(x, Column) else F.col(x)).cast(kinds[name])
-    return rows.select(
-        (rank if rank is not None else F.lit(0)).alias("_rank"),
-        col(account, "account_id").alias("account_id"), col(txn, "transaction_id").alias("transaction_id"),
-        col(day, "transaction_date").alias("transaction_date"), text(kind).alias("anomaly_type"),
-        F.round(col(amount, "amount"), 2).alias("amount"), F.round(col(balance, "balance"), 2).alias("balance"),
-        F.lit(threshold).cast("double").alias("threshold_value") if not isinstance(threshold, Column)
-        else threshold.cast("double").alias("threshold_value"),
-        text(severity).alias("severity"), text(reason).alias("reason_code"), text(action).alias("review_action"),
-        F.lit(source).alias("source_file"))
+def _flags(rows: DataFrame, *found: Column) -> DataFrame:
+    """Flags of all given rules from one scan; a rule that does not fire is null."""
+    return rows.select(F.inline(F.array_compact(F.array(*found))))
 
 
 def flags(found: DataFrame) -> DataFrame:
@@ -53,20 +48,63 @@ def flags(found: DataFrame) -> DataFrame:
     return found.select(*ANOMALY_FLAGS.fieldNames())
 
 
-def negative_balances(balances: DataFrame, kind: str = "NEGATIVE_CASH_BALANCE", reason: str = "BALANCE_BELOW_ZERO",
-                      action: str = "Investigate funding entries and custodian adjustments",
-                      source: str = "custodian_balances.csv", warn: float = fixed.NEGATIVE_BALANCE_WARN,
-                      high: float = fixed.NEGATIVE_BALANCE_HIGH) -> DataFrame:
+# Fixed values: (type, reason code, review action) of the balance rules, per book.
+_CUSTODIAN = "custodian_balances.csv"
+_LEDGER = "internal_ledger.csv"
+_NEGATIVE = {
+    _CUSTODIAN: ("NEGATIVE_CASH_BALANCE", "BALANCE_BELOW_ZERO", "Investigate funding entries and custodian adjustments"),
+    _LEDGER: ("LEDGER_NEGATIVE_BALANCE", "LEDGER_BALANCE_BELOW_ZERO",
+              "Investigate internal ledger funding or settlement entry"),
+}
+_EXCESS = {
+    _CUSTODIAN: ("EXCESS_CASH_BALANCE", "BALANCE_ABOVE_THRESHOLD",
+                 "Confirm balance is expected; check for uninvested cash or posting errors"),
+    _LEDGER: ("LEDGER_EXCESS_BALANCE", "LEDGER_BALANCE_ABOVE_THRESHOLD", "Confirm internal ledger balance is expected"),
+}
+_MOVEMENT = {
+    _CUSTODIAN: ("LARGE_DAILY_CASH_MOVEMENT", "DAILY_CHANGE_EXCEEDS_THRESHOLD",
+                 "Verify funding wires, settlement activity, and journal entries for this date"),
+    _LEDGER: ("LEDGER_LARGE_DAILY_MOVEMENT", "LEDGER_DAILY_CHANGE_EXCEEDS_THRESHOLD",
+              "Verify internal ledger movement against custodian balance"),
+}
+
+
+# The order in which rules list their flags; both outlier tests are one rule.
+_RULE_ORDER = {
+    "NEGATIVE_CASH_BALANCE": 0, "EXCESS_CASH_BALANCE": 1, "LARGE_DAILY_CASH_MOVEMENT": 2,
+    "STATISTICAL_OUTLIER_Z_SCORE": 3, "STATISTICAL_OUTLIER_IQR": 3, "HIGH_BREAK_CONCENTRATION_ACCOUNT": 4,
+    "HIGH_BREAK_CONCENTRATION_CATEGORY": 5, "HIGH_EXCEPTION_CONCENTRATION": 6, "LARGE_CASH_TRANSACTION": 7,
+    "LEDGER_NEGATIVE_BALANCE": 8, "LEDGER_EXCESS_BALANCE": 9, "LEDGER_LARGE_DAILY_MOVEMENT": 10,
+}
+
+
+def _negative(source: str, warn: float, high: float) -> Column:
+    kind, reason, action = _NEGATIVE[source]
     severity = F.when(F.col("balance") < high, "HIGH").otherwise("MEDIUM")
-    return _flags(balances.where(F.col("balance") < warn), kind, severity, reason, action, source, day="day",
-                  balance="balance", threshold=warn)
+    return F.when(F.col("balance") < warn, _flag(
+        kind, severity, reason, action, source, day="day", balance="balance", threshold=warn))
+
+
+def _excess(source: str, limit: float) -> Column:
+    kind, reason, action = _EXCESS[source]
+    return F.when(F.col("balance") > limit, _flag(
+        kind, "MEDIUM", reason, action, source, day="day", balance="balance", threshold=limit))
+
+
+def negative_balances(balances: DataFrame, source: str = _CUSTODIAN, warn: float = fixed.NEGATIVE_BALANCE_WARN,
+                      high: float = fixed.NEGATIVE_BALANCE_HIGH) -> DataFrame:
+    return _flags(balances.where(F.col("balance") < warn), _negative(source, warn, high))
+
+
+def excess_cash(balances: DataFrame, source: str = _CUSTODIAN, limit: float = fixed.EXCESS_CASH) -> DataFrame:
+    return _flags(balances.where(F.col("balance") > limit), _excess(source, limit))
 
 
-def excess_cash(balances: DataFrame, kind: str = "EXCESS_CASH_BALANCE", reason: str = "BALANCE_ABOVE_THRESHOLD",
-                action: str = "Confirm balance is expected; check for uninvested cash or posting errors",
-                source: str = "custodian_balances.csv", limit: float = fixed.EXCESS_CASH) -> DataFrame:
-    return _flags(balances.where(F.col("balance") > limit), kind, "MEDIUM", reason, action, source, day="day",
-                  balance="balance", threshold=limit)
+def level_flags(balances: DataFrame, source: str = _CUSTODIAN, excess: float = fixed.EXCESS_CASH,
+                warn: float = fixed.NEGATIVE_BALANCE_WARN, high: float = fixed.NEGATIVE_BALANCE_HIGH) -> DataFrame:
+    """Negative and excess balances from one scan."""
+    return _flags(balances.where((F.col("balance") < warn) | (F.col("balance") > excess)),
+                  _negative(source, warn, high), _excess(source, excess))
 
 
 def daily_changes(balances: DataFrame) -> DataFrame:
@@ -77,10 +115,9 @@ def daily_changes(balances: DataFrame) -> DataFrame:
     from a window per account and month, and each month's first row takes the closing balance of
     the month before from a table of one row per account and month.
     """
-    distinct = balances.dropna(subset=["account_id", "day", "balance"]).groupBy("account_id", "day", "balance").agg(
-        F.count("*").alias("copies"))
-    month = F.trunc("day", "MM")
-    rows = distinct.withColumn("month", month)
+    present = balances.where("account_id is not null and day is not null and balance is not null")
+    rows = present.groupBy("account_id", "day", "balance").agg(F.count("*").alias("copies")).withColumn(
+        "month", F.trunc("day", "MM"))
     closing = rows.groupBy("account_id", "month").agg(F.max_by("balance", F.struct("day", "balance")).alias("closing"))
     carried = closing.select(
         "account_id", "month",
@@ -88,25 +125,22 @@ def daily_changes(balances: DataFrame) -> DataFrame:
     in_month = Window.partitionBy("account_id", "month").orderBy("day", "balance")
     return (
         rows.withColumn("previous", F.lag("balance").over(in_month))
-        .join(carried, ["account_id", "month"])
+        .join(carried, ["account_id", "month"], "left")
         .select("account_id", "day", "balance",
-                F.abs(F.col("balance") - F.coalesce("previous", "carried")).cast(SHARES).alias("change"))
+                F.abs(F.col("balance") - F.coalesce("previous", "carried")).alias("change"))
     )
 
 
-def large_movements(balances: DataFrame, kind: str = "LARGE_DAILY_CASH_MOVEMENT",
-                    reason: str = "DAILY_CHANGE_EXCEEDS_THRESHOLD",
-                    action: str = "Verify funding wires, settlement activity, and journal entries for this date",
-                    source: str = "custodian_balances.csv", limit: float = fixed.LARGE_MOVEMENT) -> DataFrame:
+def large_movements(balances: DataFrame, source: str = _CUSTODIAN, limit: float = fixed.LARGE_MOVEMENT) -> DataFrame:
     if limit < 0:
         raise ValueError("a movement limit cannot be negative")
-    moved = daily_changes(balances).where(F.col("change") > limit)
-    return _flags(moved, kind, "HIGH", reason, action, source, day="day", amount="change", balance="balance",
-                  threshold=limit)
+    kind, reason, action = _MOVEMENT[source]
+    return _flags(daily_changes(balances).where(F.col("change") > limit), _flag(
+        kind, "HIGH", reason, action, source, day="day", amount="change", balance="balance", threshold=limit))
 
 
 def _measured(balances: DataFrame) -> DataFrame:
-    return balances.dropna(subset=["account_id", "balance"]).withColumn("x", F.col("balance").cast("double"))
+    return balances.where("account_id is not null and balance is not null").withColumn("x", F.col("balance").cast("double"))
 
 
 def account_stats(balances: DataFrame) -> DataFrame:
@@ -181,12 +215,12 @@ def statistical_outliers(outliers: DataFrame, z_limit: float = fixed.Z_SCORE,
                          iqr_multiplier: float = fixed.IQR_MULTIPLIER) -> DataFrame:
     """One flag per balance that either test finds; the z-score names it when both do."""
     method = F.when(F.col("z_outlier"), "Z_SCORE").otherwise("IQR")
-    return _flags(
-        outliers.where("z_outlier or iqr_outlier"), F.concat(F.lit("STATISTICAL_OUTLIER_"), method), "LOW",
+    threshold = F.round(F.when(F.col("z_outlier"), F.lit(float(z_limit))).otherwise(float(iqr_multiplier)), 2)
+    return _flags(outliers.where("z_outlier or iqr_outlier"), _flag(
+        F.concat(F.lit("STATISTICAL_OUTLIER_"), method), "LOW",
         F.concat(F.lit("BALANCE_IS_ACCOUNT_RELATIVE_OUTLIER_"), method),
-        "Secondary review -- confirm balance is operationally expected for this account", "custodian_balances.csv",
-        day="day", balance="balance",
-        threshold=F.round(F.when(F.col("z_outlier"), F.lit(float(z_limit))).otherwise(float(iqr_multiplier)), 2))
+        "Secondary review -- confirm balance is operationally expected for this account", _CUSTODIAN,
+        day="day", balance="balance", threshold=threshold))
 
 
 def _top(grouped: DataFrame, key: str, measure: str, n: int) -> DataFrame:
@@ -199,16 +233,16 @@ def break_concentration_account(breaks: DataFrame, n: int = fixed.CONCENTRATION_
     rows = breaks.where("dollar_exposure is not null and account_id is not null")
     top = _top(rows.groupBy("account_id").agg(F.sum("dollar_exposure").alias("total")), "account_id", "total", n)
     action = F.concat(F.lit("Prioritize reconciliation review for account "), F.col("account_id").cast("string"))
-    return _flags(top, "HIGH_BREAK_CONCENTRATION_ACCOUNT", "HIGH", "TOP_N_ACCOUNT_EXPOSURE", action,
-                  "reconciliation_breaks.csv", amount="total", threshold=n, rank=F.col("rank"))
+    return _flags(top, _flag("HIGH_BREAK_CONCENTRATION_ACCOUNT", "HIGH", "TOP_N_ACCOUNT_EXPOSURE", action,
+                             "reconciliation_breaks.csv", amount="total", threshold=n, rank="rank"))
 
 
 def break_concentration_category(breaks: DataFrame, n: int = fixed.CONCENTRATION_TOP_N) -> DataFrame:
     rows = breaks.where("dollar_exposure is not null and break_category is not null")
     top = _top(rows.groupBy("break_category").agg(F.count("*").alias("total")), "break_category", "total", n)
     action = F.concat(F.lit("Review systemic cause of frequent '"), F.col("break_category"), F.lit("' breaks"))
-    return _flags(top, "HIGH_BREAK_CONCENTRATION_CATEGORY", "MEDIUM", "DOMINANT_BREAK_CATEGORY", action,
-                  "reconciliation_breaks.csv", account=None, amount="total", threshold=n, rank=F.col("rank"))
+    return _flags(top, _flag("HIGH_BREAK_CONCENTRATION_CATEGORY", "MEDIUM", "DOMINANT_BREAK_CATEGORY", action,
+                             "reconciliation_breaks.csv", account=None, amount="total", threshold=n, rank="rank"))
 
 
 def exception_concentration(log: DataFrame, n: int = fixed.CONCENTRATION_TOP_N) -> DataFrame:
@@ -216,8 +250,8 @@ def exception_concentration(log: DataFrame, n: int = fixed.CONCENTRATION_TOP_N)
     top = _top(rows.groupBy("root_cause").agg(F.count("*").alias("total")), "root_cause", "total", n)
     action = F.concat(F.lit("Perform root-cause review for '"), F.col("root_cause"),
                       F.lit("'; consider control enhancement"))
-    return _flags(top, "HIGH_EXCEPTION_CONCENTRATION", "HIGH", "RECURRING_HIGH_SEVERITY_ROOT_CAUSE", action,
-                  "exception_log.csv", account=None, amount="total", threshold=n, rank=F.col("rank"))
+    return _flags(top, _flag("HIGH_EXCEPTION_CONCENTRATION", "HIGH", "RECURRING_HIGH_SEVERITY_ROOT_CAUSE", action,
+                             "exception_log.csv", account=None, amount="total", threshold=n, rank="rank"))
 
 
 def large_cash_transactions(cash: DataFrame, limit: float = fixed.LARGE_MOVEMENT) -> DataFrame | None:
@@ -226,11 +260,13 @@ def large_cash_transactions(cash: DataFrame, limit: float = fixed.LARGE_MOVEMENT
     if amount is None:
         return None
     day = first_present(cash, fixed.CASH_DATE_NAMES)
-    large = cash.where(F.abs(_number(amount)) > limit)
-    return _flags(large, "LARGE_CASH_TRANSACTION", "HIGH", "TRANSACTION_EXCEEDS_THRESHOLD",
-                  "Verify supporting documentation for large cash inflow/outflow", "cash_transactions.csv",
-                  txn="transaction_id" if "transaction_id" in cash.columns else None,
-                  day=_day(day) if day else None, amount=_number(amount), threshold=limit)
+    size = as_number(cash, amount)
+    large = cash.where(F.abs(size) > limit)
+    return _flags(large, _flag(
+        "LARGE_CASH_TRANSACTION", "HIGH", "TRANSACTION_EXCEEDS_THRESHOLD",
+        "Verify supporting documentation for large cash inflow/outflow", "cash_transactions.csv",
+        txn="transaction_id" if "transaction_id" in cash.columns else None,
+        day=as_day(cash, day) if day else None, amount=size, threshold=limit))
 
 
 def ledger_anomalies(ledger: DataFrame, excess: float = fixed.EXCESS_CASH,
@@ -240,16 +276,10 @@ def ledger_anomalies(ledger: DataFrame, excess: float = fixed.EXCESS_CASH,
     if balance is None:
         return []
     day = first_present(ledger, fixed.LEDGER_DATE_NAMES)
-    rows, source = standard_balances(ledger, day, balance), "internal_ledger.csv"
-    out = [
-        negative_balances(rows, "LEDGER_NEGATIVE_BALANCE", "LEDGER_BALANCE_BELOW_ZERO",
-                          "Investigate internal ledger funding or settlement entry", source),
-        excess_cash(rows, "LEDGER_EXCESS_BALANCE", "LEDGER_BALANCE_ABOVE_THRESHOLD",
-                    "Confirm internal ledger balance is expected", source, excess),
-    ]
+    rows = standard_balances(ledger, day, balance)
+    out = [level_flags(rows, _LEDGER, excess)]
     if day:
-        out.append(large_movements(rows, "LEDGER_LARGE_DAILY_MOVEMENT", "LEDGER_DAILY_CHANGE_EXCEEDS_THRESHOLD",
-                                   "Verify internal ledger movement against custodian balance", source, movement))
+        out.append(large_movements(rows, _LEDGER, movement))
     return out
 
 
@@ -264,7 +294,7 @@ def anomaly_flags(workspace: Workspace, custodian: DataFrame | None, breaks: Dat
     found: list[DataFrame] = []
     if custodian is not None:
         rows = standard_balances(custodian, "balance_date", "custodian_cash_balance")
-        found += [negative_balances(rows), excess_cash(rows, limit=excess), large_movements(rows, limit=movement),
+        found += [level_flags(rows, excess=excess), large_movements(rows, limit=movement),
                   statistical_outliers(account_outliers(rows, workspace, z_limit), z_limit)]
     if breaks is not None:
         found += [break_concentration_account(breaks), break_concentration_category(breaks)]
@@ -277,12 +307,12 @@ def anomaly_flags(workspace: Workspace, custodian: DataFrame | None, breaks: Dat
         found += ledger_anomalies(ledger, excess, movement)
     if not found:
         return None
-    out = None
-    for rule, part in enumerate(found):
-        part = part.withColumn("_rule", F.lit(rule))
-        out = part if out is None else out.unionByName(part)
+    rule = lookup(F.col("anomaly_type"), _RULE_ORDER, F.lit(None).cast("int"))
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
     order = ["_rule", "_rank", "account_id", "transaction_date", "balance", "amount", "transaction_id"]
-    numbered = ordered_id(out, order, "anomaly_id", workspace, start=1)
+    numbered = ordered_id(out.withColumn("_rule", rule), order, "anomaly_id", workspace, start=1)
     return numbered.select("anomaly_id", *ANOMALY_FLAGS.fieldNames())
 
 

@@ -12,12 +12,13 @@ def ordered_id(df: DataFrame, order: list[Column | str], column: str, workspace:
                start: int = 0) -> DataFrame:
     """Add consecutive ids in the given order; give a total order for stable ids.
 
-    Rows are range-partitioned and sorted, each tagged with partition and place, and written: from
-    then on the places are data and no later run of the sampling can move them. Ids are the place
-    plus the number of rows in earlier partitions, a table with one row per partition.
+    The rows are written first, since range partitioning reads its input twice, once to sample it.
+    They are then range-partitioned and sorted, each tagged with partition and place, and written
+    again: from then on the places are data and no later run of the sampling can move them. Ids
+    are the place plus the number of rows in earlier partitions, a table of one row per partition.
     """
     tagged = (
-        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        workspace.write(df, f"{column}-unordered").repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
     placed = workspace.write(tagged, column).withColumn("_part", F.shiftright("_place", _ROW_BITS))

@@ -79,12 +79,13 @@ def ledger_balances(cash: DataFrame, accounts: DataFrame,
         .groupBy("account_id", "ledger_date")
         .agg(F.sum("amount").cast(MONEY).alias("movement"), F.max("known").alias("known"))
     )
-    account = Window.partitionBy("account_id")
-    in_order = account.orderBy("ledger_date")
+    in_order = Window.partitionBy("account_id").orderBy("ledger_date")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
     running = daily.select(
         "account_id", "ledger_date", "movement",
-        F.max("known").over(account).alias("known"),
-        F.sum("movement").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).cast(MONEY).alias("cash_balance"),
+        # The seed sits on the first day, so a known account starts with it.
+        F.first("known").over(so_far).alias("known"),
+        F.sum("movement").over(so_far).cast(MONEY).alias("cash_balance"),
         F.lead("ledger_date").over(in_order).alias("next_date"),
     ).where("known")
     until = F.coalesce(F.date_sub("next_date", 1), hi)

@@ -263,31 +263,30 @@ def _run(df: DataFrame, spec: QualitySpec, checks: list[_Check], first_id: int)
             failed = F.col(f"_c{i}")
         elif check.scalar is not None:
             failed = check.scalar
-        elif check.reported == "rows":
-            failed = F.col("_rows")
         else:
-            failed = F.lit(0)
+            failed = F.col("_rows") if check.reported == "rows" else F.lit(0)
         rows.append(F.struct(F.lit(i).alias("_check"), failed.cast("bigint").alias("failed_record_count")))
     found = totals.select("_rows", F.inline(F.array(*rows)))
+    name, severity, description, fix = range(4)
 
-    def pick(choose) -> Column:
-        out = None
-        for i, check in enumerate(checks):
-            fails = F.lit(check.always) if check.always is not None else _count() > 0
-            value = F.when(fails, column(choose(check, True))).otherwise(column(choose(check, False)))
-            out = F.when(F.col("_check") == i, value) if out is None else out.when(F.col("_check") == i, value)
-        return out
-
-    return found.select(
-        (F.col("_check") + first_id).cast("bigint").alias("check_id"),
-        F.lit(spec.name).alias("input_file"),
-        pick(lambda c, bad: c.fail[0] if bad else c.ok[0]).alias("check_name"),
-        pick(lambda c, bad: "FAIL" if bad else "PASS").alias("check_status"),
-        "failed_record_count",
-        pick(lambda c, bad: c.fail[1] if bad else "INFO").alias("severity"),
-        pick(lambda c, bad: c.fail[2] if bad else c.ok[1]).alias("issue_description"),
-        pick(lambda c, bad: c.fail[3] if bad else _PASS_FIX).alias("suggested_fix"),
-    )
+    def outcome(check: _Check, passing: tuple, fixed_fail: bool) -> Column:
+        texts = (*check.fail, "FAIL") if fixed_fail else passing
+        return F.struct(*[column(t).alias(f"_{k}") for k, t in enumerate(texts)])
+
+    said = None
+    for i, check in enumerate(checks):
+        passing = (check.ok[0], "INFO", check.ok[1], _PASS_FIX, "PASS")
+        if check.always is None:
+            says = F.when(_count() > 0, outcome(check, passing, True)).otherwise(outcome(check, passing, False))
+        else:
+            says = outcome(check, passing, check.always)
+        hit = F.col("_check") == i
+        said = F.when(hit, says) if said is None else said.when(hit, says)
+    part = lambda k: F.col("_said").getField(f"_{k}")
+    return found.withColumn("_said", said).select(
+        (F.col("_check") + first_id).cast("bigint").alias("check_id"), F.lit(spec.name).alias("input_file"),
+        part(name).alias("check_name"), part(4).alias("check_status"), "failed_record_count",
+        part(severity).alias("severity"), part(description).alias("issue_description"), part(fix).alias("suggested_fix"))
 
 
 def table_checks(df: DataFrame, spec: QualitySpec, families: list[str] | None = None,

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
+from ledgerloom.functions.columns import as_moment, as_number
 from ledgerloom.operators.ids import ordered_id
 from ledgerloom.sources.workspace import Workspace
 
@@ -22,54 +23,122 @@ def with_file_type(registry: DataFrame) -> DataFrame:
     return registry.withColumn("file_type", file_type(F.col("file_name")))
 
 
-def _issues(rows: DataFrame, rule: int, expected, actual, issue: str, severity: str, owner: str, action,
-            file_date: Column | None = None, count: Column | None = None, place: Column | None = None,
-            place_text: Column | None = None) -> DataFrame:
-    column = lambda x: x if isinstance(x, Column) else F.lit(x)
-    return rows.select(
-        F.lit(rule).alias("_rule"),
-        (place_text if place_text is not None else F.lit("")).alias("_text"),
-        (place if place is not None else F.col("source_file_id")).cast("bigint").alias("_place"),
-        (file_date if file_date is not None else F.col("expected_date")).cast("string").alias("file_date"),
-        "file_type", column(expected).alias("expected_status"), column(actual).alias("actual_status"),
-        (count if count is not None else F.col("record_count")).cast("string").try_cast("double").alias("record_count"),
-        F.lit(issue).alias("issue_type"), F.lit(severity).alias("severity"), F.lit(owner).alias("owner"),
-        column(action).alias("review_action"))
+def prepared(registry: DataFrame) -> DataFrame:
+    """Registry with file type and with dates and counts read, unreadable ones missing."""
+    return with_file_type(registry).withColumns({
+        "_expected": as_moment(registry, "expected_date"), "_received": as_moment(registry, "received_timestamp"),
+        "_records": as_number(registry, "record_count").cast("double")})
+
+
+# A rule on single files: rows it hits, and its issue as a struct over such a row.
+_Rule = tuple[Column, Column]
+
+
+def _column(x) -> Column:
+    return x if isinstance(x, Column) else F.lit(x)
+
+
+def _issue(rule: int, expected, actual, issue: str, severity: str, owner: str, action, *,
+           file_date: Column | None = None, place: Column | None = None, text: Column | str = "") -> Column:
+    """Issue fields, led by the keys that put issues in order."""
+    values = {
+        "_rule": F.lit(rule), "_text": _column(text),
+        "_place": (F.col("source_file_id") if place is None else place).cast("bigint"),
+        "file_date": (F.col("expected_date") if file_date is None else file_date).cast("string"),
+        "file_type": F.col("file_type"), "expected_status": _column(expected), "actual_status": _column(actual),
+        "record_count": F.col("_records"), "issue_type": F.lit(issue), "severity": F.lit(severity),
+        "owner": F.lit(owner), "review_action": _column(action),
+    }
+    return F.struct(*[c.alias(k) for k, c in values.items()])
+
+
+def _hits(files: DataFrame, *rules: _Rule) -> DataFrame:
+    """Issues of all given rules from one scan of the registry."""
+    found = F.array(*[F.when(hit, issue) for hit, issue in rules])
+    return files.select(F.inline(F.array_compact(found)))
 
 
 def _code(name: str) -> Column:
     return F.upper(F.trim(F.col(name)))
 
 
-def missing_files(files: DataFrame) -> DataFrame:
-    return _issues(files.where(_code("receipt_status") == "MISSING"), 1, "RECEIVED", "MISSING", "MISSING_FILE",
-                   "HIGH", _OPS, "Chase custodian for re-delivery; hold reconciliation for affected date")
+def _missing() -> _Rule:
+    return _code("receipt_status") == "MISSING", _issue(
+        1, "RECEIVED", "MISSING", "MISSING_FILE", "HIGH", _OPS,
+        "Chase custodian for re-delivery; hold reconciliation for affected date")
 
 
-def _moment(name: str) -> Column:
-    return F.col(name).cast("string").try_cast("timestamp_ntz")
+def _late(lateness_hours: int) -> _Rule:
+    due = F.col("_expected") + F.make_dt_interval(hours=F.lit(fixed.RECEIPT_HOUR + lateness_hours))
+    got = F.col("_received")
+    hours = F.timestamp_diff("MICROSECOND", due, got) / F.lit(3.6e9)
+    action = F.concat(F.lit("File received ~"), F.format_string("%.1f", hours),
+                      F.lit("h after deadline; review SLA; investigate delay"))
+    return got > due, _issue(2, "ON_TIME", "LATE", "LATE_FILE", "MEDIUM", _OPS, action,
+                             file_date=F.col("_expected").cast("date"))
+
+
+def _bounds(low: int, high: int) -> list[_Rule]:
+    n = F.col("_records")
+    shown = F.concat(n.cast("bigint").cast("string"), F.lit(" records"))
+    return [
+        (n < low, _issue(5, f">= {low} records", shown, "LOW_RECORD_COUNT", "HIGH", _OPS,
+                         "Confirm file is complete; request re-delivery if truncated")),
+        (n > high, _issue(6, f"<= {high} records", shown, "HIGH_RECORD_COUNT", "MEDIUM", _RECON,
+                          "Verify no duplicate records were included in this file")),
+    ]
+
+
+def _dates() -> list[_Rule]:
+    waiting = ~F.col("receipt_status").eqNullSafe("MISSING")
+    return [
+        (F.col("_expected").isNull(), _issue(
+            7, "VALID_DATE", "INVALID_EXPECTED_DATE", "INVALID_DATE", "HIGH", _RECON,
+            "Correct the expected_date field in the vendor file registry")),
+        (F.col("_received").isNull() & waiting, _issue(
+            8, "VALID_TIMESTAMP", "INVALID_RECEIVED_TIMESTAMP", "INVALID_DATE", "MEDIUM", _RECON,
+            "Correct the received_timestamp field in the vendor file registry")),
+    ]
+
+
+def _failed() -> _Rule:
+    return _code("validation_status") == "FAILED", _issue(
+        9, "VALIDATED", "FAILED", "FAILED_VALIDATION_STATUS", "HIGH", _RECON,
+        "Do not use this file in reconciliation; request corrected file from custodian")
+
+
+def missing_files(files: DataFrame) -> DataFrame:
+    return _hits(files, _missing())
 
 
 def late_files(files: DataFrame, lateness_hours: int = fixed.LATENESS_HOURS) -> DataFrame:
     """Files received after the receipt hour plus the tolerance."""
-    deadline = _moment("expected_date") + F.make_dt_interval(hours=F.lit(fixed.RECEIPT_HOUR + lateness_hours))
-    late = files.withColumns({"_due": deadline, "_got": _moment("received_timestamp")}).where("_got > _due")
-    hours = F.timestamp_diff("MICROSECOND", F.col("_due"), F.col("_got")) / F.lit(3.6e9)
-    action = F.concat(F.lit("File received ~"), F.format_string("%.1f", hours),
-                      F.lit("h after deadline; review SLA; investigate delay"))
-    return _issues(late, 2, "ON_TIME", "LATE", "LATE_FILE", "MEDIUM", _OPS, action,
-                   file_date=_moment("expected_date").cast("date"))
+    return _hits(files, _late(lateness_hours))
+
+
+def count_bounds(files: DataFrame, low: int = fixed.MIN_RECORD_COUNT, high: int = fixed.MAX_RECORD_COUNT) -> DataFrame:
+    """Files with suspiciously few or many records."""
+    return _hits(files, *_bounds(low, high))
+
+
+def invalid_dates(files: DataFrame) -> DataFrame:
+    """Unreadable or missing expected dates, and receipt times of files not marked missing."""
+    return _hits(files, *_dates())
+
+
+def failed_status(files: DataFrame) -> DataFrame:
+    return _hits(files, _failed())
 
 
 def duplicate_names(files: DataFrame) -> DataFrame:
     """One issue per file name seen more than once, with the first file's fields."""
-    first = F.min_by(F.struct("expected_date", "file_type", "record_count"), "source_file_id")
+    first = F.min_by(F.struct("expected_date", "file_type", "_records"), "source_file_id")
     names = (files.where("file_name is not null").groupBy("file_name")
              .agg(F.count("*").alias("_n"), first.alias("_first")).where("_n > 1")
              .select("file_name", "_first.*"))
     action = F.concat(F.lit("Deduplicate '"), F.col("file_name"), F.lit("'; investigate why multiple copies were received"))
-    return _issues(names, 3, "UNIQUE", "DUPLICATE", "DUPLICATE_FILE_NAME", "HIGH", _RECON, action,
-                   place=F.lit(0), place_text=F.col("file_name"))
+    return names.select(F.inline(F.array(_issue(
+        3, "UNIQUE", "DUPLICATE", "DUPLICATE_FILE_NAME", "HIGH", _RECON, action, place=F.lit(0), text=F.col("file_name")))))
 
 
 def duplicate_type_dates(files: DataFrame) -> DataFrame:
@@ -78,46 +147,13 @@ def duplicate_type_dates(files: DataFrame) -> DataFrame:
     Names are counted per (date, type, name) first, so a busy date is spread over its names.
     """
     per_name = files.where("expected_date is not null").groupBy("expected_date", "file_type", "file_name").agg(
-        F.sum(F.col("record_count").cast("string").try_cast("double")).alias("_records"))
+        F.sum(F.col("_records")).alias("_records"))
     days = per_name.groupBy("expected_date", "file_type").agg(
-        F.count("file_name").alias("_names"), F.sum("_records").alias("record_count")).where("_names > 1")
-    return _issues(days, 4, "ONE_FILE_PER_TYPE_PER_DAY", "MULTIPLE_FILES", "DUPLICATE_DATE_FILE_TYPE", "MEDIUM",
-                   _RECON, "Confirm which file is authoritative; remove the duplicate before reconciliation",
-                   place=F.lit(0), place_text=F.concat(F.col("expected_date").cast("string"), F.lit(" "), F.col("file_type")))
-
-
-def count_bounds(files: DataFrame, low: int = fixed.MIN_RECORD_COUNT, high: int = fixed.MAX_RECORD_COUNT) -> DataFrame:
-    """Files with suspiciously few or many records; both bounds in one pass."""
-    n = F.col("record_count").cast("string").try_cast("double")
-    counted = files.withColumn("_n", n).where((F.col("_n") < low) | (F.col("_n") > high))
-    few = F.col("_n") < low
-    pick = lambda a, b: F.when(few, a).otherwise(b)
-    shown = F.concat(F.col("_n").cast("bigint").cast("string"), F.lit(" records"))
-    rows = _issues(counted, 5, pick(f">= {low} records", f"<= {high} records"), shown, "", "", "", pick(
-        "Confirm file is complete; request re-delivery if truncated",
-        "Verify no duplicate records were included in this file"))
-    few_row = F.col("expected_status").startswith(">=")
-    two = lambda a, b: F.when(few_row, a).otherwise(b)
-    return rows.withColumns({
-        "_rule": two(5, 6), "issue_type": two("LOW_RECORD_COUNT", "HIGH_RECORD_COUNT"),
-        "severity": two("HIGH", "MEDIUM"), "owner": two(_OPS, _RECON)})
-
-
-def invalid_dates(files: DataFrame) -> DataFrame:
-    """Unreadable or missing expected dates, and receipt times of files not marked missing."""
-    expected = _issues(files.where(_moment("expected_date").isNull()), 7, "VALID_DATE", "INVALID_EXPECTED_DATE",
-                       "INVALID_DATE", "HIGH", _RECON, "Correct the expected_date field in the vendor file registry")
-    waiting = ~F.col("receipt_status").eqNullSafe("MISSING")
-    received = _issues(files.where(_moment("received_timestamp").isNull() & waiting), 8, "VALID_TIMESTAMP",
-                       "INVALID_RECEIVED_TIMESTAMP", "INVALID_DATE", "MEDIUM", _RECON,
-                       "Correct the received_timestamp field in the vendor file registry")
-    return expected.unionByName(received)
-
-
-def failed_status(files: DataFrame) -> DataFrame:
-    return _issues(files.where(_code("validation_status") == "FAILED"), 9, "VALIDATED", "FAILED",
-                   "FAILED_VALIDATION_STATUS", "HIGH", _RECON,
-                   "Do not use this file in reconciliation; request corrected file from custodian")
+        F.count("file_name").alias("_names"), F.sum("_records").alias("_records")).where("_names > 1")
+    key = F.concat(F.col("expected_date").cast("string"), F.lit(" "), F.col("file_type"))
+    return days.select(F.inline(F.array(_issue(
+        4, "ONE_FILE_PER_TYPE_PER_DAY", "MULTIPLE_FILES", "DUPLICATE_DATE_FILE_TYPE", "MEDIUM", _RECON,
+        "Confirm which file is authoritative; remove the duplicate before reconciliation", place=F.lit(0), text=key))))
 
 
 def issues(result: DataFrame) -> DataFrame:
@@ -127,12 +163,13 @@ def issues(result: DataFrame) -> DataFrame:
 
 def vendor_suite(registry: DataFrame, workspace: Workspace, lateness_hours: int = fixed.LATENESS_HOURS,
                  low: int = fixed.MIN_RECORD_COUNT, high: int = fixed.MAX_RECORD_COUNT) -> DataFrame:
-    """All issues in rule order with consecutive ids; the schema stays when there are none."""
-    files = with_file_type(registry)
-    found = missing_files(files)
-    for part in (late_files(files, lateness_hours), duplicate_names(files), duplicate_type_dates(files),
-                 count_bounds(files, low, high), invalid_dates(files), failed_status(files)):
-        found = found.unionByName(part)
+    """All issues in rule order with consecutive ids; the schema stays when there are none.
+
+    Rules on single files share one scan; the two rules on groups of files aggregate first.
+    """
+    files = prepared(registry)
+    single = _hits(files, _missing(), _late(lateness_hours), *_bounds(low, high), *_dates(), _failed())
+    found = single.unionByName(duplicate_names(files)).unionByName(duplicate_type_dates(files))
     numbered = ordered_id(found, ["_rule", "_text", "_place"], "validation_id", workspace, start=1)
     return numbered.select("validation_id", *_OUT)
 

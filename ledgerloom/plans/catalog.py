@@ -751,7 +751,7 @@ def vendor_file_type(p: Pipeline) -> DataFrame:
 
 
 def _rule(p: Pipeline, rule) -> DataFrame:
-    return vendor.issues(rule(vendor.with_file_type(p.registry())))
+    return vendor.issues(rule(vendor.prepared(p.registry())))
 
 
 @query
@@ -868,7 +868,7 @@ def large_cash_txn(p: Pipeline) -> DataFrame:
 @query
 def ledger_anomalies(p: Pipeline) -> DataFrame:
     parts = anomaly.ledger_anomalies(p.ledger(), EXCESS_CASH, LARGE_MOVEMENT)
-    return anomaly.flags(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    return anomaly.flags(parts[0].unionByName(parts[1]))
 
 
 def _anomalies(p: Pipeline) -> DataFrame:

@@ -796,15 +796,33 @@ SQL = {
 }
 
 
-def full_text(body: str) -> str:
-    """The text with every part it uses, each after the parts it uses itself."""
-    order: list[str] = []
+# Whole-number columns that small literals would leave narrower than the Spark side's.
+LONG = {
+    "seed_if_absent": ["key"],
+    "stage_clean": ["flag_invalid_date", "flag_invalid_amount"],
+    "cast_failure_flags": ["flag_invalid_date", "flag_invalid_amount"],
+    "type_mapping": ["cash_impact_sign", "security_impact_sign", "needs_review"],
+    "control_exceptions": ["account_id"],
+    "adjustment_counts": ["planned_injections"],
+    "exception_completeness": ["missing_evidence_file"],
+    "tie_outs": ["check_no"],
+    **dict.fromkeys(["apply_adjustments", "apply_misposting", "cash_recon", "position_recon", "recon_breaks",
+                     "injection_validation", "injection_to_break"], ["injection_id"]),
+    **dict.fromkeys([n for n in SQL if n.startswith("dq_") and n != "dq_pass_rate"], ["check_id"]),
+}
+
+
+def full_text(name: str) -> str:
+    """The query's text with every part it uses, each after the parts it uses itself."""
+    body, order = SQL[name], []
+    if name in LONG:
+        body = f"SELECT * REPLACE ({', '.join(f'CAST({c} AS BIGINT) AS {c}' for c in LONG[name])}) FROM ({body})"
 
     def need(text: str) -> None:
-        for name in dict.fromkeys(re.findall(r"\bx_[a-z0-9]+\b", text)):
-            if name in PARTS and name not in order:
-                need(PARTS[name])
-                order.append(name)
+        for part in dict.fromkeys(re.findall(r"\bx_[a-z0-9]+\b", text)):
+            if part in PARTS and part not in order:
+                need(PARTS[part])
+                order.append(part)
 
     need(body)
     if not order:
@@ -815,4 +833,4 @@ def full_text(body: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: full_text(text) for name, text in SQL.items()}
+    return {name: full_text(name) for name in SQL}

@@ -15,6 +15,8 @@ def spark_session(app: str = "ledgerloom", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # A skewed join is split even where that costs one more exchange above it.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # Call sites kept per column expression slow the building of wide plans.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app)
