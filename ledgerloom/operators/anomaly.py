@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import fixed_values as fixed
 from ledgerloom.functions.columns import as_day, as_number, first_present, literal_frame, lookup
 from ledgerloom.functions.sizing import small_side
-from ledgerloom.operators.ids import ordered_id
+from ledgerloom.operators.ids import ordered_id, previous_value
 from ledgerloom.sources.schemas import ANOMALY_FLAGS
 from ledgerloom.sources.workspace import Workspace
 
@@ -16,6 +16,9 @@ _SKETCH_ACCURACY = 10_000
 _BRACKET = 0.0005
 _SEARCH_WHOLE_BELOW = 5_000
 
+# Most rows of one account and month that a single window may hold.
+_MONTH_ROWS = 1_000_000
+
 
 def standard_balances(df: DataFrame, date_column: str | None, balance_column: str) -> DataFrame:
     """Account, day and balance under fixed names, unreadable values as missing."""
@@ -107,35 +110,42 @@ def level_flags(balances: DataFrame, source: str = _CUSTODIAN, excess: float = f
                   _negative(source, warn, high), _excess(source, excess))
 
 
-def daily_changes(balances: DataFrame) -> DataFrame:
+def daily_changes(balances: DataFrame, workspace: Workspace, month_rows: int = _MONTH_ROWS) -> DataFrame:
     """Absolute change of every balance from the account's previous one.
 
     Equal balances of one day follow each other, so copies change nothing and are folded into one
     row before the shuffle. An account's history is then cut by month: changes inside a month come
     from a window per account and month, and each month's first row takes the closing balance of
-    the month before from a table of one row per account and month.
+    the month before from a table of one row per account and month. Where that table shows a month
+    too large for one window, rows are cut evenly instead, wherever that falls.
     """
     present = balances.where("account_id is not null and day is not null and balance is not null")
-    rows = present.groupBy("account_id", "day", "balance").agg(F.count("*").alias("copies")).withColumn(
-        "month", F.trunc("day", "MM"))
-    closing = rows.groupBy("account_id", "month").agg(F.max_by("balance", F.struct("day", "balance")).alias("closing"))
-    carried = closing.select(
-        "account_id", "month",
-        F.lag("closing").over(Window.partitionBy("account_id").orderBy("month")).alias("carried"))
-    in_month = Window.partitionBy("account_id", "month").orderBy("day", "balance")
-    return (
-        rows.withColumn("previous", F.lag("balance").over(in_month))
-        .join(carried, ["account_id", "month"], "left")
-        .select("account_id", "day", "balance",
-                F.abs(F.col("balance") - F.coalesce("previous", "carried")).alias("change"))
-    )
-
-
-def large_movements(balances: DataFrame, source: str = _CUSTODIAN, limit: float = fixed.LARGE_MOVEMENT) -> DataFrame:
+    rows = workspace.write(present.groupBy("account_id", "day", "balance").agg(
+        F.count("*").alias("copies")).withColumn("month", F.trunc("day", "MM")), "distinct-balances")
+    closing = workspace.write(rows.groupBy("account_id", "month").agg(
+        F.max_by("balance", F.struct("day", "balance")).alias("closing"), F.count("*").alias("rows")), "closing-balances")
+    heaviest = closing.agg(F.max("rows")).first()[0] or 0
+    if heaviest > month_rows:
+        seen = previous_value(rows, "account_id", ["day", "balance"], "balance", "previous", workspace)
+    else:
+        carried = closing.select(
+            "account_id", "month",
+            F.lag("closing").over(Window.partitionBy("account_id").orderBy("month")).alias("carried"))
+        in_month = Window.partitionBy("account_id", "month").orderBy("day", "balance")
+        seen = (
+            rows.withColumn("inside", F.lag("balance").over(in_month))
+            .join(carried, ["account_id", "month"], "left")
+            .withColumn("previous", F.coalesce("inside", "carried"))
+        )
+    return seen.select("account_id", "day", "balance", F.abs(F.col("balance") - F.col("previous")).alias("change"))
+
+
+def large_movements(balances: DataFrame, workspace: Workspace, source: str = _CUSTODIAN,
+                    limit: float = fixed.LARGE_MOVEMENT) -> DataFrame:
     if limit < 0:
         raise ValueError("a movement limit cannot be negative")
     kind, reason, action = _MOVEMENT[source]
-    return _flags(daily_changes(balances).where(F.col("change") > limit), _flag(
+    return _flags(daily_changes(balances, workspace).where(F.col("change") > limit), _flag(
         kind, "HIGH", reason, action, source, day="day", amount="change", balance="balance", threshold=limit))
 
 
@@ -269,7 +279,7 @@ def large_cash_transactions(cash: DataFrame, limit: float = fixed.LARGE_MOVEMENT
         day=as_day(cash, day) if day else None, amount=size, threshold=limit))
 
 
-def ledger_anomalies(ledger: DataFrame, excess: float = fixed.EXCESS_CASH,
+def ledger_anomalies(ledger: DataFrame, workspace: Workspace, excess: float = fixed.EXCESS_CASH,
                      movement: float = fixed.LARGE_MOVEMENT) -> list[DataFrame]:
     """The balance rules on the internal ledger; empty when no balance column is known."""
     balance = first_present(ledger, fixed.LEDGER_BALANCE_NAMES)
@@ -279,7 +289,7 @@ def ledger_anomalies(ledger: DataFrame, excess: float = fixed.EXCESS_CASH,
     rows = standard_balances(ledger, day, balance)
     out = [level_flags(rows, _LEDGER, excess)]
     if day:
-        out.append(large_movements(rows, _LEDGER, movement))
+        out.append(large_movements(rows, workspace, _LEDGER, movement))
     return out
 
 
@@ -294,7 +304,7 @@ def anomaly_flags(workspace: Workspace, custodian: DataFrame | None, breaks: Dat
     found: list[DataFrame] = []
     if custodian is not None:
         rows = standard_balances(custodian, "balance_date", "custodian_cash_balance")
-        found += [level_flags(rows, excess=excess), large_movements(rows, limit=movement),
+        found += [level_flags(rows, excess=excess), large_movements(rows, workspace, limit=movement),
                   statistical_outliers(account_outliers(rows, workspace, z_limit), z_limit)]
     if breaks is not None:
         found += [break_concentration_account(breaks), break_concentration_category(breaks)]
@@ -304,7 +314,7 @@ def anomaly_flags(workspace: Workspace, custodian: DataFrame | None, breaks: Dat
         large = large_cash_transactions(cash, movement)
         found += [large] if large is not None else []
     if ledger is not None:
-        found += ledger_anomalies(ledger, excess, movement)
+        found += ledger_anomalies(ledger, workspace, excess, movement)
     if not found:
         return None
     rule = lookup(F.col("anomaly_type"), _RULE_ORDER, F.lit(None).cast("int"))

@@ -14,17 +14,18 @@ def compare_books(internal: DataFrame, custodian: DataFrame, keys: list[str]) ->
 
     A full outer join cannot split a hot key, so it runs as two joins that can: every custodian
     row looks up its internal row, and internal rows whose key the custodian lacks are added.
-    Internal rows with an empty key match nothing and are added as they are. The explicit
-    repartition gives both joins the same exchange, so the internal side is shuffled once.
+    Internal rows with an empty key match nothing and are added as they are, so both joins read
+    the same internal rows and share one shuffle of them. No explicit repartition: joins on top of
+    one are never split.
     """
     complete = F.lit(True)
     for k in keys:
         complete = complete & F.col(k).isNotNull()
-    keyed = internal.where(complete).repartition(*keys)
+    keyed = internal.where(complete)
     both = custodian.withColumnRenamed("custodian_value", "_custodian").join(keyed, keys, "left").select(
         *keys, "internal_value", F.col("_custodian").alias("custodian_value"), "injection_id")
     seen = custodian.select(*keys).distinct().withColumn("_seen", F.lit(True))
-    # Not an anti join: that one would be moved below the repartition and shuffle the side again.
+    # Not an anti join: that one would be moved below the projection and shuffle the side again.
     alone = keyed.join(seen, keys, "left").where("_seen is null").drop("_seen")
     unmatched = alone.unionByName(internal.where(~complete))
     return both.unionByName(unmatched.select(

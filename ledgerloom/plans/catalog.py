@@ -823,7 +823,7 @@ def excess_cash(p: Pipeline) -> DataFrame:
 
 @query
 def large_movement(p: Pipeline) -> DataFrame:
-    return anomaly.flags(anomaly.large_movements(_balances(p), limit=LARGE_MOVEMENT))
+    return anomaly.flags(anomaly.large_movements(_balances(p), p.workspace, limit=LARGE_MOVEMENT))
 
 
 def _outliers(p: Pipeline) -> DataFrame:
@@ -867,7 +867,7 @@ def large_cash_txn(p: Pipeline) -> DataFrame:
 
 @query
 def ledger_anomalies(p: Pipeline) -> DataFrame:
-    parts = anomaly.ledger_anomalies(p.ledger(), EXCESS_CASH, LARGE_MOVEMENT)
+    parts = anomaly.ledger_anomalies(p.ledger(), p.workspace, EXCESS_CASH, LARGE_MOVEMENT)
     return anomaly.flags(parts[0].unionByName(parts[1]))
 
 
