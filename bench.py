@@ -11,7 +11,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import ledger
+from ledgerloom.operators import ledger, staging
 from ledgerloom.plans import catalog
 from ledgerloom.plans.pipeline import Pipeline
 from ledgerloom.session import spark_session
@@ -25,11 +25,9 @@ STAGES = [
 
 
 def ledger_by_customer(pipeline: Pipeline):
-    cash = pipeline.cash().drop("account_id").join(
-        pipeline.table("orders").select(F.col("o_orderkey").alias("transaction_id"), F.col("o_custkey").alias("account_id")),
-        "transaction_id")
+    staged = pipeline.staged_orders(account=F.col("o_custkey"))
     accounts = pipeline.table("customer").select(F.col("c_custkey").alias("account_id"))
-    return ledger.ledger_balances(cash, accounts)
+    return ledger.ledger_balances(staging.cash_transactions(staged, pipeline.actions()), accounts)
 
 
 def timed(df_of) -> float:

@@ -116,27 +116,25 @@ def daily_changes(balances: DataFrame, workspace: Workspace, month_rows: int = _
     Equal balances of one day follow each other, so copies change nothing and are folded into one
     row before the shuffle. An account's history is then cut by month: changes inside a month come
     from a window per account and month, and each month's first row takes the closing balance of
-    the month before from a table of one row per account and month. Where that table shows a month
-    too large for one window, rows are cut evenly instead, wherever that falls.
+    the month before. Where counting shows a month too large for one window, rows are cut evenly
+    instead, wherever that falls.
     """
     present = balances.where("account_id is not null and day is not null and balance is not null")
     rows = workspace.write(present.groupBy("account_id", "day", "balance").agg(
         F.count("*").alias("copies")).withColumn("month", F.trunc("day", "MM")), "distinct-balances")
-    closing = workspace.write(rows.groupBy("account_id", "month").agg(
-        F.max_by("balance", F.struct("day", "balance")).alias("closing"), F.count("*").alias("rows")), "closing-balances")
-    heaviest = closing.agg(F.max("rows")).first()[0] or 0
+    heaviest = rows.groupBy("account_id", "month").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     if heaviest > month_rows:
         seen = previous_value(rows, "account_id", ["day", "balance"], "balance", "previous", workspace)
     else:
-        carried = closing.select(
-            "account_id", "month",
-            F.lag("closing").over(Window.partitionBy("account_id").orderBy("month")).alias("carried"))
         in_month = Window.partitionBy("account_id", "month").orderBy("day", "balance")
-        seen = (
-            rows.withColumn("inside", F.lag("balance").over(in_month))
-            .join(carried, ["account_id", "month"], "left")
-            .withColumn("previous", F.coalesce("inside", "carried"))
-        )
+        inside = rows.select(
+            "account_id", "month", "day", "balance", F.lag("balance").over(in_month).alias("inside"),
+            F.lead("day").over(in_month).isNull().alias("closes"))
+        carried = inside.where("closes").select(
+            "account_id", "month",
+            F.lag("balance").over(Window.partitionBy("account_id").orderBy("month")).alias("carried"))
+        seen = inside.join(carried, ["account_id", "month"], "left").withColumn(
+            "previous", F.coalesce("inside", "carried"))
     return seen.select("account_id", "day", "balance", F.abs(F.col("balance") - F.col("previous")).alias("change"))
 
 

@@ -84,9 +84,10 @@ def with_root_cause(breaks: DataFrame, matches: DataFrame, dedupe: bool = False)
     causes = matches.select("account_id", "business_date", F.col("cash_variance").cast(SHARES).alias("variance"),
                             "inferred_root_cause")
     if dedupe:
-        rank = F.array_position(F.array(*[F.lit(c) for c in _MATCH_ORDER]), F.col("inferred_root_cause"))
+        listed = F.array(*[F.lit(c) for c in _MATCH_ORDER])
+        best = F.min(F.array_position(listed, F.col("inferred_root_cause"))).cast("int")
         causes = causes.groupBy("account_id", "business_date", "variance").agg(
-            F.min_by("inferred_root_cause", rank).alias("inferred_root_cause"))
+            F.get(listed, best - 1).alias("inferred_root_cause"))
     return breaks.join(causes, ["account_id", "business_date", "variance"], "left").withColumn(
         "root_cause", F.coalesce("inferred_root_cause", rule_cause(F.col("break_category"), F.col("variance")))
     ).drop("inferred_root_cause")

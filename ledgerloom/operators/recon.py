@@ -46,12 +46,19 @@ def _break_type(variance: Column, tolerance: str, label: str) -> Column:
     return F.when(F.col("internal_value").isNull(), "MISSING_IN_INTERNAL").otherwise(present)
 
 
+def _injection(custodian: DataFrame) -> Column:
+    """Id of the known fault behind a custodian row; books without that column have none."""
+    if "injection_id" in custodian.columns:
+        return F.col("injection_id")
+    return F.lit(None).cast("int").alias("injection_id")
+
+
 def _cash_sides(ledger: DataFrame, custodian: DataFrame) -> DataFrame:
     return compare_books(
         ledger.select("account_id", F.col("ledger_date").alias("business_date"),
                       F.col("cash_balance").alias("internal_value")),
         custodian.select("account_id", F.col("balance_date").alias("business_date"),
-                         F.col("custodian_cash_balance").alias("custodian_value"), "injection_id"),
+                         F.col("custodian_cash_balance").alias("custodian_value"), _injection(custodian)),
         ["account_id", "business_date"])
 
 
@@ -60,7 +67,7 @@ def _position_sides(positions: DataFrame, custodian: DataFrame) -> DataFrame:
         positions.select("account_id", F.col("position_date").alias("business_date"), "ticker",
                          F.col("share_quantity").alias("internal_value")),
         custodian.select("account_id", F.col("position_date").alias("business_date"), "ticker",
-                         F.col("custodian_share_quantity").alias("custodian_value"), "injection_id"),
+                         F.col("custodian_share_quantity").alias("custodian_value"), _injection(custodian)),
         ["account_id", "business_date", "ticker"])
 
 

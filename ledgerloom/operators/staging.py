@@ -119,8 +119,12 @@ def security_transactions(staged: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def new_securities(staged: DataFrame, securities: DataFrame) -> DataFrame:
-    """Tickers the master lacks, one name each."""
-    seen = staged.where("ticker is not null").groupBy("ticker").agg(F.max("security_name").alias("security_name"))
+    """Tickers the master lacks, one name each.
+
+    Pairs are made distinct first: that hashes, while a maximum of text makes every task sort.
+    """
+    pairs = staged.where("ticker is not null").select("ticker", "security_name").distinct()
+    seen = pairs.groupBy("ticker").agg(F.max("security_name").alias("security_name"))
     return seen.join(securities.select("ticker"), "ticker", "left_anti")
 
 

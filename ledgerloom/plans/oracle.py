@@ -89,7 +89,7 @@ _MIS = stand_in.MISPOSTING
 PARTS = {
     # Raw file and staging
     "x_raw": f"SELECT event_id AS source_row_id, {_raw_list} FROM events",
-    "x_raw2": f"SELECT {_names} FROM x_raw UNION ALL SELECT {_names} FROM x_raw WHERE source_row_id < 9",
+    "x_raw2": f"SELECT {_names} FROM x_raw UNION ALL SELECT {_names} FROM x_raw WHERE TRY_CAST(\"No. of shares\" AS DOUBLE) > 100",
     "x_map13": "SELECT * FROM (" + _values(fixed.ACTION_MAPPING) + ") AS t(raw_action, standardized_category, "
                "cash_impact_sign, security_impact_sign, fee_tax_treatment, needs_review)",
     "x_staged": f"""SELECT source_row_id,

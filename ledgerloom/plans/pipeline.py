@@ -5,11 +5,11 @@ for the vendor file registry. The custodian's books are our own plus dated adjus
 taken out and one row put in.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
-from ledgerloom.functions.columns import MONEY, PRICE, SHARES, literal_frame, lookup
+from ledgerloom.functions.columns import MONEY, PRICE, SHARES, literal_frame, lookup, quoted
 from ledgerloom.operators import exceptions, files, ledger, recon, staging
 from ledgerloom.sources.schemas import RAW_TRANSACTION_COLUMNS
 from ledgerloom.sources.workspace import Workspace
@@ -101,9 +101,10 @@ class Pipeline:
             n.alias("source_row_id"), *[columns.get(c, none).cast("string").alias(c) for c in RAW_TRANSACTION_COLUMNS])
 
     def raw_with_copies(self) -> DataFrame:
-        """Raw rows as loaded twice in part: the first nine come again, without row numbers."""
+        """Raw rows as loaded twice in part: large trades come again, without row numbers."""
         rows = self.raw()
-        return rows.unionByName(rows.where("source_row_id < 9")).drop("source_row_id")
+        large = quoted("No. of shares").try_cast("double") > 100
+        return rows.unionByName(rows.where(large)).drop("source_row_id")
 
     def staged(self) -> DataFrame:
         return staging.stage_clean(self.raw())
@@ -142,12 +143,14 @@ class Pipeline:
         ticker = F.concat(F.lit("T"), (F.col("p_partkey") % 7).cast("string"))
         return self.table("part").groupBy(ticker.alias("ticker")).agg(F.max("p_name").alias("security_name"))
 
-    def staged_orders(self) -> DataFrame:
+    def staged_orders(self, account: Column | None = None) -> DataFrame:
         none = lambda kind: F.lit(None).cast(kind)
+        if account is None:
+            account = F.col("o_custkey") % 50 + 1
         return self.table("orders").select(
             F.col("o_orderkey").alias("source_row_id"),
             F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("source_transaction_id"),
-            (F.col("o_custkey") % 50 + 1).alias("account_id"), F.col("o_orderpriority").alias("raw_action"),
+            account.alias("account_id"), F.col("o_orderpriority").alias("raw_action"),
             F.col("o_orderdate").cast("date").alias("transaction_date"), F.lit("00:00:00").alias("transaction_time"),
             F.col("o_totalprice").cast(MONEY).alias("total_amount"), F.lit("GBP").alias("currency_total"),
             none(MONEY).alias("withholding_tax"), none(MONEY).alias("charge_amount"), none(MONEY).alias("stamp_duty"),

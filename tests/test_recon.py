@@ -43,6 +43,12 @@ def test_break_types_at_the_tolerance(frame):
         1: "MATCHED", 2: "CASH_BALANCE_BREAK", 3: "MISSING_IN_CUSTODIAN", 4: "MISSING_IN_INTERNAL", 5: "MATCHED"}
 
 
+def test_books_without_fault_ids_compare_too(frame):
+    d = "2020-01-01"
+    got = recon.cash_recon(frame(INT, (1, d, 1)), frame(CUS, (1, d, 2, None)).drop("injection_id"))
+    assert rows_of(got, "cash_variance", "injection_id") == [(D("-1.0000"), None)]
+
+
 def test_a_hot_key_is_split_and_no_row_is_lost(spark, workspace):
     """A third of the custodian rows share one key; the join must split that key's partition."""
     internal = spark.range(3000).select(F.col("id").alias("account_id"), F.lit("2020-01-01").cast("date").alias("ledger_date"),
