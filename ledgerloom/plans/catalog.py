@@ -51,7 +51,7 @@ def read_transactions(p: Pipeline) -> DataFrame:
     text = p.raw().orderBy("source_row_id").drop("source_row_id")
     (text.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
-    rows = tables.read_csv_numbered(p.spark, path, start=0)
+    rows = tables.read_csv_numbered(p.spark, path, p.workspace, start=0)
     return rows.select("source_row_id", F.col("Action").alias("action"), quoted("Transaction Date").alias("tx_date"),
                        quoted("Total (GBP)").alias("total"), F.col("ID").alias("id"), F.col("Notes").alias("notes"))
 
@@ -292,17 +292,17 @@ def position_recon(p: Pipeline) -> DataFrame:
 
 @query
 def same_day_match(p: Pipeline) -> DataFrame:
-    return recon.same_day_match(p.cash_comparison(), p.cash())
+    return recon.same_day_match(p.open_cash(), p.cash())
 
 
 @query
 def timing_match(p: Pipeline) -> DataFrame:
-    return recon.timing_match(p.cash_comparison(), p.cash())
+    return recon.timing_match(p.open_cash(), p.cash())
 
 
 @query
 def transaction_match(p: Pipeline) -> DataFrame:
-    return recon.transaction_match(p.cash_comparison(), p.cash())
+    return recon.transaction_match(p.open_cash(), p.cash())
 
 
 @query
@@ -626,7 +626,7 @@ def adjustment_coverage(p: Pipeline) -> DataFrame:
 
 @query
 def injection_validation(p: Pipeline) -> DataFrame:
-    return checks.injection_validation(p.adjustments(), p.cash_comparison(), p.position_comparison())
+    return checks.injection_validation(p.adjustments(), p.open_cash(), p.open_positions())
 
 
 @query

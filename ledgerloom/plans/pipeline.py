@@ -280,13 +280,19 @@ class Pipeline:
     def position_comparison(self) -> DataFrame:
         return recon.position_recon(self.positions(), self.custodian_positions())
 
+    def open_cash(self) -> DataFrame:
+        """Cash rows that disagree: few, and all that the later steps read of the comparison."""
+        return self.workspace.layer("open-cash", lambda: self.cash_comparison().where("break_type <> 'MATCHED'"))
+
+    def open_positions(self) -> DataFrame:
+        return self.workspace.layer("open-positions", lambda: self.position_comparison().where("break_type <> 'MATCHED'"))
+
     def matches(self) -> DataFrame:
-        return self.workspace.layer(
-            "matches", lambda: recon.transaction_match(self.cash_comparison(), self.cash()))
+        return self.workspace.layer("matches", lambda: recon.transaction_match(self.open_cash(), self.cash()))
 
     def breaks(self) -> DataFrame:
         return self.workspace.memo("breaks", lambda: recon.recon_breaks(
-            self.cash_comparison(), self.position_comparison(), self.workspace))
+            self.open_cash(), self.open_positions(), self.workspace))
 
     def log(self) -> DataFrame:
         return self.workspace.memo("log", lambda: exceptions.complete_log(

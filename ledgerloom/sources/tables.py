@@ -7,24 +7,31 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerloom.functions.sizing import small_side
 from ledgerloom.sources.schemas import RAW_TRANSACTIONS
+from ledgerloom.sources.workspace import Workspace
+
+
+# Splits whose starts may be broadcast: 128 TB in splits of 128 MB.
+_MAX_SPLITS = 1_000_000
 
 
 def read_csv_numbered(
     spark: SparkSession,
     path: str,
+    workspace: Workspace,
     schema: StructType = RAW_TRANSACTIONS,
     id_column: str = "source_row_id",
     start: int = 1,
     multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header as text columns, plus a row number in file order.
+    """CSV with a header as a table of text columns, plus a row number in file order.
 
-    Rows are not sorted. Each file split numbers its own rows as it is scanned; a second, narrow
-    scan counts rows per split, and the running total over splits (one row per split, so bounded by
-    bytes / split size) is the number at which a split begins.
+    Rows are not sorted. They are written once as Parquet, each with its file split and the order
+    it was read in, so a later read that splits the files differently cannot change them. The
+    running row count over splits then gives the number at which a split begins.
     """
-    rows = (
+    tagged = (
         spark.read.schema(schema).option("header", True).option("multiLine", multi_line).csv(path)
         .select(
             "*",
@@ -33,11 +40,12 @@ def read_csv_numbered(
             F.monotonically_increasing_id().alias("_seen"),
         )
     )
+    rows = workspace.write(tagged, "csv-rows")
     splits = rows.groupBy("_file", "_block").agg(F.min("_seen").alias("_first"), F.count("*").alias("_n"))
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select(
-        "_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return rows.join(starts, ["_file", "_block"]).select(
+    starts = workspace.write(splits.select(
+        "_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")), "csv-splits")
+    return rows.join(small_side(starts, _MAX_SPLITS), ["_file", "_block"]).select(
         (F.col("_start") + F.col("_seen") - F.col("_first") + F.lit(start)).alias(id_column),
         *[F.col(f"`{c}`") for c in schema.fieldNames()],
     )

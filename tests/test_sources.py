@@ -7,14 +7,14 @@ from ledgerloom.sources.workspace import Workspace, shared_folder
 from tests.conftest import rows_of
 
 
-def test_csv_rows_are_numbered_in_file_order_across_splits(spark, tmp_path):
+def test_csv_rows_are_numbered_in_file_order_across_splits(spark, workspace, tmp_path):
     lines = "\n".join(f"a{i},{i}" for i in range(5000))
     for part in range(3):
         (tmp_path / f"part-{part}.csv").write_text("Action,Notes\n" + lines.replace("a", f"p{part}-") + "\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
     try:
         schema = spark.createDataFrame([], "Action string, Notes string").schema
-        got = tables.read_csv_numbered(spark, str(tmp_path), schema, start=1).orderBy("source_row_id").collect()
+        got = tables.read_csv_numbered(spark, str(tmp_path), workspace, schema, start=1).orderBy("source_row_id").collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert [r.source_row_id for r in got] == list(range(1, 15001))
