@@ -43,6 +43,8 @@ def _flag(kind, severity, reason, action, source: str, *, account="account_id",
 
 def _flags(rows: DataFrame, *found: Column) -> DataFrame:
     """Flags of all given rules from one scan; a rule that does not fire is null."""
+    if len(found) == 1:
+        return rows.select(found[0].alias("_flag")).where("_flag is not null").select("_flag.*")
     return rows.select(F.inline(F.array_compact(F.array(*found))))
 
 

@@ -1,5 +1,8 @@
 """Checks of the vendor file registry."""
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,8 +57,11 @@ def _issue(rule: int, expected, actual, issue: str, severity: str, owner: str, a
 
 def _hits(files: DataFrame, *rules: _Rule) -> DataFrame:
     """Issues of all given rules from one scan of the registry."""
-    found = F.array(*[F.when(hit, issue) for hit, issue in rules])
-    return files.select(F.inline(F.array_compact(found)))
+    any_hit = reduce(operator.or_, [hit for hit, _ in rules])
+    found = [F.when(hit, issue) for hit, issue in rules]
+    if len(rules) == 1:
+        return files.where(any_hit).select(rules[0][1].alias("_issue")).select("_issue.*")
+    return files.where(any_hit).select(F.inline(F.array_compact(F.array(*found))))
 
 
 def _code(name: str) -> Column:
@@ -137,8 +143,9 @@ def duplicate_names(files: DataFrame) -> DataFrame:
              .agg(F.count("*").alias("_n"), first.alias("_first")).where("_n > 1")
              .select("file_name", "_first.*"))
     action = F.concat(F.lit("Deduplicate '"), F.col("file_name"), F.lit("'; investigate why multiple copies were received"))
-    return names.select(F.inline(F.array(_issue(
-        3, "UNIQUE", "DUPLICATE", "DUPLICATE_FILE_NAME", "HIGH", _RECON, action, place=F.lit(0), text=F.col("file_name")))))
+    return names.select(_issue(
+        3, "UNIQUE", "DUPLICATE", "DUPLICATE_FILE_NAME", "HIGH", _RECON, action, place=F.lit(0),
+        text=F.col("file_name")).alias("_issue")).select("_issue.*")
 
 
 def duplicate_type_dates(files: DataFrame) -> DataFrame:
@@ -151,9 +158,10 @@ def duplicate_type_dates(files: DataFrame) -> DataFrame:
     days = per_name.groupBy("expected_date", "file_type").agg(
         F.count("file_name").alias("_names"), F.sum("_records").alias("_records")).where("_names > 1")
     key = F.concat(F.col("expected_date").cast("string"), F.lit(" "), F.col("file_type"))
-    return days.select(F.inline(F.array(_issue(
+    return days.select(_issue(
         4, "ONE_FILE_PER_TYPE_PER_DAY", "MULTIPLE_FILES", "DUPLICATE_DATE_FILE_TYPE", "MEDIUM", _RECON,
-        "Confirm which file is authoritative; remove the duplicate before reconciliation", place=F.lit(0), text=key))))
+        "Confirm which file is authoritative; remove the duplicate before reconciliation", place=F.lit(0),
+        text=key).alias("_issue")).select("_issue.*")
 
 
 def issues(result: DataFrame) -> DataFrame:

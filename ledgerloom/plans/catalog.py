@@ -542,8 +542,9 @@ def rollforward_status(p: Pipeline) -> DataFrame:
 
 @query
 def duplicate_ids(p: Pipeline) -> DataFrame:
-    staged = checks.duplicate_ids(p.raw_with_copies(), "ID").select(
-        F.lit("staging").alias("table_name"), F.col("ID").alias("id"), F.col("occurrences").alias("duplicate_count"))
+    staged = checks.duplicate_ids(staging.stage_clean(p.loaded_twice()), "source_transaction_id").select(
+        F.lit("staging").alias("table_name"), F.col("source_transaction_id").alias("id"),
+        F.col("occurrences").alias("duplicate_count"))
     core = checks.duplicate_transaction_ids(p.cash(), p.trades()).withColumn(
         "id", F.col("transaction_id").cast("string")).drop("transaction_id")
     return staged.unionByName(core)

@@ -108,6 +108,8 @@ PARTS = {
         CASE WHEN TRY_CAST("Transaction Date" AS DATE) IS NULL THEN 1 ELSE 0 END AS flag_invalid_date,
         CASE WHEN "Total (GBP)" IS NOT NULL AND TRY_CAST("Total (GBP)" AS {M}) IS NULL THEN 1 ELSE 0 END AS flag_invalid_amount
         FROM x_raw""",
+    "x_staged2": "SELECT source_transaction_id FROM x_staged UNION ALL SELECT source_transaction_id FROM x_staged s JOIN x_raw r "
+                 "ON r.source_row_id = s.source_row_id WHERE TRY_CAST(r.\"No. of shares\" AS DOUBLE) > 100",
     "x_actions": "SELECT * FROM (" + _values(stand_in.ACTIONS) + ") AS t(raw_action, standardized_category, "
                  "cash_impact_sign, security_impact_sign, fee_tax_treatment, needs_review)",
     "x_accounts": "SELECT DISTINCT c_custkey % 50 + 1 AS account_id, CASE WHEN (c_custkey % 50 + 1) % 2 = 1 "
@@ -702,7 +704,7 @@ SQL = {
     "rollforward_status": f"""SELECT 'Ledger Roll-Forward' AS validation_check, 'PASS' AS validation_status, 0 AS failure_count,
         'All balances equal prior balance plus movement' AS validation_notes
         UNION ALL SELECT 'Ledger Roll-Forward', 'FAIL', {_n('x_rollbreaks')}, 'Balances differ from prior balance plus movement'""",
-    "duplicate_ids": " UNION ALL ".join([_dups("staging", "x_raw2", '"ID"'), _dups("cash_transactions", "x_cash", "transaction_id"),
+    "duplicate_ids": " UNION ALL ".join([_dups("staging", "x_staged2", "source_transaction_id"), _dups("cash_transactions", "x_cash", "transaction_id"),
                                          _dups("security_transactions", "x_trades", "transaction_id")]),
     "failed_casts": "SELECT sum(flag_invalid_date)::BIGINT AS failed_dates, sum(flag_invalid_amount)::BIGINT AS failed_amounts FROM x_staged",
     "missing_required": "SELECT count(*) FILTER (WHERE account_id IS NULL OR raw_action IS NULL) AS missing_fields_count FROM x_staged",

@@ -100,11 +100,13 @@ class Pipeline:
         return self.table("events").select(
             n.alias("source_row_id"), *[columns.get(c, none).cast("string").alias(c) for c in RAW_TRANSACTION_COLUMNS])
 
-    def raw_with_copies(self) -> DataFrame:
-        """Raw rows as loaded twice in part: large trades come again, without row numbers."""
+    def loaded_twice(self) -> DataFrame:
+        """Raw rows as loaded twice in part: large trades come again."""
         rows = self.raw()
-        large = quoted("No. of shares").try_cast("double") > 100
-        return rows.unionByName(rows.where(large)).drop("source_row_id")
+        return rows.unionByName(rows.where(quoted("No. of shares").try_cast("double") > 100))
+
+    def raw_with_copies(self) -> DataFrame:
+        return self.loaded_twice().drop("source_row_id")
 
     def staged(self) -> DataFrame:
         return staging.stage_clean(self.raw())
