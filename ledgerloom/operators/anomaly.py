@@ -57,7 +57,8 @@ def flags(found: DataFrame) -> DataFrame:
 _CUSTODIAN = "custodian_balances.csv"
 _LEDGER = "internal_ledger.csv"
 _NEGATIVE = {
-    _CUSTODIAN: ("NEGATIVE_CASH_BALANCE", "BALANCE_BELOW_ZERO", "Investigate funding entries and custodian adjustments"),
+    _CUSTODIAN: ("NEGATIVE_CASH_BALANCE", "BALANCE_BELOW_ZERO",
+                 "Investigate funding entries and custodian adjustments"),
     _LEDGER: ("LEDGER_NEGATIVE_BALANCE", "LEDGER_BALANCE_BELOW_ZERO",
               "Investigate internal ledger funding or settlement entry"),
 }
@@ -126,7 +127,7 @@ def daily_changes(balances: DataFrame, workspace: Workspace, month_rows: int = _
         F.count("*").alias("copies")).withColumn("month", F.trunc("day", "MM")), "distinct-balances")
     heaviest = rows.groupBy("account_id", "month").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     if heaviest > month_rows:
-        seen = previous_value(rows, "account_id", ["day", "balance"], "balance", "previous", workspace)
+        seen = previous_value(rows, "account_id", ["day", "balance"], "balance", "previous", workspace, stored=True)
     else:
         in_month = Window.partitionBy("account_id", "month").orderBy("day", "balance")
         inside = rows.select(
@@ -150,7 +151,8 @@ def large_movements(balances: DataFrame, workspace: Workspace, source: str = _CU
 
 
 def _measured(balances: DataFrame) -> DataFrame:
-    return balances.where("account_id is not null and balance is not null").withColumn("x", F.col("balance").cast("double"))
+    present = balances.where("account_id is not null and balance is not null")
+    return present.withColumn("x", F.col("balance").cast("double"))
 
 
 def account_stats(balances: DataFrame) -> DataFrame:

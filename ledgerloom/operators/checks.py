@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
-from ledgerloom.functions.columns import MONEY, SHARES, literal_frame, match_key, null_count
+from ledgerloom.functions.columns import MONEY, SHARES, match_key, null_count
 
 
 def _pass(ok: Column) -> Column:

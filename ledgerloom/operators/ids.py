@@ -8,15 +8,16 @@ from ledgerloom.sources.workspace import Workspace
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the lower 33 bits
 
 
-def _placed(df: DataFrame, order: list[Column | str], name: str, workspace: Workspace) -> DataFrame:
+def _placed(df: DataFrame, order: list[Column | str], name: str, workspace: Workspace, stored: bool) -> DataFrame:
     """Rows in order, each with its range partition and its row number in there, written.
 
-    The rows are written first, since range partitioning reads its input twice, once to sample it.
-    They are then range-partitioned and sorted, tagged, and written again: from then on the places
-    are data and no later run of the sampling can move them.
+    Range partitioning reads its input twice, once to sample it, so rows that are not ``stored``
+    yet are written first. They are then range-partitioned and sorted, tagged, and written again:
+    from then on the places are data and no later run of the sampling can move them.
     """
+    rows = df if stored else workspace.write(df, f"{name}-unordered")
     tagged = (
-        workspace.write(df, f"{name}-unordered").repartitionByRange(*order).sortWithinPartitions(*order)
+        rows.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
     return workspace.write(tagged, name).select(
@@ -25,12 +26,13 @@ def _placed(df: DataFrame, order: list[Column | str], name: str, workspace: Work
 
 
 def ordered_id(df: DataFrame, order: list[Column | str], column: str, workspace: Workspace,
-               start: int = 0) -> DataFrame:
+               start: int = 0, stored: bool = False) -> DataFrame:
     """Add consecutive ids in the given order; give a total order for stable ids.
 
-    An id is the row's place plus the number of rows in earlier partitions.
+    An id is the row's place plus the number of rows in earlier partitions. Say ``stored`` for rows
+    read from a table as they are.
     """
-    placed = _placed(df, order, column, workspace)
+    placed = _placed(df, order, column, workspace, stored)
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per shuffle partition, so both the window and the broadcast are bounded by that setting.
@@ -40,13 +42,13 @@ def ordered_id(df: DataFrame, order: list[Column | str], column: str, workspace:
 
 
 def previous_value(df: DataFrame, group: str, order: list[str], value: str, column: str,
-                   workspace: Workspace) -> DataFrame:
+                   workspace: Workspace, stored: bool = False) -> DataFrame:
     """Add the value of the row before, within the group, for groups of any size.
 
     Rows are cut into even range partitions, through the middle of a large group where need be. A
     partition's first row takes its predecessor from a table of one row per partition.
     """
-    placed = _placed(df, [group, *order], column, workspace)
+    placed = _placed(df, [group, *order], column, workspace, stored)
     both = F.struct(F.col(group).alias("g"), F.col(value).alias("v"))
     ends = placed.groupBy("_part").agg(F.max_by(both, "_row").alias("_end"))
     carried = ends.select("_part", F.lag("_end").over(Window.orderBy("_part")).alias("_carried"))

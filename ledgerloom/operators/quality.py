@@ -98,7 +98,8 @@ def _null_required(df: DataFrame, spec: QualitySpec) -> list[_Check]:
         share = F.lit(100) * _count() / F.col("_rows")
         out.append(_Check(
             ("NULL_REQUIRED_FIELD", F.when(share > 10, "HIGH").otherwise("MEDIUM"),
-             _text(f"'{c}' has ", _n(_count()), " null values (", F.format_number(share, 1), f"% of rows) in {spec.name}"),
+             _text(f"'{c}' has ", _n(_count()), " null values (", F.format_number(share, 1),
+                   f"% of rows) in {spec.name}"),
              f"Investigate upstream source for missing '{c}' values"),
             ("NULL_REQUIRED_FIELD", f"'{c}' — no nulls found"),
             count=quoted(c).isNull()))
@@ -356,7 +357,8 @@ def column_profile(df: DataFrame, exact: bool = True, samples: int = 3) -> DataF
     # A rank limit below the shuffle keeps only the first few values of a column per task.
     first = Window.partitionBy("column_name").orderBy("value")
     sample = (distinct.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= samples)
-              .groupBy("column_name").agg(F.array_join(F.sort_array(F.collect_list("value")), ", ").alias("sample_values")))
+              .groupBy("column_name")
+              .agg(F.array_join(F.sort_array(F.collect_list("value")), ", ").alias("sample_values")))
     return stats.join(sample, "column_name", "left").select(
         "column_name", "row_count", "null_count",
         F.round(F.lit(100.0) * F.col("null_count") / F.col("row_count"), 2).alias("null_pct"),

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
-from ledgerloom.functions.columns import SHARES, literal_frame, match_key
+from ledgerloom.functions.columns import SHARES, match_key
 
 _SEC = "security_impact"
 _CASH = "cash_impact"

@@ -142,7 +142,8 @@ def duplicate_names(files: DataFrame) -> DataFrame:
     names = (files.where("file_name is not null").groupBy("file_name")
              .agg(F.count("*").alias("_n"), first.alias("_first")).where("_n > 1")
              .select("file_name", "_first.*"))
-    action = F.concat(F.lit("Deduplicate '"), F.col("file_name"), F.lit("'; investigate why multiple copies were received"))
+    action = F.concat(F.lit("Deduplicate '"), F.col("file_name"),
+                      F.lit("'; investigate why multiple copies were received"))
     return names.select(_issue(
         3, "UNIQUE", "DUPLICATE", "DUPLICATE_FILE_NAME", "HIGH", _RECON, action, place=F.lit(0),
         text=F.col("file_name")).alias("_issue")).select("_issue.*")

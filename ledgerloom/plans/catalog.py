@@ -2,12 +2,12 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions import fixed_values as fixed
-from ledgerloom.functions.columns import MONEY, SHARES, match_key, quoted
+from ledgerloom.functions.columns import match_key, quoted
 from ledgerloom.operators import (
     anomaly, checks, exceptions, files, ids, ledger, quality, recon, reports, staging, vendor,
 )
@@ -374,8 +374,8 @@ def position_recon_totals(p: Pipeline) -> DataFrame:
 @query
 def ordered_id(p: Pipeline) -> DataFrame:
     rows = p.table("orders").select("o_custkey", "o_orderdate", "o_orderkey")
-    return ids.ordered_id(rows, ["o_custkey", "o_orderdate", "o_orderkey"], "row_id", p.workspace, start=1).select(
-        "row_id", "o_custkey", "o_orderkey")
+    numbered = ids.ordered_id(rows, ["o_custkey", "o_orderdate", "o_orderkey"], "row_id", p.workspace, start=1, stored=True)
+    return numbered.select("row_id", "o_custkey", "o_orderkey")
 
 
 # Reports

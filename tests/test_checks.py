@@ -1,4 +1,3 @@
-from datetime import date
 from decimal import Decimal as D
 
 from ledgerloom.operators import checks, reports

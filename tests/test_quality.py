@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from ledgerloom.operators import quality
 from ledgerloom.operators.quality import QualitySpec

@@ -1,6 +1,5 @@
 from decimal import Decimal as D
 
-from pyspark.sql import functions as F
 
 from ledgerloom.operators import staging
 from ledgerloom.sources.schemas import RAW_TRANSACTION_COLUMNS

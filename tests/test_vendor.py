@@ -2,7 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import vendor
-from tests.conftest import rows_of
 
 FILES = ("source_file_id bigint;file_name string;expected_date string;receipt_status string;received_timestamp string;"
          "validation_status string;record_count string")
