@@ -1,5 +1,9 @@
 """Session settings the jobs are written for."""
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -25,3 +29,17 @@ def spark_session(app: str = "ledgerloom", master: str | None = None, **conf: st
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def local_shared_folder(spark: SparkSession) -> None:
+    """Give a local session that has no ``spark.checkpoint.dir`` a temporary one, dropped at exit.
+
+    For entry points on one machine (tests, bench, the driver's smoke run); other sessions are left
+    as they are and must bring a folder that all executors share.
+    """
+    context = spark.sparkContext
+    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or not context.master.startswith("local"):
+        return
+    folder = tempfile.mkdtemp(prefix="ledgerloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.setCheckpointDir(folder)

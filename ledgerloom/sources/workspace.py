@@ -1,9 +1,5 @@
 """Written layers: tables that are read several times and must not change between reads."""
 
-import atexit
-import functools
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -11,22 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor sees: the session's ``spark.checkpoint.dir``.
-
-    Only a local session may go without the setting; it then gets a temporary folder.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    """Folder every executor sees: the session's ``spark.checkpoint.dir``, or the checkpoint folder
+    its context was given. There is no fallback: a folder of one machine would lose layers."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder()
-
-
-@functools.cache
-def _local_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="ledgerloom-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must not be a machine-local folder on a cluster")
     return folder
 
 
