@@ -129,8 +129,9 @@ def group_starts(*keys: np.ndarray) -> np.ndarray:
 
 
 def bucket_count(spark: SparkSession) -> int:
-    """Buckets for work dealt by hash: two for each shuffle partition, so they grow with that setting."""
-    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Buckets for work dealt by hash: eight for each shuffle partition, so they grow with that setting
+    and one bucket, which a task holds in memory, is an eighth of a partition."""
+    return 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 class Scatter:

@@ -33,7 +33,7 @@ ORACLE_SQL: dict[str, str] = {
                                             '[^\x20\x09-\x0D]+') AS w FROM documents),
         shingles AS (
           SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-            ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')) END) AS s FROM words),
+            ELSE [array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s FROM words),
         sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
         shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y USING (s)
                    WHERE x.doc_id <> y.doc_id GROUP BY ALL),

@@ -130,7 +130,7 @@ def _find_anchors(length: int, buckets: int):
                     row, at, gram, context, start, end = anchors(data[lo:hi], bounds, length)
                     place = lo + at - offsets[first + row]
                     held.append((gram, context, ids[first + row], place.astype(np.int32), (at - start).astype(np.int16), (end - start).astype(np.int16)))
-                if sum(len(x[0]) for x in held) >= 1 << 19:
+                if sum(len(x[0]) for x in held) >= 1 << 18:
                     yield from settle()
         yield from settle()
     return run
@@ -271,27 +271,42 @@ def maximal_repeats(group: np.ndarray, place: np.ndarray, content: np.ndarray, s
             yield depth, where[first:last + 1], [p - first for p in parts]
 
 
+def _whole_groups(groups: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of whole groups of sorted rows, of ``most`` rows or, if that is more, one group."""
+    cuts, start = np.append(group_starts(groups), len(groups)), 0
+    while start < len(groups):
+        end = int(cuts[max(np.searchsorted(cuts, start + most, "right") - 1, np.searchsorted(cuts, start, "right"))])
+        yield start, end
+        start = end
+
+
 def _suffix_arrays(length: int, buckets: int):
     """Step 4, on the contexts of one bucket."""
     def run(table: pa.Table) -> pa.Table:
         asks, doc, pos, size, content = gathered(table, _CONTEXT)
-        starts = np.concatenate(([0], np.cumsum(size.astype(np.int64))[:-1]))
-        ids, rank = np.unique(doc, return_inverse=True)
-        place = (rank.astype(np.int64) << np.int64(32)) | pos.astype(np.int64)
-        longest: dict[int, int] = {}
-        for depth, occurrences, parts in maximal_repeats(asks, place, content, starts, size.astype(np.int64), length):
-            # the first place of each child may still be the first of the whole; all others have
-            # got the child's longer span already
-            least = np.minimum.reduceat(occurrences, parts)
-            first = least.min()
-            for p in least[least != first].tolist():
-                if longest.get(p, 0) < depth:
-                    longest[p] = depth
-        found = np.fromiter(longest, np.int64, len(longest))
+        size = size.astype(np.int64)
+        starts = np.cumsum(size) - size
+        order = np.argsort(asks, kind="stable")
         marks = Scatter(buckets, _MARK)
-        docs = ids[found >> np.int64(32)] if len(found) else np.empty(0, np.int64)
-        marks.add(_bucket_of(docs), docs, found & np.int64(0xFFFFFFFF), np.fromiter(longest.values(), np.int64, len(longest)),
-                  np.zeros(len(found)), np.full(len(found), -1))
+        for a, b in _whole_groups(asks[order], 1 << 13):
+            k = order[a:b]
+            ids, rank = np.unique(doc[k], return_inverse=True)
+            place = (rank.astype(np.int64) << np.int64(32)) | pos[k].astype(np.int64)
+            longest: dict[int, int] = {}
+            part = content[ragged(starts[k], size[k])]
+            for depth, occurrences, children in maximal_repeats(asks[k], place, part, np.cumsum(size[k]) - size[k], size[k], length):
+                # the first place of each child may still be the first of the whole; all others have
+                # got the child's longer span already
+                least = np.minimum.reduceat(occurrences, children)
+                first = least.min()
+                for p in least[least != first].tolist():
+                    if longest.get(p, 0) < depth:
+                        longest[p] = depth
+            if longest:
+                found = np.fromiter(longest, np.int64, len(longest))
+                docs = ids[found >> np.int64(32)]
+                marks.add(_bucket_of(docs), docs, found & np.int64(0xFFFFFFFF), np.fromiter(longest.values(), np.int64, len(longest)),
+                          np.zeros(len(found)), np.full(len(found), -1))
         empty = pa.RecordBatch.from_pylist([], pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in _MARK)]))
         return pa.Table.from_batches([_tagged(1, b) for b in (list(marks.flush()) or [empty])])
     return run
