@@ -17,7 +17,7 @@ group of anchors with the same gram gets its own, over the bytes around them. Th
 
 Documents are dealt by hash of ``doc_id``, grams by their hash; exact copies travel as one place for each task, so
 a hot group does not meet in one task with all its rows. Contexts that differ do meet, at 168 bytes
-each: the memory of the fourth step grows with the number of different surroundings of one gram.
+each: what the fourth step holds grows with the number of different surroundings of one gram.
 Equality of contexts and strings is decided by 64-bit hashes within a gram and by bytes in step 4.
 """
 
@@ -39,7 +39,7 @@ _PLACE_BITS = 21
 _SEGMENT = 1 << 20
 _ANCHOR = {"gram": np.uint32, "context": np.uint64, "doc": np.int64, "pos": np.int32, "left": np.int16, "size": np.int16}
 _MARK = {"doc": np.int64, "pos": np.int32, "size": np.int32, "left": np.int16, "asks": np.int64}
-_CONTEXT = {"asks": np.int64, "doc": np.int64, "pos": np.int32, "size": np.int16, "content": np.uint8}
+_CONTEXT = {"asks": np.int64, "doc": np.int64, "pos": np.int32, "size": np.int16, "left": np.int16, "content": np.uint8}
 
 
 def _bucket_of(docs: np.ndarray) -> np.ndarray:
@@ -184,7 +184,7 @@ def _hand_out(buckets: int):
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
         doc, pos, size, left, asks = _unpacked(table, _MARK)
         wanted = asks >= 0
-        doc, pos, size, asks = doc[wanted], pos[wanted], size[wanted], asks[wanted]
+        doc, pos, size, left, asks = doc[wanted], pos[wanted], size[wanted], left[wanted], asks[wanted]
         out = []
         if len(doc) and docs.num_rows:
             data, offsets = utf8(docs["text"])
@@ -199,7 +199,7 @@ def _hand_out(buckets: int):
                 k = order[a:b]
                 content = data[ragged(start[k], size[k].astype(np.int64))]
                 out.append({"bucket": int(target[k[0]]), "asks": asks[k].tobytes(), "doc": doc[k].tobytes(), "pos": pos[k].tobytes(),
-                            "size": size[k].astype(np.int16).tobytes(), "content": content.tobytes()})
+                            "size": size[k].astype(np.int16).tobytes(), "left": left[k].tobytes(), "content": content.tobytes()})
         return pa.Table.from_pylist(out, pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in _CONTEXT)]))
     return run
 
@@ -224,17 +224,19 @@ def interval_tree(lcp: np.ndarray, least: int) -> Iterator[tuple[int, int, int,
                 stack.append((shared, start, [start, i + 1]))
 
 
-def maximal_repeats(group: np.ndarray, place: np.ndarray, content: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int):
+def maximal_repeats(group: np.ndarray, place: np.ndarray, content: np.ndarray, starts: np.ndarray, sizes: np.ndarray,
+                    first: np.ndarray, last: np.ndarray, length: int):
     """Repeats of ``length`` bytes or more among the contexts of each group.
 
-    ``place`` orders the contexts' first bytes in the corpus. Yields (shared length, occurrences,
+    ``place`` orders the contexts' first bytes in the corpus; suffixes start at the offsets from
+    ``first`` up to ``last`` in each context. Yields (shared length, occurrences,
     children): occurrences are places of all suffixes of the interval, in suffix order. Only
     intervals whose occurrences differ in the byte before them, or stand at a context's edge, are
     yielded: the others are part of a longer repeat. Suffixes that every occurrence extends to the
     left alike are left out before sorting, as they start no such repeat.
     """
-    counts = np.maximum(sizes - length + 1, 0)
-    at, owner = ragged(starts, counts), np.repeat(np.arange(len(starts)), counts)
+    counts = np.maximum(last - first, 0)
+    at, owner = ragged(starts + first, counts), np.repeat(np.arange(len(starts)), counts)
     if not len(at):
         return
     where = place[owner] + (at - starts[owner])
@@ -283,8 +285,8 @@ def _whole_groups(groups: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 def _suffix_arrays(length: int, buckets: int):
     """Step 4, on the contexts of one bucket."""
     def run(table: pa.Table) -> pa.Table:
-        asks, doc, pos, size, content = gathered(table, _CONTEXT)
-        size = size.astype(np.int64)
+        asks, doc, pos, size, left, content = gathered(table, _CONTEXT)
+        size, left = size.astype(np.int64), left.astype(np.int64)
         starts = np.cumsum(size) - size
         order = np.argsort(asks, kind="stable")
         marks = Scatter(buckets, _MARK)
@@ -293,15 +295,21 @@ def _suffix_arrays(length: int, buckets: int):
             ids, rank = np.unique(doc[k], return_inverse=True)
             place = (rank.astype(np.int64) << np.int64(32)) | pos[k].astype(np.int64)
             longest: dict[int, int] = {}
-            part = content[ragged(starts[k], size[k])]
-            for depth, occurrences, children in maximal_repeats(asks[k], place, part, np.cumsum(size[k]) - size[k], size[k], length):
-                # the first place of each child may still be the first of the whole; all others have
-                # got the child's longer span already
-                least = np.minimum.reduceat(occurrences, children)
-                first = least.min()
-                for p in least[least != first].tolist():
-                    if longest.get(p, 0) < depth:
-                        longest[p] = depth
+            part, edges = content[ragged(starts[k], size[k])], np.cumsum(size[k]) - size[k]
+            # equal strings stand alike around their anchor, so a large group is done in several
+            # ranges of offsets from the anchor
+            step = max(1, (1 << 19) // len(k))
+            for low in range(0, length - GRAM + 1, step):
+                offset = left[k] - low
+                first, last = np.maximum(offset - step + 1, 0), np.minimum(offset, size[k] - length) + 1
+                for depth, occurrences, children in maximal_repeats(asks[k], place, part, edges, size[k], first, last, length):
+                    # the first place of each child may still be the first of the whole; all others
+                    # have got the child's longer span already
+                    least = np.minimum.reduceat(occurrences, children)
+                    earliest = least.min()
+                    for p in least[least != earliest].tolist():
+                        if longest.get(p, 0) < depth:
+                            longest[p] = depth
             if longest:
                 found = np.fromiter(longest, np.int64, len(longest))
                 docs = ids[found >> np.int64(32)]
