@@ -32,7 +32,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of at most ``limit`` text bytes; a longer row is a piece of its own."""
     _, offsets = utf8(batch.column(column))
     start = 0
@@ -68,7 +68,10 @@ def powers(length: int, base: int = _BASE) -> np.ndarray:
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """Sums from which ``range_hash`` takes the hash of any byte range."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data) + 1)[:len(data)], out=sums[1:])
+    terms = data.astype(np.uint64)
+    terms += np.uint64(1)
+    terms *= powers(len(data) + 1)[:len(data)]
+    np.cumsum(terms, out=sums[1:])
     return sums
 
 
@@ -179,6 +182,12 @@ def gathered(table: pa.Table, columns: dict[str, type]) -> list[np.ndarray]:
     return [np.frombuffer(b"".join(table[c].to_pylist()), t) for c, t in columns.items()]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand Python at most 500 rows at a time, so that tasks of 1 GB hold several batches of long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
 def narrowed(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id`` and ``text`` (and ``more``) of documents, whatever other columns there are."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)

@@ -7,9 +7,11 @@ the domain of elements is partitioned twice: into first-level parts, and each of
 every first-level part had a difference in both halves there would be more than ``k`` differences,
 so similar sets agree in some subset that leaves one half out: they share the signature (band,
 first-level part, half, content). A set signs in its own band and, if a larger partner may stand in
-the next, there too. Empty halves are not signed. A set so unevenly spread that all its elements could lie
-in halves with differences also signs its rarest elements (prefix filter), which finds the pairs of
-two such sets. No link is lost; the test against all pairs is in the tests.
+the next, there too. There are half as many parts again as that needs, so a set may leave out weak halves: it signs
+those of ``c`` elements or more, for the largest ``c`` that leaves more halves than there can be
+differences. Then some signed half has no difference, and the partner with the larger ``c`` decides
+for both. A set too uneven for any ``c`` also signs its rarest elements (prefix filter), which finds
+the pairs of two such sets. No link is lost; the test against all pairs is in the tests.
 
 Signatures are dealt by hash in packed columns. Copies of a set are folded in each task before that. Sets that share a
 signature are compared with the least of them; those still in different components after that are
@@ -79,17 +81,22 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[n
         if not active.any():
             continue
         k = _most_differing(high, high, percent)
-        halves = np.where(active, 2 * (k // 2 + 1), 0)
+        halves = np.where(active, 2 * (3 * (k + 1) // 4 + 1), 0)
         row = np.repeat(rows, np.where(active, sizes, 0))
         held = ragged((np.cumsum(sizes) - sizes)[active], sizes[active])
         base = np.cumsum(halves) - halves
         slot = base[row] + (spread[held] % halves[row].astype(np.uint64)).astype(np.int64)
         content = np.zeros(int(halves.sum()), np.uint64)
         np.add.at(content, slot, mix(elements[held] + np.uint64(1)))
-        full = np.bincount(slot, minlength=len(content)) > 0
+        held_by = np.bincount(slot, minlength=len(content))
         of = np.repeat(rows, halves)
         part = np.arange(len(content)) - base[of]
-        uneven |= active & (np.bincount(of[full], minlength=len(sizes)) <= _most_differing(sizes, np.minimum(high, largest_partner), percent))
+        differing = _most_differing(sizes, np.minimum(high, largest_partner), percent)
+        weakest = np.zeros(len(sizes), np.int64)
+        for c in range(1, 9):
+            weakest[np.bincount(of[held_by >= c], minlength=len(sizes)) > differing] = c
+        uneven |= active & (weakest == 0)
+        full = held_by >= np.maximum(weakest, 1)[of]
         tag = mix((band[of] << 40 | part).astype(np.uint64))
         found.append(mix(content + tag)[full])
         owners.append(of[full])

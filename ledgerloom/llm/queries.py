@@ -5,10 +5,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import ngram_join, suffix_dedup
+from ledgerloom.llm.common import small_batches
 from ledgerloom.sources.workspace import Workspace
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 

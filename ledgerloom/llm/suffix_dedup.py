@@ -17,7 +17,8 @@ group of anchors with the same gram gets its own, over the bytes around them. Th
 
 Documents are dealt by hash of ``doc_id``, grams by their hash; exact copies travel as one place for each task, so
 a hot group does not meet in one task with all its rows. Contexts that differ do meet, at 168 bytes
-each: what the fourth step holds grows with the number of different surroundings of one gram.
+each; a gram with more than 2,000 of them (a common line, say) is split by twice as many bytes, those
+that its strings hold on the side where they reach further, so only contexts that share those meet.
 Equality of contexts and strings is decided by 64-bit hashes within a gram and by bytes in step 4.
 """
 
@@ -38,7 +39,7 @@ GRAM = 32
 _PLACE_BITS = 21
 _SEGMENT = 1 << 20
 _ANCHOR = {"gram": np.uint32, "context": np.uint64, "doc": np.int64, "pos": np.int32, "left": np.int16, "size": np.int16}
-_MARK = {"doc": np.int64, "pos": np.int32, "size": np.int32, "left": np.int16, "asks": np.int64}
+_MARK = {"doc": np.int64, "pos": np.int32, "size": np.int32, "left": np.int16, "asks": np.int64, "hot": np.int8}
 _CONTEXT = {"asks": np.int64, "doc": np.int64, "pos": np.int32, "size": np.int16, "left": np.int16, "content": np.uint8}
 
 
@@ -116,7 +117,7 @@ def _find_anchors(length: int, buckets: int):
             gram, context, doc, pos, left, size = (x[order] for x in (gram, context, doc, pos, left, size))
             sent.add(gram[starts], (gram[starts] & np.uint64(0xFFFFFFFF)), *(x[starts] for x in (context, doc, pos, left, size)))
             later = _later(doc, pos, starts)
-            marks.add(_bucket_of(doc[later]), doc[later], (pos - left)[later], size[later], left[later], np.full(int(later.sum()), -1))
+            marks.add(_bucket_of(doc[later]), doc[later], (pos - left)[later], size[later], left[later], np.full(int(later.sum()), -1), np.zeros(int(later.sum())))
             for kind, scatter, columns in ((0, sent, _ANCHOR), (1, marks, _MARK)):
                 for out in scatter.flush():
                     yield _tagged(kind, out)
@@ -150,7 +151,7 @@ def _unpacked(table: pa.Table, columns: dict[str, type]) -> list[np.ndarray]:
     return gathered(table.rename_columns(["kind", "bucket", *columns, *(f"_{i}" for i in range(6 - len(columns)))]), columns)
 
 
-def _compare_contexts(buckets: int):
+def _compare_contexts(split: int, buckets: int):
     """Step 2, on the anchors of one bucket; marks that tasks made already pass through."""
     def run(table: pa.Table) -> pa.Table:
         kinds = np.asarray(table["kind"])
@@ -162,12 +163,13 @@ def _compare_contexts(buckets: int):
             gram, context, doc, pos, left, size = (x[order] for x in (gram, context, doc, pos, left, size))
             later = _later(doc, pos, starts)
             groups = group_starts(gram[starts])
-            several = np.repeat(np.diff(np.append(groups, len(starts))), np.diff(np.append(groups, len(starts)))) > 1
-            asked = starts[several]
+            sizes = np.diff(np.append(groups, len(starts)))
+            contexts = np.repeat(sizes, sizes)
+            asked = starts[contexts > 1]
             asks = (np.int64(bucket) << np.int64(32)) | gram[asked].astype(np.int64)
             marks = Scatter(buckets, _MARK)
-            marks.add(_bucket_of(doc[later]), doc[later], (pos - left)[later], size[later], left[later], np.full(int(later.sum()), -1))
-            marks.add(_bucket_of(doc[asked]), doc[asked], (pos - left)[asked], size[asked], left[asked], asks)
+            marks.add(_bucket_of(doc[later]), doc[later], (pos - left)[later], size[later], left[later], np.full(int(later.sum()), -1), np.zeros(int(later.sum())))
+            marks.add(_bucket_of(doc[asked]), doc[asked], (pos - left)[asked], size[asked], left[asked], asks, (contexts > split)[contexts > 1])
             out += [pa.Table.from_batches([_tagged(1, b)]) for b in marks.flush()]
         return pa.concat_tables([t.cast(out[0].schema) for t in out])
     return run
@@ -179,12 +181,37 @@ def _by_doc(ids: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return order, np.searchsorted(doc[order], ids, "left"), np.searchsorted(doc[order], ids, "right")
 
 
-def _hand_out(buckets: int):
+def _narrowed_contexts(data, start, left, size, asks, length, buckets, side):
+    """Contexts of a hot gram narrowed to the strings that start far before it (side 0) or not (side
+    1), grouped by the bytes that all those strings hold: twice as many as the gram has.
+
+    Returns which contexts hold such strings, how far their starts move, their sizes and new groups.
+    """
+    half = (length - GRAM) // 2
+    anchor, end = start + left, start + size
+    if side == 0:  # strings that start at half + 1 bytes before the gram or earlier
+        core, core_end = anchor - half - 1, anchor + GRAM
+        low, high = start, np.minimum(end, anchor - half - 1 + length)
+    else:
+        core, core_end = anchor, anchor - half + length
+        low, high = np.maximum(start, anchor - half), end
+    fits = np.flatnonzero((core >= low) & (core_end <= high))
+    core, width = core[fits], int((core_end - core)[0]) if len(core) else 0
+    held = data[ragged(core, np.full(len(core), width))]
+    edges = np.arange(len(core)) * width
+    key = mix(range_hash(prefix_sums(held), edges, edges + width) + mix(asks[fits].astype(np.uint64) * np.uint64(2) + np.uint64(side)))
+    bucket = (key >> np.uint64(32)) % np.uint64(buckets)
+    group = (bucket << np.uint64(32) | key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return fits, (low - start)[fits], (high - low)[fits], group
+
+
+def _hand_out(length: int, buckets: int):
     """Step 3: the bytes of the contexts asked for, from the documents of one bucket."""
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
-        doc, pos, size, left, asks = _unpacked(table, _MARK)
+        doc, pos, size, left, asks, hot = _unpacked(table, _MARK)
         wanted = asks >= 0
         doc, pos, size, left, asks = doc[wanted], pos[wanted], size[wanted], left[wanted], asks[wanted]
+        hot = hot[wanted] > 0
         out = []
         if len(doc) and docs.num_rows:
             data, offsets = utf8(docs["text"])
@@ -192,14 +219,22 @@ def _hand_out(buckets: int):
             by_id = np.argsort(ids, kind="stable")
             row = by_id[np.searchsorted(ids[by_id], doc)]
             start = offsets[row] + pos
+            if hot.any():
+                halves = [_narrowed_contexts(data, start[hot], left[hot], size[hot], asks[hot], length, buckets, side) for side in (0, 1)]
+                picked = [np.flatnonzero(~hot), *(np.flatnonzero(hot)[h[0]] for h in halves)]
+                shift = np.concatenate([np.zeros(len(picked[0]), np.int64), *(h[1] for h in halves)])
+                size = np.concatenate([size[~hot], *(h[2] for h in halves)])
+                asks = np.concatenate([asks[~hot], *(h[3] for h in halves)])
+                picked = np.concatenate(picked)
+                start, doc, pos, left = start[picked] + shift, doc[picked], pos[picked] + shift, left[picked] - shift
             target = (asks >> np.int64(32)).astype(np.int64)
             order = np.lexsort((pos, doc, asks))
             cuts = np.append(group_starts(target[order]), len(order))
             for a, b in zip(cuts[:-1], cuts[1:]):
                 k = order[a:b]
                 content = data[ragged(start[k], size[k].astype(np.int64))]
-                out.append({"bucket": int(target[k[0]]), "asks": asks[k].tobytes(), "doc": doc[k].tobytes(), "pos": pos[k].tobytes(),
-                            "size": size[k].astype(np.int16).tobytes(), "left": left[k].tobytes(), "content": content.tobytes()})
+                out.append({"bucket": int(target[k[0]]), "asks": asks[k].tobytes(), "doc": doc[k].tobytes(), "pos": pos[k].astype(np.int32).tobytes(),
+                            "size": size[k].astype(np.int16).tobytes(), "left": left[k].astype(np.int16).tobytes(), "content": content.tobytes()})
         return pa.Table.from_pylist(out, pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in _CONTEXT)]))
     return run
 
@@ -224,7 +259,7 @@ def interval_tree(lcp: np.ndarray, least: int) -> Iterator[tuple[int, int, int,
                 stack.append((shared, start, [start, i + 1]))
 
 
-def maximal_repeats(group: np.ndarray, place: np.ndarray, content: np.ndarray, starts: np.ndarray, sizes: np.ndarray,
+def maximal_repeats(group: np.ndarray, place: np.ndarray, content: np.ndarray, sums: np.ndarray, starts: np.ndarray, sizes: np.ndarray,
                     first: np.ndarray, last: np.ndarray, length: int):
     """Repeats of ``length`` bytes or more among the contexts of each group.
 
@@ -240,7 +275,6 @@ def maximal_repeats(group: np.ndarray, place: np.ndarray, content: np.ndarray, s
     if not len(at):
         return
     where = place[owner] + (at - starts[owner])
-    sums = prefix_sums(content)
     window = mix(range_hash(sums, at, at + length) + group[owner].astype(np.uint64))
     order = np.argsort(window, kind="stable")
     cuts = group_starts(window[order])
@@ -298,11 +332,11 @@ def _suffix_arrays(length: int, buckets: int):
             part, edges = content[ragged(starts[k], size[k])], np.cumsum(size[k]) - size[k]
             # equal strings stand alike around their anchor, so a large group is done in several
             # ranges of offsets from the anchor
-            step = max(1, (1 << 19) // len(k))
+            sums, step = prefix_sums(part), max(1, (1 << 18) // len(k))
             for low in range(0, length - GRAM + 1, step):
                 offset = left[k] - low
                 first, last = np.maximum(offset - step + 1, 0), np.minimum(offset, size[k] - length) + 1
-                for depth, occurrences, children in maximal_repeats(asks[k], place, part, edges, size[k], first, last, length):
+                for depth, occurrences, children in maximal_repeats(asks[k], place, part, sums, edges, size[k], first, last, length):
                     # the first place of each child may still be the first of the whole; all others
                     # have got the child's longer span already
                     least = np.minimum.reduceat(occurrences, children)
@@ -314,7 +348,7 @@ def _suffix_arrays(length: int, buckets: int):
                 found = np.fromiter(longest, np.int64, len(longest))
                 docs = ids[found >> np.int64(32)]
                 marks.add(_bucket_of(docs), docs, found & np.int64(0xFFFFFFFF), np.fromiter(longest.values(), np.int64, len(longest)),
-                          np.zeros(len(found)), np.full(len(found), -1))
+                          np.zeros(len(found)), np.full(len(found), -1), np.zeros(len(found)))
         empty = pa.RecordBatch.from_pylist([], pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in _MARK)]))
         return pa.Table.from_batches([_tagged(1, b) for b in (list(marks.flush()) or [empty])])
     return run
@@ -341,7 +375,7 @@ def kept_ranges(size: int, starts: np.ndarray, ends: np.ndarray) -> tuple[list[t
 def _cut_out(texts: bool):
     """Step 5, on the documents of one bucket."""
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
-        doc, pos, size, _, asks = _unpacked(table, _MARK)
+        doc, pos, size, _, asks, _ = _unpacked(table, _MARK)
         span = asks < 0
         doc, pos, size = doc[span], pos[span].astype(np.int64), size[span].astype(np.int64)
         data, offsets = utf8(docs["text"])
@@ -370,7 +404,7 @@ def _result(texts: bool) -> pa.Schema:
                       ("kept_sha256", pa.string()), *([("kept_text", pa.string())] if texts else [])])
 
 
-def remove_repeats(docs: DataFrame, space: Workspace, length: int = 100, texts: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, space: Workspace, length: int = 100, texts: bool = False, split: int = 2000) -> DataFrame:
     """Remove each byte covered by a string of ``length`` bytes that also starts earlier.
 
     Earlier means in a document of smaller ``doc_id`` or before it in the same document; overlaps
@@ -378,19 +412,21 @@ def remove_repeats(docs: DataFrame, space: Workspace, length: int = 100, texts:
     ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept_sha256`` and, with
     ``texts``, ``kept_text`` (a character that was cut in two is dropped there).
 
+    Grams with more than ``split`` different contexts are split; that changes no result.
+
     Null text counts as empty and stays null in ``kept_text``; texts shorter than ``length`` are kept whole; an empty
     table gives an empty result. Rows must have distinct, non-null ``doc_id``: rows with a null one
     are left out, and other columns are ignored.
     """
-    if length < 2 * GRAM:
-        raise ValueError(f"length must be {2 * GRAM} or more")
+    if length < GRAM + 2:
+        raise ValueError(f"length must be {GRAM + 2} or more")
     spark, docs = docs.sparkSession, narrowed(docs).where("doc_id IS NOT NULL")
     buckets = bucket_count(spark)
     sent = docs.mapInArrow(_find_anchors(length, buckets), _PACKED)
-    marks = space.write(sent.groupBy("bucket").applyInArrow(_compare_contexts(buckets), _PACKED).select("bucket", *(f"c{i}" for i in range(6))), "marks")
+    marks = space.write(sent.groupBy("bucket").applyInArrow(_compare_contexts(split, buckets), _PACKED).select("bucket", *(f"c{i}" for i in range(6))), "marks")
     marks = marks.select(F.lit(1).alias("kind"), "*")
     dealt = docs.mapInArrow(_with_bucket(buckets), "doc_id long, text string, bucket int")
-    contexts = dealt.groupBy("bucket").cogroup(marks.groupBy("bucket")).applyInArrow(_hand_out(buckets), Scatter.schema(_CONTEXT))
+    contexts = dealt.groupBy("bucket").cogroup(marks.groupBy("bucket")).applyInArrow(_hand_out(length, buckets), Scatter.schema(_CONTEXT))
     more = contexts.groupBy("bucket").applyInArrow(_suffix_arrays(length, buckets), _PACKED)
     spans = marks.unionByName(more)
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * texts
