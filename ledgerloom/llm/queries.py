@@ -2,9 +2,10 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import ngram_join, suffix_dedup
+from ledgerloom.llm import langid, ngram_join, packing, quality_crf, quality_rules, sentencepiece_bpe, suffix_dedup, token_counts
 from ledgerloom.llm.common import small_batches
 from ledgerloom.sources.workspace import Workspace
 
@@ -19,13 +20,43 @@ def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_crf.quality_scores(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece_bpe.encode_decode(_documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(_documents(spark, folder))
+
+
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judged(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(_documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_documents(spark, folder), Workspace(spark))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_packing": op3_packing,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op8_language_id": op8_language_id,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
