@@ -4,8 +4,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import langid, ngram_join, packing, quality_crf, quality_rules, sentencepiece_bpe, suffix_dedup, token_counts
+from ledgerloom.llm import ann, langid, line_dedup, ngram_join, packing, quality_crf, quality_rules, sentencepiece_bpe, suffix_dedup, token_counts
 from ledgerloom.llm.common import small_batches
 from ledgerloom.sources.workspace import Workspace
 
@@ -15,6 +16,11 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.drop_near_lines(_documents(spark, folder), Workspace(spark))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = ngram_join.similar_documents(_documents(spark, folder), Workspace(spark))
     return found
@@ -32,6 +38,11 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_bpe.encode_decode(_documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
+    return ann.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(_documents(spark, folder))
 
@@ -49,11 +60,13 @@ def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_packing": op3_packing,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
