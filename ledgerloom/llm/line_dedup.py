@@ -4,9 +4,9 @@ Lines are lower-cased and cut into character shingles. One-permutation hashing g
 line ``rows * bands`` minima (each shingle falls into one bin; empty bins borrow from the next full
 one), and lines that agree on all rows of a band are candidates: at similarity 0.8 a pair is missed in
 all 20 bands of 6 rows with a chance of 0.2 percent. Candidates of a band are compared with the
-least of them by exact Jaccard similarity; members that are still in different components after that
-are compared with each other. Union-find over tasks joins the links, and of each component the
-occurrence in the smallest document, first line, stays.
+least of them and with their neighbour in order of hash, by exact Jaccard similarity: a number of
+pairs in proportion to the band, where near copies meet again in other bands and other orders. Union-find over
+tasks joins the links, and of each component the occurrence in the smallest document, first line, stays.
 
 Line texts move only for candidates; repeated lines are sent once by each task.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import Scatter, bucket_count, group_starts, mix, narrowed, powers, prefix_sums, ragged, range_hash, slices, utf8
 from ledgerloom.llm.components import components
-from ledgerloom.llm.ngram_join import _MEMBERS, _PACKED, _PAIRS, _SIGNATURES, _SIGNED, _group, _planes, _spread
+from ledgerloom.llm.ngram_join import _PACKED, _PAIRS, _SIGNATURES, _SIGNED, _group, _planes, _spread
 from ledgerloom.sources.workspace import Workspace
 
 _LINES = 5
@@ -187,20 +187,13 @@ def drop_near_lines(docs: DataFrame, space: Workspace, size: int = 8, percent: i
     """
     docs = narrowed(docs).where("doc_id IS NOT NULL")
     buckets = bucket_count(docs.sparkSession)
-    found = space.write(docs.mapInArrow(_sign(size, rows, bands, buckets), _PACKED).groupBy("bucket").applyInArrow(_group, _PACKED), "lines")
+    found = space.write(docs.mapInArrow(_sign(size, rows, bands, buckets), _PACKED).groupBy("bucket").applyInArrow(_group(chain=True), _PACKED), "lines")
 
     def part(kind: int) -> DataFrame:
         return found.where(F.col("kind") == kind).mapInArrow(_spread, "a long, b long")
 
     links = _verified(docs, part(_PAIRS).distinct(), space, size, percent)
     near = components(links, space)
-    members = part(_MEMBERS).distinct().withColumnsRenamed({"a": "name", "b": "line"})
-    members = members.join(near.withColumnRenamed("node", "line"), "line", "left").select("name", "line", F.coalesce("root", "line").alias("root"))
-    apart = members.groupBy("name").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("name")
-    apart = space.write(members.join(apart, "name", "left_semi"), "apart")
-    pairs = apart.alias("x").join(apart.alias("y"), (F.col("x.name") == F.col("y.name")) & (F.col("x.root") < F.col("y.root"))) \
-        .select(F.least("x.line", "y.line").alias("a"), F.greatest("x.line", "y.line").alias("b")).distinct().join(part(_PAIRS), ["a", "b"], "left_anti")
-    near = components(space.write(links.unionByName(_verified(docs, pairs, space, size, percent)), "links"), space)
 
     lines = found.where(F.col("kind") == _LINES).mapInArrow(_occurrences, "line long, doc_id long, number long")
     lines = lines.join(near.withColumnRenamed("node", "line"), "line", "left").select(F.coalesce("root", "line").alias("root"), "doc_id", "number")

@@ -10,7 +10,9 @@ first-level part, half, content). A set signs in its own band and, if a larger p
 the next, there too. There are half as many parts again as that needs, so a set may leave out weak halves: it signs
 those of ``c`` elements or more, for the largest ``c`` that leaves more halves than there can be
 differences. Then some signed half has no difference, and the partner with the larger ``c`` decides
-for both. A set too uneven for any ``c`` also signs its rarest elements (prefix filter), which finds
+for both. Shingles that very many documents hold (a common line's) are left out of the halves: that
+only takes differences away, so nothing is lost, and which ones are left out changes no result. A
+set too uneven for any ``c`` also signs its rarest elements (prefix filter), which finds
 the pairs of two such sets. No link is lost; the test against all pairs is in the tests.
 
 Signatures are dealt by hash in packed columns. Copies of a set are folded in each task before that. Sets that share a
@@ -66,8 +68,9 @@ def _most_differing(small: np.ndarray, large: np.ndarray, percent: int) -> np.nd
     return (100 - percent) * (small + large) // (100 + percent)
 
 
-def signatures(elements: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signature hashes of all sets and the row each belongs to."""
+def signatures(elements: np.ndarray, sizes: np.ndarray, percent: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signature hashes of all sets and the row each belongs to; ``common`` elements (sorted) stand back."""
+    rare = ~_among(elements, common)
     rows = np.arange(len(sizes))
     spread = mix(elements)
     found, owners = [], []
@@ -87,7 +90,9 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[n
         base = np.cumsum(halves) - halves
         slot = base[row] + (spread[held] % halves[row].astype(np.uint64)).astype(np.int64)
         content = np.zeros(int(halves.sum()), np.uint64)
-        np.add.at(content, slot, mix(elements[held] + np.uint64(1)))
+        signed = rare[held]
+        slot = slot[signed]
+        np.add.at(content, slot, mix(elements[held[signed]] + np.uint64(1)))
         held_by = np.bincount(slot, minlength=len(content))
         of = np.repeat(rows, halves)
         part = np.arange(len(content)) - base[of]
@@ -103,12 +108,52 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[n
     for i in np.flatnonzero(uneven):
         a = int(sizes[:i].sum())
         n = int(sizes[i])
-        rarest = np.sort(elements[a:a + n])[:n - -(-n * percent // 100) + 1]
+        order = np.lexsort((elements[a:a + n], ~rare[a:a + n]))
+        rarest = elements[a:a + n][order][:n - -(-n * percent // 100) + 1]
         found.append(mix(rarest ^ np.uint64(0x5851F42D4C957F2D)))
         owners.append(np.full(len(rarest), i))
     return (np.concatenate(found), np.concatenate(owners)) if found else (np.empty(0, np.uint64), np.empty(0, np.int64))
 
 
+def _among(values: np.ndarray, found: np.ndarray) -> np.ndarray:
+    if not len(found):
+        return np.zeros(len(values), bool)
+    return found[np.minimum(np.searchsorted(found, values), len(found) - 1)] == values
+
+
+def _often(width: int, share: float):
+    """Shingles that a share of a task's documents hold, with their number, chunk by chunk."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, docs = [], 0
+
+        def counted() -> pa.RecordBatch:
+            values, number = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
+            most = number >= max(3, share * docs)
+            return pa.RecordBatch.from_arrays([pa.array(values[most].view(np.int64)), pa.array(number[most])], ["shingle", "n"])
+
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                elements, sizes = shingle_sets(*utf8(piece.column("text")), width)
+                held.append(elements)
+                docs += len(sizes)
+                if sum(map(len, held)) >= 1 << 21:
+                    yield counted()
+                    held, docs = [], 0
+        yield counted()
+    return run
+
+
+def common_shingles(docs: DataFrame, width: int, share: float) -> np.ndarray:
+    """Shingles in at least about ``share`` of all documents, sorted.
+
+    A shingle so frequent in the corpus is so in some chunk of it, and chunks report those that are.
+    There are at most the mean set size divided by ``share`` of them, so they fit the driver.
+    """
+    total = docs.count()
+    found = docs.mapInArrow(_often(width, share), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= share * total)
+    return np.sort(np.array([r.shingle for r in found.select("shingle").collect()], np.int64).view(np.uint64))
+
+
 def _planes(docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return docs & 0xFFFFFFFF, docs >> 32
 
@@ -123,7 +168,7 @@ def _row(kind: int, bucket: int, *arrays: np.ndarray) -> pa.RecordBatch:
                                       ["kind", "bucket", "c0", "c1", "c2"])
 
 
-def _sign(width: int, percent: int, buckets: int):
+def _sign(width: int, percent: int, common: np.ndarray, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent, seen = Scatter(buckets, _SIGNED, 1 << 21), {}
         turn = 0
@@ -147,7 +192,7 @@ def _sign(width: int, percent: int, buckets: int):
                 if copy.any():
                     yield _row(_LINKS, turn % buckets, ids[copy], first[copy])
                 lone = np.repeat(~copy, sizes)
-                found, owner = signatures(elements[lone], sizes[~copy], percent)
+                found, owner = signatures(elements[lone], sizes[~copy], percent, common)
                 sent.add(found, found & np.uint64(0xFFFFFFFF), *_planes(ids[~copy][owner]))
                 if sent.full:
                     yield from flush()
@@ -155,37 +200,46 @@ def _sign(width: int, percent: int, buckets: int):
     return run
 
 
-def _group(table: pa.Table) -> pa.Table:
-    """Pairs with the least member and, for larger groups, the members, of one bucket's signatures."""
-    kinds = np.asarray(table["kind"])
-    out = [table.filter(pa.array(kinds != _SIGNATURES))]
-    sig, low, high = gathered(table.filter(pa.array(kinds == _SIGNATURES)).rename_columns(["kind", "bucket", *_SIGNED]), _SIGNED)
-    if len(sig):
-        bucket, doc = table["bucket"][0].as_py(), _joined(low, high)
-        order = np.argsort(sig, kind="stable")
-        sig, doc = sig[order], doc[order]
-        again = np.zeros(len(sig), bool)
-        same = sig[1:] == sig[:-1]
-        again[1:] |= same
-        again[:-1] |= same
-        sig, doc = sig[again], doc[again]
-        order = np.lexsort((doc, sig))
-        sig, doc = sig[order], doc[order]
-        once = group_starts(sig, doc)
-        sig, doc = sig[once], doc[once]
-        cuts = group_starts(sig)
-        sizes = np.diff(np.append(cuts, len(sig)))
-        if len(cuts):
-            names = mix(np.add.reduceat(mix(doc.astype(np.uint64)), cuts)) & np.uint64((1 << 63) - 1)
-            _, first = np.unique(names, return_index=True)
-            first = first[sizes[first] > 1]
-            names, cuts, sizes = names[first].astype(np.int64), cuts[first], sizes[first]
-            others = doc[ragged(cuts + 1, sizes - 1)]
-            pairs = np.unique(np.stack([np.repeat(doc[cuts], sizes - 1), others]), axis=1)
-            out.append(pa.Table.from_batches([_row(_PAIRS, bucket, *pairs)]))
-            large = sizes > 2
-            out.append(pa.Table.from_batches([_row(_MEMBERS, bucket, np.repeat(names[large], sizes[large]), doc[ragged(cuts[large], sizes[large])])]))
-    return pa.concat_tables([t.cast(out[0].schema) for t in out])
+def _group(chain: bool = False):
+    """Pairs with the least member and, for larger groups, the members, of one bucket's signatures.
+
+    With ``chain`` there are pairs of neighbours in place of the members.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        kinds = np.asarray(table["kind"])
+        out = [table.filter(pa.array(kinds != _SIGNATURES))]
+        sig, low, high = gathered(table.filter(pa.array(kinds == _SIGNATURES)).rename_columns(["kind", "bucket", *_SIGNED]), _SIGNED)
+        if len(sig):
+            bucket, doc = table["bucket"][0].as_py(), _joined(low, high)
+            order = np.argsort(sig, kind="stable")
+            sig, doc = sig[order], doc[order]
+            again = np.zeros(len(sig), bool)
+            same = sig[1:] == sig[:-1]
+            again[1:] |= same
+            again[:-1] |= same
+            sig, doc = sig[again], doc[again]
+            order = np.lexsort((doc, sig))
+            sig, doc = sig[order], doc[order]
+            once = group_starts(sig, doc)
+            sig, doc = sig[once], doc[once]
+            cuts = group_starts(sig)
+            sizes = np.diff(np.append(cuts, len(sig)))
+            if len(cuts):
+                names = mix(np.add.reduceat(mix(doc.astype(np.uint64)), cuts)) & np.uint64((1 << 63) - 1)
+                _, first = np.unique(names, return_index=True)
+                first = first[sizes[first] > 1]
+                names, cuts, sizes = names[first].astype(np.int64), cuts[first], sizes[first]
+                others = doc[ragged(cuts + 1, sizes - 1)]
+                pairs = np.unique(np.stack([np.repeat(doc[cuts], sizes - 1), others]), axis=1)
+                out.append(pa.Table.from_batches([_row(_PAIRS, bucket, *pairs)]))
+                large = sizes > 2
+                if chain:
+                    follow = ragged((cuts + 2)[large], (sizes - 2)[large])
+                    out.append(pa.Table.from_batches([_row(_PAIRS, bucket, doc[follow - 1], doc[follow])]))
+                    large &= False
+                out.append(pa.Table.from_batches([_row(_MEMBERS, bucket, np.repeat(names[large], sizes[large]), doc[ragged(cuts[large], sizes[large])])]))
+        return pa.concat_tables([t.cast(out[0].schema) for t in out])
+    return run
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,12 +273,13 @@ def _verified(docs: DataFrame, pairs: DataFrame, space: Workspace, width: int, p
     return space.write(both.mapInArrow(_similar(width, percent), "a long, b long").distinct(), "links")
 
 
-def similar_documents(docs: DataFrame, space: Workspace, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+def similar_documents(docs: DataFrame, space: Workspace, width: int = 5, percent: int = 80, common_share: float = 0.002) -> tuple[DataFrame, DataFrame]:
     """Each document's set size and the component of documents linked by Jaccard similarity.
 
     Two documents link when 100 times the intersection of their sets is ``percent`` or more times
     the union. Returns (``doc_id``, ``n_shingles``, ``component_id``), where the component is the
-    least ``doc_id`` reachable by links, and the links that join components.
+    least ``doc_id`` reachable by links, and the links that join components. ``common_share`` sets from
+    which share of documents on a shingle counts as common; it changes no result.
 
     Null text and text without words give an empty set, which links with nothing. Rows with a null
     ``doc_id`` are left out; rows that repeat a ``doc_id`` share its component; other columns are
@@ -234,8 +289,9 @@ def similar_documents(docs: DataFrame, space: Workspace, width: int = 5, percent
         raise ValueError("percent must be from 50 to 100")
     docs = narrowed(docs).where("doc_id IS NOT NULL")
     buckets = bucket_count(docs.sparkSession)
-    signed = docs.mapInArrow(_sign(width, percent, buckets), _PACKED)
-    found = space.write(signed.groupBy("bucket").applyInArrow(_group, _PACKED), "candidates")
+    common = common_shingles(docs, width, common_share)
+    signed = docs.mapInArrow(_sign(width, percent, common, buckets), _PACKED)
+    found = space.write(signed.groupBy("bucket").applyInArrow(_group(), _PACKED), "candidates")
 
     def part(kind: int) -> DataFrame:
         return found.where(F.col("kind") == kind).mapInArrow(_spread, "a long, b long")
