@@ -39,7 +39,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeStringArray, n
 class UnitTable:
     """Packed results of units: ``resolve`` gives one bytes object for each of a list of units."""
 
-    def __init__(self, resolve: Callable[[list[str]], list[bytes]], most: int = 400_000):
+    def __init__(self, resolve: Callable[[list[str]], list[bytes]], most: int = 1_000_000):
         self.resolve, self.most, self.known = resolve, most, {}
 
     def __call__(self, units: pa.LargeStringArray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
