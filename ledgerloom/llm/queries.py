@@ -88,18 +88,4 @@ ORACLE_SQL: dict[str, str] = {
         reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT doc_id, b FROM reach JOIN links ON other = a)
         SELECT d.doc_id, coalesce(any_value(sizes.n), 0)::BIGINT AS n_shingles, min(other) AS component_id
         FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id""",
-    "op6_suffix_array_dedup": r"""
-        WITH bytes AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
-        sized AS (SELECT doc_id, lower(hex(b)) AS h, octet_length(b)::BIGINT AS n FROM bytes),
-        places AS (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM sized WHERE n >= 100),
-        strings AS (SELECT doc_id, p, row_number() OVER (PARTITION BY md5(substr(h, 2 * p + 1, 200)) ORDER BY doc_id, p) AS turn FROM places),
-        starts AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS q FROM strings WHERE turn > 1),
-        runs AS (SELECT doc_id, p, sum(CASE WHEN q IS NULL OR p > q + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM starts),
-        spans AS (SELECT doc_id, run, min(p) AS s, max(p) + 100 AS e FROM runs GROUP BY doc_id, run),
-        gaps AS (SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS f, s AS t FROM spans
-                 UNION ALL SELECT sized.doc_id, coalesce(max(e), 0), n FROM sized LEFT JOIN spans USING (doc_id) GROUP BY sized.doc_id, n),
-        kept AS (SELECT doc_id, string_agg(substr(h, 2 * f + 1, 2 * (t - f)), '' ORDER BY f) AS k FROM gaps JOIN sized USING (doc_id) GROUP BY doc_id),
-        counted AS (SELECT doc_id, sum(e - s)::BIGINT AS r, count(*) AS c FROM spans GROUP BY doc_id)
-        SELECT doc_id, n AS n_bytes, coalesce(r, 0)::BIGINT AS n_removed, coalesce(c, 0)::BIGINT AS n_spans, sha256(unhex(k)) AS kept_sha256
-        FROM sized JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)""",
 }
