@@ -16,8 +16,10 @@ set too uneven for any ``c`` also signs its rarest elements (prefix filter), whi
 the pairs of two such sets. No link is lost; the test against all pairs is in the tests.
 
 Signatures are dealt by hash in packed columns. Copies of a set are folded in each task before that. Sets that share a
-signature are compared with the least of them; those still in different components after that are
-compared with each other, so no group emits all its pairs unless its members really differ.
+signature are compared with the least of them. Those still in different components after that meet
+each other under a bound: for each set, which bins of the domain hold an odd number of its elements.
+Two sets differ in at least as many elements as these bits differ, so pairs beyond the bound
+cannot link and never leave the join.
 """
 
 from collections.abc import Iterator
@@ -36,6 +38,8 @@ from ledgerloom.sources.workspace import Workspace
 _SIGNED = {"sig": np.uint32, "low": np.uint32, "high": np.int32}
 _PACKED = "kind int, bucket int, c0 binary, c1 binary, c2 binary"
 _SETS, _SIGNATURES, _PAIRS, _MEMBERS, _LINKS = range(5)
+#: Bins whose parity bounds the difference of two sets from below, in words of 64 bits.
+_PARITY = [f"parity{i}" for i in range(8)]
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,6 +158,14 @@ def common_shingles(docs: DataFrame, width: int, share: float) -> np.ndarray:
     return np.sort(np.array([r.shingle for r in found.select("shingle").collect()], np.int64).view(np.uint64))
 
 
+def parities(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each set, as 64-bit words, the bins that hold an odd number of its elements."""
+    bins = 64 * len(_PARITY)
+    slot = np.repeat(np.arange(len(sizes)) * bins, sizes) + (mix(elements) % np.uint64(bins)).astype(np.int64)
+    odd = np.bincount(slot, minlength=len(sizes) * bins) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(sizes), bins), axis=1).view(np.int64)
+
+
 def _planes(docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return docs & 0xFFFFFFFF, docs >> 32
 
@@ -182,7 +194,7 @@ def _sign(width: int, percent: int, common: np.ndarray, buckets: int):
                 ids = np.asarray(piece.column("doc_id"))
                 elements, sizes = shingle_sets(*utf8(piece.column("text")), width)
                 turn += 1
-                yield _row(_SETS, turn % buckets, ids, sizes)
+                yield _row(_SETS, turn % buckets, ids, sizes, parities(elements, sizes))
                 ends = np.cumsum(sizes)
                 sums = np.concatenate(([0], np.cumsum(mix(elements)))).astype(np.uint64)
                 again = np.concatenate(([0], np.cumsum(mix(elements ^ np.uint64(0x2545F4914F6CDD1D))))).astype(np.uint64)
@@ -248,6 +260,13 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(a, np.int64)), pa.array(np.frombuffer(b, np.int64))], ["a", "b"])
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for cells in zip(*(batch.column(c).to_pylist() for c in ("c0", "c1", "c2"))):
+            ids, sizes, bits = (np.frombuffer(x, np.int64) for x in cells)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sizes), *map(pa.array, bits.reshape(len(ids), -1).T)], ["doc_id", "n_shingles", *_PARITY])
+
+
 def _similar(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,16 +318,19 @@ def similar_documents(docs: DataFrame, space: Workspace, width: int = 5, percent
     copies = part(_LINKS)
     links = copies.unionByName(_verified(docs, part(_PAIRS).distinct(), space, width, percent))
     near = components(links, space)
-    # members of one signature that are still apart: all of them are compared
+    sets = found.where(F.col("kind") == _SETS).mapInArrow(_sets, f"doc_id long, n_shingles long, {' long, '.join(_PARITY)} long")
+    # members of one signature that are still apart: all within the bound are compared
     members = part(_MEMBERS).distinct().withColumnsRenamed({"a": "name", "b": "doc"})
     members = members.join(near.withColumnRenamed("node", "doc"), "doc", "left").select("name", "doc", F.coalesce("root", "doc").alias("root"))
     apart = members.groupBy("name").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("name")
-    apart = space.write(members.join(apart, "name", "left_semi"), "apart")
-    pairs = apart.alias("x").join(apart.alias("y"), (F.col("x.name") == F.col("y.name")) & (F.col("x.root") < F.col("y.root"))) \
+    apart = space.write(members.join(apart, "name", "left_semi").join(sets.withColumnRenamed("doc_id", "doc"), "doc"), "apart")
+    differing = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in _PARITY), F.lit(0))
+    differing = F.greatest(differing, F.abs(F.col("x.n_shingles") - F.col("y.n_shingles")))
+    possible = (100 + percent) * differing <= (100 - percent) * (F.col("x.n_shingles") + F.col("y.n_shingles"))
+    pairs = apart.alias("x").join(apart.alias("y"), (F.col("x.name") == F.col("y.name")) & (F.col("x.root") < F.col("y.root")) & possible) \
         .select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
     links = space.write(links.unionByName(_verified(docs, pairs, space, width, percent)), "links")
     whole = components(links, space)
-    sets = part(_SETS).withColumnsRenamed({"a": "doc_id", "b": "n_shingles"})
-    result = sets.join(whole.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
+    result = sets.select("doc_id", "n_shingles").join(whole.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
         .select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
     return result, links
