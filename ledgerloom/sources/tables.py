@@ -94,16 +94,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_by_month(df: DataFrame, path: str, date_column: str, tasks_per_month: int = 8) -> None:
+def write_by_month(df: DataFrame, path: str, date_column: str) -> None:
     """Parquet split by year-month, so date filters prune folders.
 
-    Rows are spread by month and a hash of the whole row, so one busy month is written by several
-    tasks and no task opens a file in every month.
+    Rows are brought together by month; adaptive execution gives a busy month as many writers as its
+    size asks for (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each) and joins small months.
     """
     monthly = df.withColumn("year_month", F.date_format(date_column, "yyyy-MM"))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(tasks_per_month))
-    (monthly.repartition("year_month", spread)
-        .write.mode("overwrite").partitionBy("year_month").parquet(path))
+    monthly.hint("rebalance", "year_month").write.mode("overwrite").partitionBy("year_month").parquet(path)
 
 
 def overwrite_table(df: DataFrame, path: str) -> DataFrame:

@@ -47,6 +47,20 @@ def test_monthly_table_prunes_by_month(spark, tmp_path, frame):
     assert "PartitionFilters: [isnotnull(year_month" in plan
 
 
+def test_a_busy_month_has_several_writers(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        ids = spark.range(0, 100_000, 1, 8)
+        df = ids.selectExpr("if(id % 5 = 0, date'2020-01-05', date'2020-02-05') AS d", "xxhash64(id) AS v")
+        tables.write_by_month(df, str(tmp_path / "m"), "d")
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((tmp_path / "m" / "year_month=2020-02").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 100_000
+
+
 def test_overwriting_twice_leaves_the_same_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.overwrite_table(spark.range(5), path)
