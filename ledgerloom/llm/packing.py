@@ -8,6 +8,7 @@ fill the cheapest ones. Tokens beyond the last full sequence of a window wait fo
 the end of a task they fill sequences whose lengths are powers of two, which need no padding.
 """
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.llm.common import narrowed, slices, utf8
 from ledgerloom.llm.token_counts import tokenizer
-from ledgerloom.llm.units import UnitTable, words
+from ledgerloom.llm.units import UnitTable, unit_ids, words
 
 Piece = tuple[int, int, int]  # document, start, length
 
@@ -81,11 +82,17 @@ def powers_of_two(pieces: list[Piece]) -> list[list[Piece]]:
     return out
 
 
+@functools.cache
+def _word_ids(path: str) -> UnitTable:
+    """Ids of words, kept for all tasks of a process."""
+    known = tokenizer(path)
+    return UnitTable(lambda units: unit_ids(known, units, " \x01 "))
+
+
 def _pack(path: str, end: int, capacity: int, window: int, linear: float, quadratic: float, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = tokenizer(path)
         tail = np.array([end], "<u4")
-        table = UnitTable(lambda units: [np.array(x.ids, "<u4").tobytes() for x in known.encode_batch_fast(units, add_special_tokens=False)])
+        table, schema = _word_ids(path), _schema(with_ids)
         number = TaskContext.get().partitionId() << 33
         docs: list[tuple[object, np.ndarray]] = []
         pieces: list[Piece] = []
@@ -103,10 +110,10 @@ def _pack(path: str, end: int, capacity: int, window: int, linear: float, quadra
                     out.append((*row, part.tolist()) if with_ids else row)
                     offset += length
                 number += 1
-            return pa.RecordBatch.from_pylist([dict(zip(_schema(with_ids).names, r)) for r in out], _schema(with_ids))
+            return pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in out], schema)
 
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", 1 << 22):
                 packed, edges = table(*words(*utf8(piece.column("text"))))
                 ids = packed.view("<u4")
                 for name, a, b in zip(piece.column("doc_id").to_pylist(), (edges[:-1] // 4).tolist(), (edges[1:] // 4).tolist()):

@@ -106,6 +106,12 @@ def encoded_units(known: MergeVocabulary):
     return resolve
 
 
+@functools.cache
+def unit_table(path: str) -> UnitTable:
+    """Ids of units, kept for all tasks of a process."""
+    return UnitTable(encoded_units(vocabulary(path)))
+
+
 def prefixed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The texts with a space put before each that is not empty."""
     filled = np.diff(offsets) > 0
@@ -120,7 +126,7 @@ def prefixed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 def _run(path: str, texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
-        table = UnitTable(encoded_units(known))
+        table = unit_table(path)
         for batch in batches:
             for piece in slices(batch, "text"):
                 data, offsets = prefixed(*utf8(piece.column("text")))

@@ -13,6 +13,7 @@ encoded whole.
 """
 
 import functools
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,14 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ledgerloom.llm.common import _SPACE, narrowed, slices, utf8
-from ledgerloom.llm.units import UnitTable, cut_at
+from ledgerloom.llm.units import UnitTable, cut_at, unit_ids
 
 RESULT = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
 @functools.cache
 def tokenizer(path: str):
-    """The tokenizer of a file, without truncation or padding; one for each process."""
+    """The tokenizer of a file, without truncation or padding; one for each process, on one core as a task is."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path)
@@ -36,6 +38,19 @@ def tokenizer(path: str):
     return found
 
 
+@functools.cache
+def _unit_sizes(path: str) -> UnitTable:
+    """Token counts of units, kept for all tasks of a process. A line break is a piece of its own between units that hold none."""
+    known = tokenizer(path)
+
+    def sizes(units: list[str]) -> list[bytes]:
+        plain = [u for u in units if "\n" not in u]
+        found = dict(zip(plain, unit_ids(known, plain, "\n")))
+        return [len(found[u]).to_bytes(4, "little") if u in found else (4 * len(known.encode(u, add_special_tokens=False))).to_bytes(4, "little") for u in units]
+
+    return UnitTable(sizes)
+
+
 def stable(text: str, at: int) -> bool:
     """Whether cutting the text before ``at`` leaves all tokens as they are."""
     if not 0 < at < len(text) - 1:
@@ -99,15 +114,12 @@ def _count(path: str, limit: int, huge: int, chunk: int, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = tokenizer(path)
 
-        def sizes(units: list[str]) -> list[bytes]:
-            return [len(x).to_bytes(4, "little") for x in known.encode_batch_fast(units, add_special_tokens=False)]
-
         def offsets_of(text: str) -> list[tuple[int, int]]:
             return known.encode(text, add_special_tokens=False).offsets
 
-        table = UnitTable(sizes)
+        table = _unit_sizes(path)
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", 1 << 22):
                 data, offsets = utf8(piece.column("text"))
                 size = np.diff(offsets)
                 plain = regular(data, offsets) & (size <= huge)
@@ -121,7 +133,7 @@ def _count(path: str, limit: int, huge: int, chunk: int, overlap: int):
                     bounds = np.concatenate(([0], np.cumsum(np.where(plain, np.diff(bounds), 0))))
                 held, edges = table(units, bounds)
                 counts = np.concatenate(([0], np.cumsum(held.view(np.uint32).astype(np.int64))))
-                counts = np.diff(counts[edges // 4])
+                counts = np.diff(counts[edges // 4]) // 4
                 for i in whole.tolist():
                     text = data[offsets[i]:offsets[i + 1]].tobytes().decode()
                     counts[i] = chunked_count(offsets_of, text, chunk, overlap) if size[i] > huge else len(known.encode(text, add_special_tokens=False))

@@ -2,7 +2,7 @@
 
 Where a tokenizer can join nothing across a boundary, the ids of a text are those of its units in
 order. Units are cut in numpy and numbered by Arrow; a bounded table in each task keeps what the
-units seen so far gave.
+units seen so far gave. Fresh units are encoded many to a text, with a mark between them.
 """
 
 from collections.abc import Callable
@@ -20,7 +20,10 @@ def strings(data: np.ndarray, offsets: np.ndarray) -> pa.LargeStringArray:
 
 def cut_at(starts: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeStringArray, np.ndarray]:
     """Units that begin at ``starts`` and at each row's start, and where each row's units begin."""
-    begins = np.unique(np.concatenate([starts, offsets[:-1][np.diff(offsets) > 0]]))
+    begin = np.zeros(len(data), bool)
+    begin[starts] = True
+    begin[offsets[:-1][np.diff(offsets) > 0]] = True
+    begins = np.flatnonzero(begin)
     return strings(data, np.append(begins, len(data))), np.searchsorted(begins, offsets)
 
 
@@ -36,18 +39,46 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeStringArray, n
     return strings(data[keep], np.append(kept_before[starts], kept_before[-1])), np.searchsorted(starts, offsets)
 
 
+def unit_ids(known, units: list[str], mark: str, width: int = 64) -> list[bytes]:
+    """Little-endian 32-bit ids of each unit by the tokenizer ``known``.
+
+    ``mark`` holds what separates two units: nothing may join across it, and it gives one id of its own.
+    A text where that id stands more often than marks do has it in a unit too, and is encoded unit by unit.
+    """
+    sign = known.encode(mark, add_special_tokens=False).ids
+    if len(sign) != 1:
+        width = 1
+    groups = [units[i:i + width] for i in range(0, len(units), width)]
+    out: list[bytes] = []
+    for group, found in zip(groups, known.encode_batch_fast([mark.join(g) for g in groups], add_special_tokens=False)):
+        ids = np.array(found.ids, "<u4")
+        if len(group) > 1:
+            cuts = np.flatnonzero(ids == sign[0])
+            if len(cuts) != len(group) - 1:
+                out.extend(np.array(x.ids, "<u4").tobytes() for x in known.encode_batch_fast(group, add_special_tokens=False))
+                continue
+            held, cuts = ids.tobytes(), (4 * cuts).tolist()
+            out.extend(held[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(held)]))
+        else:
+            out.append(ids.tobytes())
+    return out
+
+
 class UnitTable:
-    """Packed results of units: ``resolve`` gives one bytes object for each of a list of units."""
+    """Packed results of units: ``resolve`` gives one bytes object for each of a list of units.
+
+    At most ``most`` units are remembered, and only those of at most ``longest`` characters, which bounds the memory.
+    """
 
-    def __init__(self, resolve: Callable[[list[str]], list[bytes]], most: int = 1_000_000):
-        self.resolve, self.most, self.known = resolve, most, {}
+    def __init__(self, resolve: Callable[[list[str]], list[bytes]], most: int = 1_000_000, longest: int = 64):
+        self.resolve, self.most, self.longest, self.known = resolve, most, longest, {}
 
     def __call__(self, units: pa.LargeStringArray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Results of all units, joined, and where each row's results begin in them."""
         if not len(units):
             return np.empty(0, np.uint8), np.zeros(len(bounds), np.int64)
         numbered = units.dictionary_encode()
-        distinct = numbered.dictionary.to_pylist()
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = list(map(self.known.get, distinct))
         missing = [i for i, x in enumerate(found) if x is None]
         if missing:
@@ -57,7 +88,7 @@ class UnitTable:
                 found[i] = x
             if len(self.known) + len(fresh) > self.most:
                 self.known.clear()
-            self.known.update(zip(fresh, results))
+            self.known.update((u, x) for u, x in zip(fresh, results) if len(u) <= self.longest)
         taken = pa.array(found, pa.large_binary()).take(numbered.indices)
         offsets = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:taken.offset + len(taken) + 1]
         held = np.frombuffer(taken.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]

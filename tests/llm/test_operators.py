@@ -14,6 +14,7 @@ import corpus_pipeline
 from ledgerloom.llm import (
     ann, components, langid, line_dedup, ngram_join, packing, quality_crf, quality_rules, sentencepiece_bpe, suffix_dedup, token_counts,
 )
+from ledgerloom.llm.units import UnitTable, strings, unit_ids
 from tests.parity import duck
 
 FOLDER = "/root/testdata/sf0.001"
@@ -321,3 +322,18 @@ def test_pipeline_stages(spark, workspace, docs):
         held = after
     packed = corpus_pipeline.STAGES[-1][1](spark, held, FOLDER)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in held.select("doc_id").collect()}
+
+
+def test_units_joined_by_a_mark_equal_single_ones():
+    """The mark inside units, special strings, units longer than the table keeps, and a table that overflows."""
+    known = token_counts.tokenizer(WORD_BPE)
+    units = ["plain", "\x01", "a\x01b", "<|endoftext|>", "Ünïcode!?", "e\u0301", "x" * 500, "'s", "1234", "\u0301", "漢字"] * 20
+    single = [np.array(x.ids, "<u4").tobytes() for x in known.encode_batch_fast(units, add_special_tokens=False)]
+    assert unit_ids(known, units, " \x01 ") == single
+    assert unit_ids(known, units[:1], " \x01 ") == single[:1] and unit_ids(known, [], " \x01 ") == []
+    table = UnitTable(lambda u: unit_ids(known, u, " \x01 "), most=3)
+    bounds = np.cumsum([0, *(len(u.encode()) for u in units)])
+    for _ in range(2):
+        held, edges = table(strings(np.frombuffer("".join(units).encode(), np.uint8), bounds), np.arange(len(units) + 1))
+        assert [held[a:b].tobytes() for a, b in zip(edges, edges[1:])] == single
+    assert max(map(len, table.known), default=0) <= table.longest
