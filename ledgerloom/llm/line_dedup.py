@@ -5,8 +5,10 @@ line ``rows * bands`` minima (each shingle falls into one bin; empty bins borrow
 one), and lines that agree on all rows of a band are candidates: at similarity 0.8 a pair is missed in
 all 20 bands of 6 rows with a chance of 0.2 percent. Candidates of a band are compared with the
 least of them and with their neighbour in order of hash, by exact Jaccard similarity: a number of
-pairs in proportion to the band, where near copies meet again in other bands and other orders. Union-find over
-tasks joins the links, and of each component the occurrence in the smallest document, first line, stays.
+pairs in proportion to the band. That order is the same in all bands, so this alone does not find every link:
+members still in different components after it meet each other, under a bound that no similar pair exceeds
+(sizes, and which bins of the domain hold an odd number of shingles), and the pairs within it are compared too. Union-find
+over tasks joins the links, and of each component the occurrence in the smallest document, first line, stays.
 
 Line texts move only for candidates; repeated lines are sent once by each task.
 """
@@ -20,12 +22,14 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import Scatter, bucket_count, group_starts, mix, narrowed, powers, prefix_sums, ragged, range_hash, slices, utf8
 from ledgerloom.llm.components import components
-from ledgerloom.llm.ngram_join import _PACKED, _PAIRS, _SIGNATURES, _SIGNED, _group, _planes, _spread
+from ledgerloom.llm.ngram_join import _MEMBERS, _PACKED, _PAIRS, _PARITY, _SIGNATURES, _SIGNED, _group, _planes, _spread, parities
 from ledgerloom.sources.workspace import Workspace
 
 _LINES = 5
 #: Up to this many needed line hashes (8 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_LINES = 1_000_000
+#: Members of a band that one task compares with as many others.
+CELL = 1024
 
 
 def _lowered(column: pa.Array) -> pa.Array:
@@ -139,18 +143,33 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(k, pa.string())], ["line", "text"])
 
 
+def _sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of each row, row after row, and the row of each."""
+    data, offsets = utf8(column)
+    values, number = shingles(data, offsets[:-1], offsets[1:], size)
+    owner = np.repeat(np.arange(len(number)), number)
+    order = np.lexsort((values, owner))
+    once = order[group_starts(owner[order], values[order])]
+    return owner[once], values[once]
+
+
+def _bounds(size: int):
+    """Set size and parities of each line."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text", 1 << 19):
+                owner, values = _sets(piece.column("text"), size)
+                sizes = np.bincount(owner, minlength=piece.num_rows)
+                bits = parities(values, sizes).reshape(len(sizes), -1)
+                yield pa.RecordBatch.from_arrays([piece.column("line"), pa.array(sizes), *map(pa.array, bits.T)], ["line", "n_shingles", *_PARITY])
+    return run
+
+
 def _similar(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text_b", 1 << 19):
-                sets = []
-                for side in ("text_a", "text_b"):
-                    data, offsets = utf8(piece.column(side))
-                    values, number = shingles(data, offsets[:-1], offsets[1:], size)
-                    owner = np.repeat(np.arange(len(number)), number)
-                    order = np.lexsort((values, owner))
-                    once = order[group_starts(owner[order], values[order])]
-                    sets.append((owner[once], values[once]))
+                sets = [_sets(piece.column(side), size) for side in ("text_a", "text_b")]
                 n = piece.num_rows
                 owner, values = (np.concatenate(x) for x in zip(*sets))
                 order = np.lexsort((values, owner))
@@ -163,15 +182,42 @@ def _similar(size: int, percent: int):
     return run
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, space: Workspace, size: int, percent: int) -> DataFrame:
-    pairs = space.write(pairs, "pairs")
+def _needed_texts(docs: DataFrame, pairs: DataFrame, space: Workspace) -> DataFrame:
+    """Every line that stands in a pair, once, with its text."""
     needed = space.write(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "needed")
     side = F.broadcast(needed) if needed.count() <= BROADCAST_LINES else needed
     texts = docs.mapInArrow(_texts, "line long, text string").join(side, "line", "left_semi").groupBy("line").agg(F.first("text").alias("text"))
-    texts = space.write(texts, "texts")
+    return space.write(texts, "texts")
+
+
+def _verified(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs whose sets really are similar."""
     both = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("text_a")), "a") \
         .join(texts.select(F.col("line").alias("b"), F.col("text").alias("text_b")), "b")
-    return space.write(both.mapInArrow(_similar(size, percent), "a long, b long"), "links")
+    return both.mapInArrow(_similar(size, percent), "a long, b long")
+
+
+def _still_apart(members: DataFrame, near: DataFrame, texts: DataFrame, space: Workspace, size: int, percent: int) -> DataFrame:
+    """Pairs of members of one band in different components that may be similar by the bound.
+
+    A band of many such members is cut into a grid of cells of at most about ``CELL`` by ``CELL``, so no task
+    compares a whole band with itself.
+    """
+    members = members.join(near.withColumnRenamed("node", "line"), "line", "left").select("name", "line", F.coalesce("root", "line").alias("root"))
+    bands = members.groupBy("name").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n")).where("least < most") \
+        .select("name", F.ceil(F.col("n") / CELL).cast("int").alias("cells"))
+    apart = space.write(members.join(bands, "name"), "apart")
+    bounds = texts.join(apart.select("line").distinct(), "line", "left_semi").mapInArrow(_bounds(size), f"line long, n_shingles long, {' long, '.join(_PARITY)} long")
+    apart = space.write(apart.join(bounds, "line").withColumn("own", F.pmod(F.xxhash64("line"), F.col("cells")).cast("int")), "apart")
+    every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
+    x = apart.withColumn("row", F.col("own")).withColumn("column", every).alias("x")
+    y = apart.withColumn("column", F.col("own")).withColumn("row", every).alias("y")
+    differing = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in _PARITY), F.lit(0))
+    differing = F.greatest(differing, F.abs(F.col("x.n_shingles") - F.col("y.n_shingles")))
+    possible = (100 + percent) * differing <= (100 - percent) * (F.col("x.n_shingles") + F.col("y.n_shingles"))
+    same_cell = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("name", "row", "column")]
+    return x.join(y, [*same_cell, F.col("x.root") < F.col("y.root"), possible]) \
+        .select(F.least("x.line", "y.line").alias("a"), F.greatest("x.line", "y.line").alias("b")).distinct()
 
 
 def drop_near_lines(docs: DataFrame, space: Workspace, size: int = 8, percent: int = 80, rows: int = 6, bands: int = 20) -> DataFrame:
@@ -192,8 +238,15 @@ def drop_near_lines(docs: DataFrame, space: Workspace, size: int = 8, percent: i
     def part(kind: int) -> DataFrame:
         return found.where(F.col("kind") == kind).mapInArrow(_spread, "a long, b long")
 
-    links = _verified(docs, part(_PAIRS).distinct(), space, size, percent)
+    pairs = space.write(part(_PAIRS).distinct(), "pairs")
+    texts = _needed_texts(docs, pairs, space)
+    links = space.write(_verified(texts, pairs, size, percent), "links")
     near = components(links, space)
+    # members of a band all stand in pairs, so their texts are there already
+    members = part(_MEMBERS).distinct().withColumnsRenamed({"a": "name", "b": "line"})
+    more = space.write(_verified(texts, _still_apart(members, near, texts, space, size, percent), size, percent), "links")
+    if not more.isEmpty():
+        near = components(near.toDF("a", "b").unionByName(more), space)
 
     lines = found.where(F.col("kind") == _LINES).mapInArrow(_occurrences, "line long, doc_id long, number long")
     lines = lines.join(near.withColumnRenamed("node", "line"), "line", "left").select(F.coalesce("root", "line").alias("root"), "doc_id", "number")

@@ -215,7 +215,7 @@ def _sign(width: int, percent: int, common: np.ndarray, buckets: int):
 def _group(chain: bool = False):
     """Pairs with the least member and, for larger groups, the members, of one bucket's signatures.
 
-    With ``chain`` there are pairs of neighbours in place of the members.
+    With ``chain`` there are also pairs of neighbours.
     """
     def run(table: pa.Table) -> pa.Table:
         kinds = np.asarray(table["kind"])
@@ -248,7 +248,6 @@ def _group(chain: bool = False):
                 if chain:
                     follow = ragged((cuts + 2)[large], (sizes - 2)[large])
                     out.append(pa.Table.from_batches([_row(_PAIRS, bucket, doc[follow - 1], doc[follow])]))
-                    large &= False
                 out.append(pa.Table.from_batches([_row(_MEMBERS, bucket, np.repeat(names[large], sizes[large]), doc[ragged(cuts[large], sizes[large])])]))
         return pa.concat_tables([t.cast(out[0].schema) for t in out])
     return run

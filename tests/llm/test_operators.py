@@ -90,6 +90,26 @@ def test_line_dedup_equals_brute_force(spark, workspace, odd, docs):
             assert (r.kept_text is None) == (texts[r.doc_id] is None)
 
 
+def template_lines(pairs=40, singles=120):
+    """Lines of one template, dissimilar (0.78) but for planted pairs (0.816), which mostly meet in bands of many others."""
+    chance = np.random.default_rng(11)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    prefix = "".join(chance.choice(letters, 85))
+    codes = ["".join(letters[[c // 26, c % 26]]) for c in chance.permutation(26 * 26)]
+    lines = [prefix + code + "".join(chance.choice(letters, 9)) for i, code in enumerate(codes[:pairs + singles]) for _ in range(2 if i < pairs else 1)]
+    return [lines[i] for i in chance.permutation(len(lines))]
+
+
+def test_line_dedup_links_members_that_are_no_neighbours(spark, workspace, monkeypatch):
+    df = frame(spark, template_lines())
+    removed = line_brute(texts_of(df))
+    assert sum(removed.values()) >= 40
+    for cell in (line_dedup.CELL, 7):
+        monkeypatch.setattr(line_dedup, "CELL", cell)
+        found = {r.doc_id: r.n_removed for r in line_dedup.drop_near_lines(df, workspace).collect()}
+        assert {d: n for d, n in found.items() if n} == removed
+
+
 # n-gram join
 
 def set_of(text, lower=str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")):
