@@ -29,7 +29,7 @@ def ngram_buckets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         value = np.full(len(low), size, np.uint32)
         for i in range(size):
             value *= np.uint32(0x01000193)
-            value[:len(low) - i] ^= low[i:]
+            value[:max(len(low) - i, 0)] ^= low[i:]
         value ^= value >> np.uint32(15)
         value *= np.uint32(0x85EBCA6B)
         out.append(np.where(np.arange(len(low)) + size <= end, value >> np.uint32(32 - 14), BUCKETS).astype(np.int32))

@@ -262,6 +262,13 @@ def test_language_on_held_out_documents(spark):
     assert sum(r.lang_pred == r.lang for r in rows) >= 0.98 * len(rows)
 
 
+def test_language_of_texts_of_a_few_bytes(spark):
+    long = "some words of a long text " * 24_000
+    for texts in (["a"], ["ok"], ["abc"], [long, "ok", long]):
+        rows = langid.identify(frame(spark, texts).coalesce(1)).collect()
+        assert sorted(r.doc_id for r in rows) == list(range(1, len(texts) + 1))
+
+
 def test_quality_rules_count_as_defined(odd, docs, labels):
     for df in (odd, docs):
         texts = texts_of(df)
