@@ -19,6 +19,8 @@ Documents are dealt by hash of ``doc_id``, grams by their hash; exact copies tra
 a hot group does not meet in one task with all its rows. Contexts that differ do meet, at 168 bytes
 each; a gram with more than 2,000 of them (a common line, say) is split by twice as many bytes, those
 that its strings hold on the side where they reach further, so only contexts that share those meet.
+Where more than 2,000 share those too, each of their strings is a row of its own, a hash and a place: the
+first place of each hash is a minimum that Spark aggregates in every task, and the others give spans.
 Equality of contexts and strings is decided by 64-bit hashes within a gram and by bytes in step 4.
 """
 
@@ -354,6 +356,76 @@ def _suffix_arrays(length: int, buckets: int):
     return run
 
 
+def _group_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for cell in batch.column("asks").to_pylist():
+            asks, n = np.unique(np.frombuffer(cell, np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(asks), pa.array(n)], ["asks", "n"])
+
+
+def _picked(batches: Iterator[pa.RecordBatch], large: np.ndarray, inside: bool) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Bucket and contexts of each packed row: those of the ``large`` groups (sorted) or the others."""
+    for batch in batches:
+        for bucket, *cells in zip(*(batch.column(c).to_pylist() for c in ("bucket", *_CONTEXT))):
+            *columns, content = (np.frombuffer(x, t) for x, t in zip(cells, _CONTEXT.values()))
+            asks, size = columns[0], columns[3].astype(np.int64)
+            wanted = (large[np.minimum(np.searchsorted(large, asks), len(large) - 1)] == asks) == inside
+            if wanted.any():
+                yield bucket, [*(c[wanted] for c in columns), content[ragged((np.cumsum(size) - size)[wanted], size[wanted])]]
+
+
+def _contexts_of(large: np.ndarray, inside: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, columns in _picked(batches, large, inside):
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *(pa.array([c.tobytes()], pa.binary()) for c in columns)], ["bucket", *_CONTEXT])
+    return run
+
+
+def _strings(length: int, large: np.ndarray):
+    """Hash and place of every string of the contexts of large groups."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, whole in _picked(batches, large, True):
+            *columns, content = whole
+            edges = np.cumsum(columns[3], dtype=np.int64) - columns[3]
+            for a in range(0, len(edges), 1 << 12):
+                asks, doc, pos, size, _ = (c[a:a + (1 << 12)] for c in columns)
+                begin, number = edges[a:a + (1 << 12)], np.maximum(size.astype(np.int64) - length + 1, 0)
+                low = int(begin[0])
+                at, owner = ragged(begin - low, number), np.repeat(np.arange(len(asks)), number)
+                key = mix(range_hash(prefix_sums(content[low:int(begin[-1]) + int(size[-1])]), at, at + length) + asks[owner].astype(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc[owner]), pa.array(pos[owner] + at - (begin - low)[owner])], ["key", "doc", "pos"])
+    return run
+
+
+def _string_marks(length: int, buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = Scatter(buckets, _MARK)
+        for batch in batches:
+            doc, n = np.asarray(batch.column("doc")), batch.num_rows
+            marks.add(_bucket_of(doc), doc, np.asarray(batch.column("pos")), np.full(n, length), np.zeros(n), np.full(n, -1), np.zeros(n))
+            if marks.full:
+                yield from (_tagged(1, b) for b in marks.flush())
+        yield from (_tagged(1, b) for b in marks.flush())
+    return run
+
+
+def _spans_of_contexts(contexts: DataFrame, space: Workspace, length: int, buckets: int, split: int) -> DataFrame:
+    """Step 4: marks of all repeats among the contexts of each group, groups above ``split`` string by string.
+
+    The driver holds 8 bytes for each such group, so for every ``split`` contexts at most.
+    """
+    sizes = contexts.mapInArrow(_group_sizes, "asks long, n long").groupBy("asks").agg(F.sum("n").alias("n"))
+    large = np.sort(np.array([r.asks for r in sizes.where(F.col("n") > split).select("asks").collect()], np.int64))
+    if not len(large):
+        return contexts.groupBy("bucket").applyInArrow(_suffix_arrays(length, buckets), _PACKED)
+    others = contexts.mapInArrow(_contexts_of(large, False), Scatter.schema(_CONTEXT)).groupBy("bucket").applyInArrow(_suffix_arrays(length, buckets), _PACKED)
+    strings = space.write(contexts.mapInArrow(_strings(length, large), "key long, doc long, pos long"), "strings")
+    place = F.struct("doc", "pos")
+    first = strings.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
+    later = strings.join(first, "key").where(place != F.col("first")).select("doc", "pos").distinct()
+    return others.unionByName(later.mapInArrow(_string_marks(length, buckets), _PACKED))
+
+
 def kept_ranges(size: int, starts: np.ndarray, ends: np.ndarray) -> tuple[list[tuple[int, int]], int, int]:
     """Byte ranges outside all spans, bytes inside them, and the number of maximal runs of those."""
     kept, at, removed, runs = [], 0, 0, 0
@@ -412,7 +484,7 @@ def remove_repeats(docs: DataFrame, space: Workspace, length: int = 100, texts:
     ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept_sha256`` and, with
     ``texts``, ``kept_text`` (a character that was cut in two is dropped there).
 
-    Grams with more than ``split`` different contexts are split; that changes no result.
+    Grams with more than ``split`` different contexts are split, and their parts again if they have more; that changes no result.
 
     Null text counts as empty and stays null in ``kept_text``; texts shorter than ``length`` are kept whole; an empty
     table gives an empty result. Rows must have distinct, non-null ``doc_id``: rows with a null one
@@ -426,9 +498,8 @@ def remove_repeats(docs: DataFrame, space: Workspace, length: int = 100, texts:
     marks = space.write(sent.groupBy("bucket").applyInArrow(_compare_contexts(split, buckets), _PACKED).select("bucket", *(f"c{i}" for i in range(6))), "marks")
     marks = marks.select(F.lit(1).alias("kind"), "*")
     dealt = docs.mapInArrow(_with_bucket(buckets), "doc_id long, text string, bucket int")
-    contexts = dealt.groupBy("bucket").cogroup(marks.groupBy("bucket")).applyInArrow(_hand_out(length, buckets), Scatter.schema(_CONTEXT))
-    more = contexts.groupBy("bucket").applyInArrow(_suffix_arrays(length, buckets), _PACKED)
-    spans = marks.unionByName(more)
+    contexts = space.write(dealt.groupBy("bucket").cogroup(marks.groupBy("bucket")).applyInArrow(_hand_out(length, buckets), Scatter.schema(_CONTEXT)), "contexts")
+    spans = marks.unionByName(_spans_of_contexts(contexts, space, length, buckets, split))
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * texts
     return dealt.groupBy("bucket").cogroup(spans.groupBy("bucket")).applyInArrow(_cut_out(texts), result)
 

@@ -190,6 +190,27 @@ def test_repeats_equal_brute_force(spark, workspace, odd, docs):
         assert {r.doc_id: tuple(r)[1:] for r in got} == want
 
 
+def test_no_large_group_of_contexts_meets_in_one_task(spark, workspace, monkeypatch):
+    inner = suffix_dedup._suffix_arrays
+
+    def watched(length, buckets):
+        work = inner(length, buckets)
+
+        def run(table):
+            asks = np.frombuffer(b"".join(table["asks"].to_pylist()), np.int64)
+            if len(asks) and np.unique(asks, return_counts=True)[1].max() > 10:
+                raise ValueError("a large group in one task")
+            return work(table)
+        return run
+
+    chance = np.random.default_rng(13)
+    edges = ["".join(chance.choice(list("abcdefgh "), 150)) for _ in range(80)]
+    df = frame(spark, [edges[2 * i] + PASSAGE[:110] + edges[2 * i + 1] for i in range(40)])
+    monkeypatch.setattr(suffix_dedup, "_suffix_arrays", watched)
+    got = suffix_dedup.remove_repeats(df, workspace, split=10).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in got} == repeats_brute(texts_of(df), 100)
+
+
 def test_interval_tree_has_all_occurrences():
     lcp = np.array([3, 5, 5, 0, 4])
     found = [(depth, first, last) for depth, first, last, _ in suffix_dedup.interval_tree(lcp, 3)]
