@@ -385,3 +385,25 @@ def test_units_joined_by_a_mark_equal_single_ones():
         held, edges = table(strings(np.frombuffer("".join(units).encode(), np.uint8), bounds), np.arange(len(units) + 1))
         assert [held[a:b].tobytes() for a, b in zip(edges, edges[1:])] == single
     assert max(map(len, table.known), default=0) <= table.longest
+
+
+def test_pipeline_keeps_rows_of_repeated_and_null_ids(spark, workspace, docs, labels):
+    kept = quality_rules.judged(docs, labels).where("kept").join(labels.where("quality = 1"), "doc_id", "left_semi")
+    clean = docs.join(kept, "doc_id", "left_semi").orderBy("doc_id").limit(12).collect()
+    rows = [tuple(r) for r in clean[:4]]
+    id_at = docs.columns.index("doc_id")
+
+    def under(r, doc_id):
+        return (*tuple(r)[:id_at], doc_id, *tuple(r)[id_at + 1:])
+
+    rows += [tuple(clean[0]), under(clean[4], clean[0].doc_id), under(clean[5], clean[0].doc_id), under(clean[6], None), under(clean[7], None), under(clean[7], None)]
+    df = workspace.write(spark.createDataFrame(rows, docs.schema), "odd_ids")
+    after = workspace.write(corpus_pipeline.quality(spark, df, FOLDER), "stage")
+    texts = texts_of(after)
+    assert len(texts) == after.count() == len(rows) and None not in texts
+    assert Counter(texts.values()) == Counter(r[docs.columns.index("text")] for r in rows)
+    assert {r[id_at] for r in rows if r[id_at] is not None} <= set(texts)
+    removed = line_brute(texts)
+    told = corpus_pipeline.lines(spark, after, FOLDER).collect()
+    assert len({r.doc_id for r in told}) == len(told) == 8
+    assert all(len(r.text.split("\n")) == len(texts[r.doc_id].split("\n")) - removed[r.doc_id] for r in told)
