@@ -26,8 +26,6 @@ UNAVAILABLE_TEXT = "Not available"
 DEFAULT_CURRENCY = "GBP"
 DEFAULT_TIME = "00:00:00"
 
-# A calendar longer than this is refused, as a runaway date would flood every dense grid.
-MAX_CALENDAR_DAYS = 32767
 
 # Tolerances, one per check.
 CASH_TOLERANCE = "0.01"

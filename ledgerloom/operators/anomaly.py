@@ -7,19 +7,10 @@ from ledgerloom.functions import fixed_values as fixed
 from ledgerloom.functions.columns import as_day, as_number, first_present, literal_frame, lookup
 from ledgerloom.functions.sizing import small_side
 from ledgerloom.operators.ids import ordered_id, previous_value
+from ledgerloom.operators.ranks import group_quantiles
 from ledgerloom.sources.schemas import ANOMALY_FLAGS
 from ledgerloom.sources.workspace import Workspace
 
-# Quartile search: the sketch errs by 1/10000 of an account's rows, the bracket leaves five times
-# that on either side, and accounts below 5000 rows are searched whole.
-_SKETCH_ACCURACY = 10_000
-_BRACKET = 0.0005
-_SEARCH_WHOLE_BELOW = 5_000
-
-# Most rows of one account and month that a single window may hold.
-_MONTH_ROWS = 1_000_000
-
-
 def standard_balances(df: DataFrame, date_column: str | None, balance_column: str) -> DataFrame:
     """Account, day and balance under fixed names, unreadable values as missing."""
     day = as_day(df, date_column) if date_column else F.lit(None).cast("date")
@@ -113,31 +104,15 @@ def level_flags(balances: DataFrame, source: str = _CUSTODIAN, excess: float = f
                   _negative(source, warn, high), _excess(source, excess))
 
 
-def daily_changes(balances: DataFrame, workspace: Workspace, month_rows: int = _MONTH_ROWS) -> DataFrame:
+def daily_changes(balances: DataFrame, workspace: Workspace) -> DataFrame:
     """Absolute change of every balance from the account's previous one.
 
     Equal balances of one day follow each other, so copies change nothing and are folded into one
-    row before the shuffle. An account's history is then cut by month: changes inside a month come
-    from a window per account and month, and each month's first row takes the closing balance of
-    the month before. Where counting shows a month too large for one window, rows are cut evenly
-    instead, wherever that falls.
+    row before the shuffle. Rows are then cut evenly by range, through an account where need be.
     """
     present = balances.where("account_id is not null and day is not null and balance is not null")
-    rows = workspace.write(present.groupBy("account_id", "day", "balance").agg(
-        F.count("*").alias("copies")).withColumn("month", F.trunc("day", "MM")), "distinct-balances")
-    heaviest = rows.groupBy("account_id", "month").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if heaviest > month_rows:
-        seen = previous_value(rows, "account_id", ["day", "balance"], "balance", "previous", workspace, stored=True)
-    else:
-        in_month = Window.partitionBy("account_id", "month").orderBy("day", "balance")
-        inside = rows.select(
-            "account_id", "month", "day", "balance", F.lag("balance").over(in_month).alias("inside"),
-            F.lead("day").over(in_month).isNull().alias("closes"))
-        carried = inside.where("closes").select(
-            "account_id", "month",
-            F.lag("balance").over(Window.partitionBy("account_id").orderBy("month")).alias("carried"))
-        seen = inside.join(carried, ["account_id", "month"], "left").withColumn(
-            "previous", F.coalesce("inside", "carried"))
+    folded = present.groupBy("account_id", "day", "balance").agg(F.count("*").alias("copies"))
+    seen = previous_value(folded, "account_id", ["day", "balance"], "balance", "previous", workspace)
     return seen.select("account_id", "day", "balance", F.abs(F.col("balance") - F.col("previous")).alias("change"))
 
 
@@ -155,71 +130,40 @@ def _measured(balances: DataFrame) -> DataFrame:
     return present.withColumn("x", F.col("balance").cast("double"))
 
 
-def account_stats(balances: DataFrame) -> DataFrame:
-    """Rows, mean, deviation and quartile brackets per account, from one pass with partial sums."""
-    points = [p for q in (0.25, 0.75) for p in (q - _BRACKET, q + _BRACKET)]
-    near = F.percentile_approx("x", points, _SKETCH_ACCURACY)
-    stats = _measured(balances).groupBy("account_id").agg(
-        F.count("*").alias("n"), (F.sum("balance").cast("double") / F.count("*")).alias("mean"),
-        F.stddev_pop("x").alias("deviation"), F.min("x").alias("lowest"), F.max("x").alias("highest"),
-        near.alias("near"))
-    whole = F.col("n") < _SEARCH_WHOLE_BELOW
-    low = lambda i: F.when(whole, F.col("lowest")).otherwise(F.col("near").getItem(i))
-    high = lambda i: F.when(whole, F.col("highest")).otherwise(F.col("near").getItem(i))
-    return stats.select("account_id", "n", "mean", "deviation",
-                        F.array(low(0), low(2)).alias("from_x"), F.array(high(1), high(3)).alias("to_x"))
+def account_moments(balances: DataFrame) -> DataFrame:
+    """Rows, mean and deviation per account, from one pass with partial sums."""
+    return _measured(balances).groupBy("account_id").agg(
+        F.count("*").alias("n"), (F.sum("balance").cast("double") / F.count("*")).alias("mean"), F.stddev_pop("x").alias("deviation"))
 
 
-def account_quartiles(balances: DataFrame, stats: DataFrame) -> DataFrame:
-    """Exact quartiles with linear interpolation, for accounts of any size.
-
-    Rows below a quartile's bracket are only counted, rows above it are dropped, and rows inside
-    are counted per value; all of it map-side first. The running count then spans the bracket, a
-    thousandth of a large account, instead of the whole account.
-    """
-    quarter = F.explode(F.array(F.lit(0), F.lit(1)))
-    spread = _measured(balances).join(stats, "account_id").select(
-        "account_id", "n", "x", "from_x", "to_x", quarter.alias("q"))
-    placed = spread.select(
-        "account_id", "q", "n", F.when(F.col("x") >= F.col("from_x")[F.col("q")], F.col("x")).alias("value"),
-        (F.col("x") > F.col("to_x")[F.col("q")]).alias("above")).where("not above")
-    counted = placed.groupBy("account_id", "q", "n", "value").agg(F.count("*").alias("rows"))
-    in_order = Window.partitionBy("account_id", "q", "n").orderBy(F.asc_nulls_first("value"))
-    upto = F.sum("rows").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    position = (F.lit(0.25) + F.col("q") * 0.5) * (F.col("n") - 1)
-    ranked = counted.select("account_id", "q", "value", position.alias("position"), upto.alias("upto"),
-                            (upto - F.col("rows")).alias("before"))
-    at = lambda rank: F.max(F.when((F.col("before") <= rank) & (rank < F.col("upto")), F.col("value")))
-    low, high = F.floor("position"), F.ceil("position")
-    sure = lambda c: F.coalesce(c, F.raise_error(F.lit("quartile outside its bracket")).cast("double"))
-    per_quarter = ranked.groupBy("account_id", "q").agg(
-        at(low).alias("low"), at(high).alias("high"), F.max("position").alias("position"))
-    value = sure(F.col("low")) + (sure(F.col("high")) - sure(F.col("low"))) * (F.col("position") - F.floor("position"))
-    valued = per_quarter.select("account_id", "q", value.alias("quartile"))
-    pick = lambda q: F.max(F.when(F.col("q") == q, F.col("quartile")))
-    return valued.groupBy("account_id").agg(pick(0).alias("q1"), pick(1).alias("q3"))
+def account_quartiles(balances: DataFrame, workspace: Workspace) -> DataFrame:
+    """Rows and exact quartiles with linear interpolation per account, of any size and by one path."""
+    found = group_quantiles(_measured(balances), "account_id", "x", [0.25, 0.75], workspace)
+    return found.select("account_id", "n", F.get("quantiles", F.lit(0)).alias("q1"), F.get("quantiles", F.lit(1)).alias("q3"))
 
 
-def account_outliers(balances: DataFrame, workspace: Workspace, z_limit: float = fixed.Z_SCORE,
-                     iqr_multiplier: float = fixed.IQR_MULTIPLIER,
-                     min_rows: int = fixed.MIN_GROUP_ROWS) -> DataFrame:
-    """Every balance with its z-score and whether it leaves the account's Tukey fences.
+def z_scores(balances: DataFrame, workspace: Workspace, min_rows: int = fixed.MIN_GROUP_ROWS) -> DataFrame:
+    """Every balance with its z-score within the account; 0 in short and in flat accounts.
 
     Account figures are written once. If counting shows them small they are broadcast and the
     balances stay where they are; otherwise they meet in a shuffle join that splits hot accounts.
     """
-    stats = workspace.write(account_stats(balances), "account-stats")
-    enough = stats.where(F.col("n") >= min_rows)
-    quartiles = account_quartiles(balances, small_side(enough))
-    limits = workspace.write(stats.join(quartiles, "account_id", "left").select(
-        "account_id", "n", "mean", "deviation", "q1", "q3"), "account-limits")
-    spread = F.col("q3") - F.col("q1")
+    moments = workspace.write(account_moments(balances), "account-moments")
     z = F.when((F.col("n") >= min_rows) & (F.col("deviation") != 0),
                (F.col("x") - F.col("mean")) / F.col("deviation")).otherwise(0.0)
+    return _measured(balances).join(small_side(moments), "account_id").select("account_id", "day", "balance", "x", z.alias("z_score"))
+
+
+def account_outliers(balances: DataFrame, workspace: Workspace, z_limit: float = fixed.Z_SCORE,
+                     iqr_multiplier: float = fixed.IQR_MULTIPLIER,
+                     min_rows: int = fixed.MIN_GROUP_ROWS) -> DataFrame:
+    """Every balance with its z-score and whether it leaves the account's Tukey fences."""
+    quartiles = workspace.write(account_quartiles(balances, workspace).where(F.col("n") >= min_rows).drop("n"), "account-quartiles")
+    spread = F.col("q3") - F.col("q1")
     outside = (F.col("x") < F.col("q1") - F.lit(iqr_multiplier) * spread) | (
         F.col("x") > F.col("q3") + F.lit(iqr_multiplier) * spread)
-    return _measured(balances).join(small_side(limits), "account_id").select(
-        "account_id", "day", "balance", z.alias("z_score"), (F.abs(z) > z_limit).alias("z_outlier"),
+    return z_scores(balances, workspace, min_rows).join(small_side(quartiles), "account_id", "left").select(
+        "account_id", "day", "balance", "z_score", (F.abs("z_score") > z_limit).alias("z_outlier"),
         F.coalesce((spread != 0) & outside, F.lit(False)).alias("iqr_outlier"))
 
 
@@ -298,16 +242,17 @@ def ledger_anomalies(ledger: DataFrame, workspace: Workspace, excess: float = fi
 def anomaly_flags(workspace: Workspace, custodian: DataFrame | None, breaks: DataFrame | None,
                   log: DataFrame | None, cash: DataFrame | None = None, ledger: DataFrame | None = None,
                   excess: float = fixed.EXCESS_CASH, movement: float = fixed.LARGE_MOVEMENT,
-                  z_limit: float = fixed.Z_SCORE) -> DataFrame | None:
+                  z_limit: float = fixed.Z_SCORE, outliers: DataFrame | None = None) -> DataFrame | None:
     """All rules on the inputs that are there, in rule order with consecutive ids.
 
+    ``outliers`` are the custodian balances' ``account_outliers`` where they are known already.
     ``None`` when no input is there.
     """
     found: list[DataFrame] = []
     if custodian is not None:
         rows = standard_balances(custodian, "balance_date", "custodian_cash_balance")
         found += [level_flags(rows, excess=excess), large_movements(rows, workspace, limit=movement),
-                  statistical_outliers(account_outliers(rows, workspace, z_limit), z_limit)]
+                  statistical_outliers(account_outliers(rows, workspace, z_limit) if outliers is None else outliers, z_limit)]
     if breaks is not None:
         found += [break_concentration_account(breaks), break_concentration_category(breaks)]
     if log is not None:

@@ -8,8 +8,8 @@ from ledgerloom.sources.workspace import Workspace
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the lower 33 bits
 
 
-def _placed(df: DataFrame, order: list[Column | str], name: str, workspace: Workspace, stored: bool) -> DataFrame:
-    """Rows in order, each with its range partition and its row number in there, written.
+def placed_rows(df: DataFrame, order: list[Column | str], name: str, workspace: Workspace, stored: bool = False) -> DataFrame:
+    """Rows in order, each with its range partition (``_part``) and its row number in there (``_row``), written.
 
     Range partitioning reads its input twice, once to sample it, so rows that are not ``stored``
     yet are written first. They are then range-partitioned and sorted, tagged, and written again:
@@ -32,7 +32,7 @@ def ordered_id(df: DataFrame, order: list[Column | str], column: str, workspace:
     An id is the row's place plus the number of rows in earlier partitions. Say ``stored`` for rows
     read from a table as they are.
     """
-    placed = _placed(df, order, column, workspace, stored)
+    placed = placed_rows(df, order, column, workspace, stored)
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per shuffle partition, so both the window and the broadcast are bounded by that setting.
@@ -48,7 +48,7 @@ def previous_value(df: DataFrame, group: str, order: list[str], value: str, colu
     Rows are cut into even range partitions, through the middle of a large group where need be. A
     partition's first row takes its predecessor from a table of one row per partition.
     """
-    placed = _placed(df, [group, *order], column, workspace, stored)
+    placed = placed_rows(df, [group, *order], column, workspace, stored)
     both = F.struct(F.col(group).alias("g"), F.col(value).alias("v"))
     ends = placed.groupBy("_part").agg(F.max_by(both, "_row").alias("_end"))
     carried = ends.select("_part", F.lag("_end").over(Window.orderBy("_part")).alias("_carried"))

@@ -2,8 +2,8 @@
 
 A dense day grid is never shuffled or joined. Movements are summed per key and day, the running
 total is taken over those few rows, and each row is then stretched over the days until the next
-one. A key has at most one row per calendar day, and the calendar length is checked, so no window
-group grows with the number of transactions.
+one. A key has at most one row per calendar day, so no window group grows with the number of
+transactions.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,21 +14,23 @@ from ledgerloom.functions.columns import MONEY, SHARES, money
 
 
 def day_span(transactions: DataFrame, date_column: str = "transaction_date",
-             max_days: int = fixed.MAX_CALENDAR_DAYS) -> DataFrame:
-    """One row with the first and last day; fails on a span no sound calendar has."""
-    lo, hi = F.min(date_column), F.max(date_column)
-    checked = F.when(F.date_diff(hi, lo) > max_days, F.raise_error(F.lit("calendar too long")).cast("date"))
-    return transactions.agg(F.coalesce(checked, lo).alias("first_day"), hi.alias("last_day"))
+             max_days: int | None = None) -> DataFrame:
+    """One row with the first and last day. With ``max_days`` a longer span is an error, for data whose dates may be wrong."""
+    lo, hi = F.min(date_column).alias("first_day"), F.max(date_column).alias("last_day")
+    if max_days is None:
+        return transactions.agg(lo, hi)
+    checked = F.when(F.date_diff(F.max(date_column), F.min(date_column)) > max_days, F.raise_error(F.lit("calendar too long")).cast("date"))
+    return transactions.agg(F.coalesce(checked, F.min(date_column)).alias("first_day"), hi)
 
 
-def _span_column(transactions: DataFrame, date_column: str, max_days: int) -> tuple[Column, Column]:
+def _span_column(transactions: DataFrame, date_column: str, max_days: int | None) -> tuple[Column, Column]:
     span = day_span(transactions, date_column, max_days).select(F.struct("first_day", "last_day").alias("span"))
     once = span.scalar()
     return once.getField("first_day"), once.getField("last_day")
 
 
 def calendar(transactions: DataFrame, date_column: str = "transaction_date",
-             max_days: int = fixed.MAX_CALENDAR_DAYS) -> DataFrame:
+             max_days: int | None = None) -> DataFrame:
     """Every day from the first to the last transaction; no rows without transactions."""
     span = day_span(transactions, date_column, max_days)
     return span.select(F.explode(F.sequence("first_day", "last_day")).alias("calendar_date"))
@@ -49,13 +51,13 @@ def first_trade(trades: DataFrame) -> DataFrame:
 
 
 def account_date_grid(accounts: DataFrame, cash: DataFrame,
-                      max_days: int = fixed.MAX_CALENDAR_DAYS) -> DataFrame:
+                      max_days: int | None = None) -> DataFrame:
     """Every account on every calendar day, generated per account instead of cross joined."""
     lo, hi = _span_column(cash, "transaction_date", max_days)
     return accounts.select("account_id", F.explode(F.sequence(lo, hi)).alias("calendar_date"))
 
 
-def position_grid(trades: DataFrame, max_days: int = fixed.MAX_CALENDAR_DAYS) -> DataFrame:
+def position_grid(trades: DataFrame, max_days: int | None = None) -> DataFrame:
     """Every account and ticker on every day from its first trade on."""
     _, hi = _span_column(trades, "transaction_date", max_days)
     return first_trade(trades).where("account_id is not null and ticker is not null").select(
@@ -63,7 +65,7 @@ def position_grid(trades: DataFrame, max_days: int = fixed.MAX_CALENDAR_DAYS) ->
 
 
 def ledger_balances(cash: DataFrame, accounts: DataFrame,
-                    max_days: int = fixed.MAX_CALENDAR_DAYS) -> DataFrame:
+                    max_days: int | None = None) -> DataFrame:
     """Cash balance of every account on every day, idle accounts at zero.
 
     Each account is seeded with a zero movement on the first day, so the grid needs no join.
@@ -100,7 +102,7 @@ def ledger_balances(cash: DataFrame, accounts: DataFrame,
     )
 
 
-def positions(trades: DataFrame, max_days: int = fixed.MAX_CALENDAR_DAYS) -> DataFrame:
+def positions(trades: DataFrame, max_days: int | None = None) -> DataFrame:
     """Share count of every account and ticker per day, where it is held or moved that day."""
     _, hi = _span_column(trades, "transaction_date", max_days)
     key = Window.partitionBy("account_id", "ticker").orderBy("transaction_date")

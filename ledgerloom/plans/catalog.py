@@ -828,12 +828,15 @@ def large_movement(p: Pipeline) -> DataFrame:
 
 
 def _outliers(p: Pipeline) -> DataFrame:
-    return anomaly.account_outliers(_balances(p), p.workspace, Z_SCORE)
+    """Balances that either test finds, for the rules that share them."""
+    return p.workspace.layer("outliers", lambda: anomaly.account_outliers(
+        _balances(p), p.workspace, Z_SCORE).where("z_outlier or iqr_outlier"))
 
 
 @query
 def zscore_outlier(p: Pipeline) -> DataFrame:
-    return _outliers(p).where("z_outlier").select("account_id", "day", "balance", F.round("z_score", 6).alias("z_score"))
+    return anomaly.z_scores(_balances(p), p.workspace).where(F.abs("z_score") > Z_SCORE).select(
+        "account_id", "day", "balance", F.round("z_score", 6).alias("z_score"))
 
 
 @query
@@ -875,7 +878,7 @@ def ledger_anomalies(p: Pipeline) -> DataFrame:
 def _anomalies(p: Pipeline) -> DataFrame:
     return p.workspace.memo("anomalies", lambda: anomaly.anomaly_flags(
         p.workspace, p.custodian_balances(), p.breaks(), p.log(), p.cash(), p.ledger(), EXCESS_CASH, LARGE_MOVEMENT,
-        Z_SCORE))
+        Z_SCORE, _outliers(p)))
 
 
 @query

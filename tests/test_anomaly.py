@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import anomaly
+from ledgerloom.operators.ids import placed_rows
+from ledgerloom.operators.ranks import group_quantiles
 from tests.conftest import rows_of
 
 BAL = "account_id bigint;day date;balance decimal(19,4)"
@@ -23,9 +25,7 @@ def test_levels(frame):
                                                           (D("25000.01"), "MEDIUM")], key=repr)
 
 
-@pytest.mark.parametrize("month_rows", [1000, 3])
-def test_changes_equal_a_sorted_loop_across_months_gaps_and_copies(frame, workspace, month_rows):
-    """Both ways: a window per month, and even cuts where a month is too large."""
+def test_changes_equal_a_sorted_loop_across_months_gaps_and_copies(frame, workspace):
     rng = random.Random(4)
     rows = [(rng.randint(1, 3), date(2020, 1, 20) + timedelta(rng.randint(0, 70)), D(rng.randint(0, 9))) for _ in range(120)]
     rows += [(1, date(2020, 2, 3), D(5))] * 50 + [(None, date(2020, 1, 1), D(1)), (1, None, D(1)), (2, date(2020, 1, 1), None)]
@@ -34,13 +34,12 @@ def test_changes_equal_a_sorted_loop_across_months_gaps_and_copies(frame, worksp
         own = sorted((d, b) for a, d, b in rows if a == account and d is not None and b is not None)
         want += [(account, d, b.quantize(D("1.0000")), abs(b - p).quantize(D("1.0000")))
                  for (d, b), (_, p) in zip(own[1:], own) if abs(b - p) > 0]
-    got = anomaly.daily_changes(frame(BAL, *rows), workspace, month_rows).where("change > 0")
+    got = anomaly.daily_changes(frame(BAL, *rows), workspace).where("change > 0")
     assert rows_of(got, "account_id", "day", "balance", "change") == sorted(want, key=repr)
 
 
 @pytest.mark.parametrize("shape", ["normal", "ties", "tail"])
 def test_quartiles_of_large_and_small_accounts(spark, workspace, shape):
-    """Above 5000 rows only a bracket is searched; the result must stay exact."""
     rng = np.random.default_rng(7)
     sizes = {1: 30_000, 2: 5_000, 3: 4_999, 4: 5, 5: 4, 6: 20_001}
     draw = {"normal": lambda n: rng.normal(0, 1000, n), "ties": lambda n: rng.integers(0, 3, n).astype(float),
@@ -48,8 +47,7 @@ def test_quartiles_of_large_and_small_accounts(spark, workspace, shape):
     values = {a: np.round(np.minimum(draw(n), 1e12), 2) for a, n in sizes.items()}
     pdf = pd.DataFrame({"account_id": np.repeat(list(sizes), list(sizes.values())), "balance": np.concatenate(list(values.values()))})
     df = spark.createDataFrame(pdf.sample(frac=1, random_state=1)).withColumn("day", F.lit("2020-01-01").cast("date")).repartition(8)
-    stats = workspace.write(anomaly.account_stats(df), "s")
-    got = {r.account_id: (r.q1, r.q3) for r in anomaly.account_quartiles(df, stats).collect()}
+    got = {r.account_id: (r.q1, r.q3) for r in anomaly.account_quartiles(df, workspace).collect()}
     for account, own in values.items():
         assert got[account] == pytest.approx(np.quantile(own, [0.25, 0.75]), rel=1e-12)
     outliers = anomaly.account_outliers(df, workspace, 2.0)
@@ -63,6 +61,55 @@ def test_quartiles_of_large_and_small_accounts(spark, workspace, shape):
         assert n[account] == (z, i)
 
 
+@pytest.fixture
+def small_partitions(spark):
+    """Range partitions of a megabyte, so a million rows span several."""
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def test_quartiles_of_one_account_of_a_million_rows(spark, workspace, small_partitions):
+    """The account is cut over many partitions and no window spans it."""
+    n = 1_000_000
+    value = (F.col("id") * 7919 % 1_000_003).cast("double") / 100
+    big = spark.range(n).select(F.lit(1).cast("bigint").alias("account_id"), value.alias("balance"))
+    rest = spark.range(40).select((F.col("id") % 8 + 2).alias("account_id"), F.col("id").cast("double").alias("balance"))
+    nulls = spark.range(5).select(F.lit(None).cast("bigint").alias("account_id"), F.lit(1.0).alias("balance"))
+    df = big.unionByName(rest).unionByName(nulls).withColumn("day", F.lit("2020-01-01").cast("date"))
+    got = {r.account_id: (r.n, r.q1, r.q3) for r in anomaly.account_quartiles(df, workspace).collect()}
+    own = np.arange(n, dtype=np.int64) * 7919 % 1_000_003 / 100
+    assert got[1] == (n, *np.quantile(own, [0.25, 0.75]))
+    for a in range(2, 10):
+        assert got[a] == (5, *np.quantile(np.arange(a - 2, 40, 8.0), [0.25, 0.75]))
+    assert set(got) == set(range(1, 10))
+    counted = big.groupBy("account_id", "balance").agg(F.count("*").alias("n"))
+    placed = placed_rows(counted, ["account_id", "balance"], "spread", workspace)
+    sizes = [r["count"] for r in placed.groupBy("_part").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < n / 3
+    plan = anomaly.account_quartiles(df, workspace)._jdf.queryExecution().optimizedPlan().toString()
+    over_counts = [line for line in plan.split("\n") if "Window [" in line and "sum(_n#" in line]
+    assert len(over_counts) == 1 and "windowspecdefinition(_part" in over_counts[0] and "raise_error" not in plan
+
+
+def test_quantiles_at_the_ends_and_of_one_value(spark, workspace):
+    df = spark.createDataFrame([("a", 1.0), ("a", 9.0), ("b", 4.0), ("c", None), (None, 2.0)], "g string, v double")
+    got = {r.g: (r.n, r.quantiles) for r in group_quantiles(df, "g", "v", [0.0, 0.5, 1.0], workspace).collect()}
+    assert got == {"a": (2, [1.0, 5.0, 9.0]), "b": (1, [4.0, 4.0, 4.0])}
+    assert group_quantiles(df.where("false"), "g", "v", [0.5], workspace).collect() == []
+
+
+def test_z_scores_read_no_quartiles(frame, workspace):
+    df = frame(BAL, *[(1, "2020-01-01", v) for v in (1, 2, 3, 4, 10)])
+    scored = anomaly.z_scores(df, workspace)
+    own = np.array([1.0, 2, 3, 4, 10])
+    assert sorted(r.z_score for r in scored.collect()) == pytest.approx(sorted((own - own.mean()) / own.std()))
+    assert "_part" not in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_flat_and_short_accounts_have_no_outliers(frame, workspace):
     df = frame(BAL, *[(1, "2020-01-01", 5)] * 9, *[(2, "2020-01-01", v) for v in (1, 1, 1, 999)])
     assert anomaly.account_outliers(df, workspace, 1.0).where("z_outlier or iqr_outlier").count() == 0
