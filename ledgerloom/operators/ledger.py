@@ -64,40 +64,46 @@ def position_grid(trades: DataFrame, max_days: int | None = None) -> DataFrame:
         "account_id", "ticker", F.explode(F.sequence("first_trade_date", hi)).alias("calendar_date"))
 
 
-def ledger_balances(cash: DataFrame, accounts: DataFrame,
-                    max_days: int | None = None) -> DataFrame:
+def ledger_balances(cash: DataFrame, accounts: DataFrame, max_days: int | None = None) -> DataFrame:
     """Cash balance of every account on every day, idle accounts at zero.
 
-    Each account is seeded with a zero movement on the first day, so the grid needs no join.
+    Each account is seeded with a zero balance on the first day, so the grid needs no join.
     Movements of unknown accounts are left out.
     """
     lo, hi = _span_column(cash, "transaction_date", max_days)
-    seeds = accounts.select("account_id", lo.alias("ledger_date"), F.lit(0).cast(MONEY).alias("amount"),
-                            F.lit(True).alias("known"))
+    opening = accounts.select("account_id", lo.alias("ledger_date"), F.lit(0).cast(MONEY).alias("opening"))
+    return ledger_from(opening, cash, hi)
+
+
+def ledger_from(opening: DataFrame, cash: DataFrame, last_day: Column) -> DataFrame:
+    """Balances from the opening day on: ``opening`` holds ``account_id``, ``ledger_date`` and the balance before that day.
+
+    Movements must not lie before the opening day; those of accounts without an opening are left out.
+    """
+    nothing = F.lit(0).cast(MONEY)
     moves = cash.select("account_id", F.col("transaction_date").alias("ledger_date"),
-                        F.col("cash_impact").alias("amount"), F.lit(False).alias("known"))
+                        F.col("cash_impact").alias("amount"), F.lit(None).cast(MONEY).alias("opening"))
     daily = (
-        seeds.unionByName(moves).where("ledger_date is not null and account_id is not null")
+        opening.select("account_id", "ledger_date", nothing.alias("amount"), "opening")
+        .unionByName(moves).where("ledger_date is not null and account_id is not null")
         .groupBy("account_id", "ledger_date")
-        .agg(F.sum("amount").cast(MONEY).alias("movement"), F.max("known").alias("known"))
+        .agg(F.sum("amount").cast(MONEY).alias("movement"), F.max("opening").alias("opening"))
     )
     in_order = Window.partitionBy("account_id").orderBy("ledger_date")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
     running = daily.select(
         "account_id", "ledger_date", "movement",
-        # The seed sits on the first day, so a known account starts with it.
-        F.first("known").over(so_far).alias("known"),
-        F.sum("movement").over(so_far).cast(MONEY).alias("cash_balance"),
+        # The opening sits on the first day, so a known account starts with it.
+        (F.first("opening").over(so_far) + F.sum("movement").over(so_far)).cast(MONEY).alias("cash_balance"),
         F.lead("ledger_date").over(in_order).alias("next_date"),
-    ).where("known")
-    until = F.coalesce(F.date_sub("next_date", 1), hi)
+    ).where("cash_balance is not null")
+    until = F.coalesce(F.date_sub("next_date", 1), last_day)
     return running.select(
         "account_id", "cash_balance", "movement", F.col("ledger_date").alias("moved_on"),
         F.explode(F.sequence("ledger_date", until)).alias("ledger_date"),
     ).select(
         "account_id", "ledger_date",
-        F.when(F.col("ledger_date") == F.col("moved_on"), F.col("movement"))
-        .otherwise(F.lit(0).cast(MONEY)).alias("daily_net_cash"),
+        F.when(F.col("ledger_date") == F.col("moved_on"), F.col("movement")).otherwise(nothing).alias("daily_net_cash"),
         "cash_balance",
     )
 
@@ -105,27 +111,37 @@ def ledger_balances(cash: DataFrame, accounts: DataFrame,
 def positions(trades: DataFrame, max_days: int | None = None) -> DataFrame:
     """Share count of every account and ticker per day, where it is held or moved that day."""
     _, hi = _span_column(trades, "transaction_date", max_days)
+    return positions_from(None, trades, hi)
+
+
+def positions_from(opening: DataFrame | None, trades: DataFrame, last_day: Column) -> DataFrame:
+    """Share counts from the opening day on: ``opening`` holds ``account_id``, ``ticker``, ``transaction_date`` and the
+    shares held before that day. Trades must not lie before it; without ``opening`` nothing is held."""
+    nothing = F.lit(0).cast(SHARES)
+    daily = daily_net_shares(trades.where("account_id is not null and ticker is not null")).withColumn("opening", nothing)
+    if opening is not None:
+        seeds = opening.select("account_id", "ticker", "transaction_date", nothing.alias("daily_net_shares"), "opening")
+        daily = daily.unionByName(seeds).groupBy("account_id", "ticker", "transaction_date").agg(
+            F.sum("daily_net_shares").cast(SHARES).alias("daily_net_shares"), F.sum("opening").cast(SHARES).alias("opening"))
     key = Window.partitionBy("account_id", "ticker").orderBy("transaction_date")
+    so_far = F.col("daily_net_shares") + F.col("opening")
     running = (
-        daily_net_shares(trades.where("account_id is not null and ticker is not null"))
-        .select(
+        daily.select(
             "account_id", "ticker", "transaction_date", F.col("daily_net_shares").alias("movement"),
-            F.sum("daily_net_shares").over(key.rowsBetween(Window.unboundedPreceding, 0))
-            .cast(SHARES).alias("share_quantity"),
+            F.sum(so_far).over(key.rowsBetween(Window.unboundedPreceding, 0)).cast(SHARES).alias("share_quantity"),
             F.lead("transaction_date").over(key).alias("next_date"),
         )
         .where("share_quantity <> 0 or movement <> 0")
     )
     # A closed position shows only on the day it was closed.
     until = (F.when(F.col("share_quantity") == 0, F.col("transaction_date"))
-             .otherwise(F.coalesce(F.date_sub("next_date", 1), hi)))
+             .otherwise(F.coalesce(F.date_sub("next_date", 1), last_day)))
     return running.select(
         "account_id", "ticker", "share_quantity", "movement", "transaction_date",
         F.explode(F.sequence("transaction_date", until)).alias("position_date"),
     ).select(
         "account_id", "ticker", "position_date",
-        F.when(F.col("position_date") == F.col("transaction_date"), F.col("movement"))
-        .otherwise(F.lit(0).cast(SHARES)).alias("daily_net_shares"),
+        F.when(F.col("position_date") == F.col("transaction_date"), F.col("movement")).otherwise(nothing).alias("daily_net_shares"),
         "share_quantity",
     )
 

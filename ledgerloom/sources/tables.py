@@ -1,6 +1,7 @@
 """Readers and writers."""
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -94,14 +95,53 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_by_month(df: DataFrame, path: str, date_column: str) -> None:
+MONTH = "year_month"
+
+
+def write_by_month(df: DataFrame, path: str, date_column: str, only_months_written: bool = False, append: bool = False) -> None:
     """Parquet split by year-month, so date filters prune folders.
 
     Rows are brought together by month; adaptive execution gives a busy month as many writers as its
     size asks for (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each) and joins small months.
+    The table is replaced; with ``only_months_written`` other months stay as they are, and with ``append`` all rows stay.
     """
-    monthly = df.withColumn("year_month", F.date_format(date_column, "yyyy-MM"))
-    monthly.hint("rebalance", "year_month").write.mode("overwrite").partitionBy("year_month").parquet(path)
+    monthly = df.withColumn(MONTH, F.date_format(date_column, "yyyy-MM")).hint("rebalance", MONTH)
+    kind = "dynamic" if only_months_written else "static"
+    monthly.write.mode("append" if append else "overwrite").option("partitionOverwriteMode", kind).partitionBy(MONTH).parquet(path)
+
+
+def read_months(spark: SparkSession, path: str, schema: str, date_column: str, first: date | None = None,
+                last: date | None = None) -> DataFrame:
+    """Rows of a table by month from the ``first`` to the ``last`` day; folders of other months are not read."""
+    # The month is given a type: left to inference, its text would be read as a date.
+    rows = spark.read.schema(f"{schema}, {MONTH} string").parquet(path)
+    if first is not None:
+        rows = rows.where((F.col(MONTH) >= f"{first:%Y-%m}") & (F.col(date_column) >= F.lit(first)))
+    if last is not None:
+        rows = rows.where((F.col(MONTH) <= f"{last:%Y-%m}") & (F.col(date_column) <= F.lit(last)))
+    return rows.drop(MONTH)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def months_of(spark: SparkSession, path: str) -> list[str]:
+    """Months that a table by month has a folder for, in order; none where there is no table."""
+    target, files = _file_system(spark, path)
+    if not files.exists(target):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(target)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{MONTH}="))
+
+
+def drop_months_after(spark: SparkSession, path: str, last: str, keep: Collection[str] = ()) -> None:
+    """Take away the months after ``last``, but for those to ``keep``."""
+    for month in months_of(spark, path):
+        if month > last and month not in keep:
+            target, files = _file_system(spark, f"{path}/{MONTH}={month}")
+            files.delete(target, True)
 
 
 def overwrite_table(df: DataFrame, path: str) -> DataFrame:
