@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
 from ledgerloom.functions.columns import MONEY, SHARES, match_key, null_count
+from ledgerloom.operators.fingerprints import agreement
 
 
 def _pass(ok: Column) -> Column:
@@ -221,58 +222,64 @@ def exception_completeness(log: DataFrame) -> DataFrame:
                    F.count_if(evidence).alias("missing_evidence_file"))
 
 
+# Keys by which the rows of a published table are told apart.
+PUBLISHED_KEYS = {
+    "cash": ["transaction_id"], "trades": ["transaction_id"], "ledger": ["account_id", "ledger_date"],
+    "custodian": ["account_id", "balance_date"], "breaks": ["break_id"], "log": ["exception_id"],
+}
+
+
 def tie_outs(source: dict[str, DataFrame], published: dict[str, DataFrame], rollforward: DataFrame,
              validation: DataFrame, planned: int = fixed.PLANNED_INJECTIONS) -> DataFrame:
     """Fourteen control tie-outs of the published tables against their sources.
 
-    Both maps hold: cash, trades, ledger, custodian, breaks, log. Every figure is one aggregate;
-    those of the same table share a pass.
+    Both maps hold the tables of ``PUBLISHED_KEYS``. The row checks show both row counts and pass when
+    the fingerprints of all key ranges agree as well, so a row that was altered, or lost and replaced, fails
+    them; ``fingerprints.differences`` then tells which. Each pair of tables is read once for that.
     """
-    def figures(tables: dict[str, DataFrame]) -> dict[str, Column]:
-        number = lambda c: c.cast("double")
+    number = lambda c: c.cast("double")
+
+    def amounts(tables: dict[str, DataFrame]) -> dict[str, Column]:
         log = tables["log"].agg(F.struct(
-            F.count("*").alias("rows"), F.sum("dollar_exposure").alias("exposure"),
+            F.sum("dollar_exposure").alias("exposure"),
             F.count_if(F.col("evidence_file").isNull() | (F.trim("evidence_file") == "")).alias("no_evidence"),
         ).alias("f")).scalar()
         breaks = tables["breaks"].agg(F.struct(
-            F.count("*").alias("rows"),
             F.count_if(F.col("break_category") == "CASH_BALANCE_BREAK").alias("cash"),
             F.count_if(F.col("break_category") == "SHARE_QUANTITY_BREAK").alias("shares"),
         ).alias("f")).scalar()
-        out = {name: number(_count(tables[name])) for name in ("cash", "trades", "ledger", "custodian")}
-        return out | {
-            "breaks": number(breaks.getField("rows")), "cash_breaks": number(breaks.getField("cash")),
-            "share_breaks": number(breaks.getField("shares")), "log": number(log.getField("rows")),
-            "exposure": number(F.round(log.getField("exposure"), 2)),
-            "no_evidence": number(log.getField("no_evidence")),
-        }
-
-    want, got = figures(source), figures(published)
+        return {"exposure": number(F.round(log.getField("exposure"), 2)), "no_evidence": number(log.getField("no_evidence")),
+                "cash_breaks": number(breaks.getField("cash")), "share_breaks": number(breaks.getField("shares"))}
+
+    def rows(name: str) -> tuple[Column, Column, Column]:
+        found = agreement(source[name], published[name], PUBLISHED_KEYS[name])
+        one = found.select(F.struct("source_rows", "copy_rows", "differing_ranges").alias("f")).scalar()
+        return number(one.getField("source_rows")), number(one.getField("copy_rows")), one.getField("differing_ranges") == 0
+
+    want, got = amounts(source), amounts(published)
     found = validation.agg(F.struct(
         F.count("*").alias("tested"), F.count_if(F.col("detection_status") == "DETECTED").alias("detected"),
     ).alias("f")).scalar()
-    tested, detected = found.getField("tested").cast("double"), found.getField("detected").cast("double")
-    rate = F.round(detected / F.greatest(tested, F.lit(1.0)), 4)
-    lit = lambda n: F.lit(float(n))
-    same = lambda e, a: e == a
-    at_least = lambda e, a: a >= e
-    rows = [
-        ("Cash Transaction Rows", want["cash"], got["cash"], same),
-        ("Security Transaction Rows", want["trades"], got["trades"], same),
-        ("Internal Ledger Rows", want["ledger"], got["ledger"], same),
-        ("Custodian Balance Rows", want["custodian"], got["custodian"], same),
-        ("Reconciliation Break Rows", want["breaks"], got["breaks"], same),
-        ("Exception Log Rows", want["log"], got["log"], same),
-        ("Ledger Roll-Forward Failures", lit(0), _count(rollforward).cast("double"), same),
-        ("Injected Exceptions Tested", lit(planned), tested, at_least),
-        ("Injected Exceptions Detected", lit(planned), detected, at_least),
-        ("Injection Detection Rate", lit(1), rate, same),
-        ("Missing Evidence Count", lit(0), got["no_evidence"], same),
-        ("Total Dollar Exposure", want["exposure"], got["exposure"], same),
-        ("Cash Break Count", want["cash_breaks"], got["cash_breaks"], same),
-        ("Share Break Count", want["share_breaks"], got["share_breaks"], same),
+    tested, detected = number(found.getField("tested")), number(found.getField("detected"))
+    lit = lambda n: F.lit(float(n))
+    same = lambda name, e, a: (name, e, a, e.eqNullSafe(a))
+    at_least = lambda name, e, a: (name, e, a, a >= e)
+    checks = [
+        ("Cash Transaction Rows", *rows("cash")),
+        ("Security Transaction Rows", *rows("trades")),
+        ("Internal Ledger Rows", *rows("ledger")),
+        ("Custodian Balance Rows", *rows("custodian")),
+        ("Reconciliation Break Rows", *rows("breaks")),
+        ("Exception Log Rows", *rows("log")),
+        same("Ledger Roll-Forward Failures", lit(0), number(_count(rollforward))),
+        at_least("Injected Exceptions Tested", lit(planned), tested),
+        at_least("Injected Exceptions Detected", lit(planned), detected),
+        same("Injection Detection Rate", lit(1), F.round(detected / F.greatest(tested, F.lit(1.0)), 4)),
+        same("Missing Evidence Count", lit(0), got["no_evidence"]),
+        same("Total Dollar Exposure", want["exposure"], got["exposure"]),
+        same("Cash Break Count", want["cash_breaks"], got["cash_breaks"]),
+        same("Share Break Count", want["share_breaks"], got["share_breaks"]),
     ]
     structs = [F.struct(F.lit(i).alias("check_no"), F.lit(name).alias("check_name"), e.alias("expected"),
-                        a.alias("actual"), _pass(test(e, a)).alias("status"))
-               for i, (name, e, a, test) in enumerate(rows, 1)]
+                        a.alias("actual"), _pass(ok).alias("status")) for i, (name, e, a, ok) in enumerate(checks, 1)]
     return _one_row(rollforward.sparkSession).select(F.inline(F.array(*structs)))

@@ -146,59 +146,78 @@ def positions_from(opening: DataFrame | None, trades: DataFrame, last_day: Colum
     )
 
 
-def rollforward_breaks(ledger: DataFrame, cash: DataFrame,
-                       tolerance: str = fixed.ROLLFORWARD_TOLERANCE) -> DataFrame:
+def with_month(df: DataFrame, date_column: str) -> DataFrame:
+    """The frame with the first day of the month as ``month``; as it is where it has that column."""
+    return df if "month" in df.columns else df.withColumn("month", F.trunc(date_column, "MM"))
+
+
+def month_openings(ledger: DataFrame) -> DataFrame:
+    """For each account and month with rows the date and balance of the account's last row before that month.
+
+    Closing rows are one for each account and month, so the look-back over an account spans its months, not its days.
+    """
+    last = F.max_by(F.struct("ledger_date", "cash_balance"), "ledger_date")
+    closing = with_month(ledger, "ledger_date").groupBy("account_id", "month").agg(last.alias("closing"))
+    before = F.lag("closing").over(Window.partitionBy("account_id").orderBy("month"))
+    return closing.select("account_id", "month", before.getField("ledger_date").alias("opened_on"),
+                          before.getField("cash_balance").alias("opening_balance"))
+
+
+def month_moves(cash: DataFrame) -> DataFrame:
+    """Daily movements with their month."""
+    return with_month(daily_net_cash(cash), "transaction_date")
+
+
+def _rolled(ledger: DataFrame, moves: DataFrame, openings: DataFrame) -> DataFrame:
+    """Ledger rows with the account's row before each and the day's movement.
+
+    All meet by account and month: inside a month the row before comes from a window over at most its days, and the month's first
+    row takes it from the opening. Layers bucketed by account and month are read where they lie.
+    """
+    in_month = Window.partitionBy("account_id", "month").orderBy("ledger_date")
+    rows = with_month(ledger, "ledger_date").select("account_id", "month", "ledger_date", "cash_balance")
+    dated = moves.select("account_id", "month", F.col("transaction_date").alias("ledger_date"), F.col("daily_net_cash").alias("movement"))
+    joined = rows.join(openings, ["account_id", "month"], "left").join(dated, ["account_id", "month", "ledger_date"], "left")
+    lag = lambda c, other: F.coalesce(F.lag(c).over(in_month), other)
+    return joined.select(
+        "account_id", "ledger_date", "cash_balance", F.coalesce("movement", F.lit(0).cast(MONEY)).alias("movement"),
+        lag("ledger_date", F.col("opened_on")).alias("prior_date"), lag("cash_balance", F.col("opening_balance")).alias("prior"))
+
+
+def rollforward_breaks(ledger: DataFrame, cash: DataFrame, tolerance: str = fixed.ROLLFORWARD_TOLERANCE,
+                       moves: DataFrame | None = None, openings: DataFrame | None = None) -> DataFrame:
     """Days whose balance is not the balance of the day before plus the day's movement.
 
-    The day before is looked up by date, so a missing day shows as a break on the day after it.
-    All three inputs meet on (account, day) and are shuffled on that pair once each.
+    Only the row of the day before counts, so a missing day shows as a break on the day after it. An account has at most one row
+    a day. ``moves`` and ``openings`` are ``month_moves`` and ``month_openings`` where they are written already.
     """
+    moves = month_moves(cash) if moves is None else moves
+    openings = month_openings(ledger) if openings is None else openings
     zero = F.lit(0).cast(MONEY)
-    now = ledger.select("account_id", "ledger_date", F.col("cash_balance").alias("ending_balance"))
-    before = ledger.select("account_id", F.date_add("ledger_date", 1).alias("ledger_date"),
-                           F.col("cash_balance").alias("prior_balance"))
-    moved = daily_net_cash(cash).withColumnsRenamed(
-        {"transaction_date": "ledger_date", "daily_net_cash": "daily_movement"})
-    keys = ["account_id", "ledger_date"]
-    joined = now.join(before, keys, "left").join(moved, keys, "left").select(
-        *keys, F.coalesce("prior_balance", zero).alias("prior_balance"),
-        F.coalesce("daily_movement", zero).alias("daily_movement"), "ending_balance",
-    )
+    yesterday = F.when(F.col("prior_date") == F.date_sub("ledger_date", 1), F.col("prior"))
+    joined = _rolled(ledger, moves, openings).select(
+        "account_id", "ledger_date", F.coalesce(yesterday, zero).alias("prior_balance"),
+        F.col("movement").alias("daily_movement"), F.col("cash_balance").alias("ending_balance"))
     return (
         joined.withColumn("calculated_ending_balance",
                           (F.col("prior_balance") + F.col("daily_movement")).cast(MONEY))
         .withColumn("variance", (F.col("calculated_ending_balance") - F.col("ending_balance")).cast(MONEY))
         .where(F.abs("variance") > money(tolerance))
-        .select(F.lit("Roll-Forward Failure").alias("check_name"), *keys, "prior_balance", "daily_movement",
+        .select(F.lit("Roll-Forward Failure").alias("check_name"), "account_id", "ledger_date", "prior_balance", "daily_movement",
                 "calculated_ending_balance", "ending_balance", "variance")
     )
 
 
-def rollforward_lag_tieout(ledger: DataFrame, cash: DataFrame,
-                           tolerance: str = fixed.LAG_TIEOUT_TOLERANCE) -> DataFrame:
-    """The same tie-out against the account's previous row, whatever its date.
-
-    Ledger rows and movements share one window per account, so the ledger is shuffled once and no
-    join is needed. A movement row sorts ahead of the ledger row of its day.
-    """
-    rows = ledger.select("account_id", "ledger_date", F.lit(1).alias("is_ledger"), "cash_balance",
-                         F.lit(None).cast(MONEY).alias("movement"))
-    moves = daily_net_cash(cash).select(
-        "account_id", F.col("transaction_date").alias("ledger_date"), F.lit(0).alias("is_ledger"),
-        F.lit(None).cast(MONEY).alias("cash_balance"), F.col("daily_net_cash").alias("movement"))
-    in_order = Window.partitionBy("account_id").orderBy("ledger_date", "is_ledger")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    same_day = Window.partitionBy("account_id", "ledger_date")
-    zero = F.lit(0).cast(MONEY)
-    seen = rows.unionByName(moves).select(
-        "account_id", "ledger_date", "is_ledger",
-        F.last("cash_balance", ignorenulls=True).over(earlier).alias("prior_cash_balance"),
-        F.coalesce(F.max("movement").over(same_day), zero).alias("daily_cash_movement"),
-        F.col("cash_balance").alias("ending_cash_balance"),
-    )
-    gap = F.coalesce("prior_cash_balance", zero) + F.col("daily_cash_movement") - F.col("ending_cash_balance")
+def rollforward_lag_tieout(ledger: DataFrame, cash: DataFrame, tolerance: str = fixed.LAG_TIEOUT_TOLERANCE,
+                           moves: DataFrame | None = None, openings: DataFrame | None = None) -> DataFrame:
+    """The same tie-out against the account's previous row, whatever its date."""
+    moves = month_moves(cash) if moves is None else moves
+    openings = month_openings(ledger) if openings is None else openings
+    gap = F.coalesce("prior_cash_balance", F.lit(0).cast(MONEY)) + F.col("daily_cash_movement") - F.col("ending_cash_balance")
     return (
-        seen.where("is_ledger = 1").drop("is_ledger")
+        _rolled(ledger, moves, openings).select(
+            "account_id", "ledger_date", F.col("prior").alias("prior_cash_balance"), F.col("movement").alias("daily_cash_movement"),
+            F.col("cash_balance").alias("ending_cash_balance"))
         .withColumn("tie_out_difference", F.round(gap, 2))
         .where(F.abs("tie_out_difference") > money(tolerance))
     )

@@ -331,35 +331,35 @@ def dq_pass_rate(results: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame, exact: bool = True, samples: int = 3) -> DataFrame:
     """Per column: nulls, null share, distinct values, a few sample values, negative numbers.
 
-    Each row becomes (column number, value) pairs, which are counted per value before anything is
-    gathered per column, so neither a frequent value nor a wide column ends in one task. With
+    Each row becomes (column number, value) cells, which every task counts per value before they are
+    shuffled, once: the counts and the samples of a column both start from the counted cells, and only a
+    few rows a task and column go on from there. So neither a frequent value nor a wide column ends in one task. With
     ``exact`` off, distinct counts are sketched in a single pass over the rows.
     """
     names = df.columns
-    pairs = F.array(*[F.struct(F.lit(n).alias("column_name"), quoted(n).cast("string").alias("value"))
-                      for n in names])
-    long = df.select(F.inline(pairs))
+    cells = F.array(*[F.struct(F.lit(i).alias("_column"), quoted(n).cast("string").alias("value")) for i, n in enumerate(names)])
+    long = df.select(F.inline(cells))
     negative = F.coalesce(F.col("value").try_cast("double"), F.lit(0.0)) < 0
     if exact:
-        values = long.groupBy("column_name", "value").agg(F.count("*").alias("_n"))
+        values = long.groupBy("_column", "value").agg(F.count("*").alias("_n"))
         present = F.col("value").isNotNull()
-        stats = values.groupBy("column_name").agg(
+        stats = values.groupBy("_column").agg(
             F.sum("_n").alias("row_count"),
             F.coalesce(F.sum(F.when(~present, F.col("_n"))), F.lit(0)).alias("null_count"),
             F.count("value").alias("unique_values"),
             F.coalesce(F.sum(F.when(negative, F.col("_n"))), F.lit(0)).alias("negative_count"))
-        distinct = values.where(present).select("column_name", "value")
     else:
-        stats = long.groupBy("column_name").agg(
+        values = long.distinct().withColumn("_n", F.lit(1))
+        stats = long.groupBy("_column").agg(
             F.count("*").alias("row_count"), F.count_if(F.col("value").isNull()).alias("null_count"),
             F.approx_count_distinct("value").alias("unique_values"), F.count_if(negative).alias("negative_count"))
-        distinct = long.where("value is not null").distinct()
-    # A rank limit below the shuffle keeps only the first few values of a column per task.
-    first = Window.partitionBy("column_name").orderBy("value")
-    sample = (distinct.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= samples)
-              .groupBy("column_name")
-              .agg(F.array_join(F.sort_array(F.collect_list("value")), ", ").alias("sample_values")))
-    return stats.join(sample, "column_name", "left").select(
-        "column_name", "row_count", "null_count",
+    # A rank limit below the shuffle keeps only the first few values of a column per task. Nulls come last and
+    # are dropped after it, and the count takes part in the order: so this reads the very cells that the counts read.
+    first = Window.partitionBy("_column").orderBy(F.col("value").asc_nulls_last(), "_n")
+    sample = (values.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= samples)
+              .groupBy("_column").agg(F.array_join(F.sort_array(F.collect_list("value")), ", ").alias("sample_values")))
+    none_seen = F.when(F.col("null_count") < F.col("row_count"), F.col("sample_values"))
+    return stats.join(sample, "_column", "left").select(
+        F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_column") + 1).alias("column_name"), "row_count", "null_count",
         F.round(F.lit(100.0) * F.col("null_count") / F.col("row_count"), 2).alias("null_pct"),
-        "unique_values", "sample_values", "negative_count")
+        "unique_values", none_seen.alias("sample_values"), "negative_count")

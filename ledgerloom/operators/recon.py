@@ -53,22 +53,29 @@ def _injection(custodian: DataFrame) -> Column:
     return F.lit(None).cast("int").alias("injection_id")
 
 
+def _month(internal: DataFrame, custodian: DataFrame) -> list[str]:
+    """``month`` as one more key where both books carry it: the day implies it, and books bucketed by it join where they lie."""
+    return ["month"] if "month" in internal.columns and "month" in custodian.columns else []
+
+
 def _cash_sides(ledger: DataFrame, custodian: DataFrame) -> DataFrame:
+    month = _month(ledger, custodian)
     return compare_books(
-        ledger.select("account_id", F.col("ledger_date").alias("business_date"),
+        ledger.select("account_id", *month, F.col("ledger_date").alias("business_date"),
                       F.col("cash_balance").alias("internal_value")),
-        custodian.select("account_id", F.col("balance_date").alias("business_date"),
+        custodian.select("account_id", *month, F.col("balance_date").alias("business_date"),
                          F.col("custodian_cash_balance").alias("custodian_value"), _injection(custodian)),
-        ["account_id", "business_date"])
+        ["account_id", *month, "business_date"])
 
 
 def _position_sides(positions: DataFrame, custodian: DataFrame) -> DataFrame:
+    month = _month(positions, custodian)
     return compare_books(
-        positions.select("account_id", F.col("position_date").alias("business_date"), "ticker",
+        positions.select("account_id", *month, F.col("position_date").alias("business_date"), "ticker",
                          F.col("share_quantity").alias("internal_value")),
-        custodian.select("account_id", F.col("position_date").alias("business_date"), "ticker",
+        custodian.select("account_id", *month, F.col("position_date").alias("business_date"), "ticker",
                          F.col("custodian_share_quantity").alias("custodian_value"), _injection(custodian)),
-        ["account_id", "business_date", "ticker"])
+        ["account_id", *month, "business_date", "ticker"])
 
 
 def cash_recon(ledger: DataFrame, custodian: DataFrame, tolerance: str = fixed.CASH_TOLERANCE) -> DataFrame:

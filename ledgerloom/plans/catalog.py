@@ -1,6 +1,7 @@
 """Every operator as a named query on the driver tables."""
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,10 +10,10 @@ from pyspark.sql import types as T
 from ledgerloom.functions import fixed_values as fixed
 from ledgerloom.functions.columns import match_key, quoted
 from ledgerloom.operators import (
-    anomaly, checks, exceptions, files, ids, ledger, quality, recon, reports, staging, vendor,
+    anomaly, checks, exceptions, files, fingerprints, ids, ledger, months, quality, recon, reports, staging, vendor,
 )
 from ledgerloom.plans.pipeline import (
-    EXCESS_CASH, LARGE_MOVEMENT, MISPOSTING, MISSING_POSITION_FILE, RECLASSIFIED_TICKER, REVIEW_DATE, Z_SCORE, Pipeline,
+    EXCESS_CASH, LARGE_MOVEMENT, LATE_ALL, LATE_FROM, LEDGER_DAYS, MISPOSTING, MISSING_POSITION_FILE, RECLASSIFIED_TICKER, REVIEW_DATE, Z_SCORE, Pipeline,
 )
 from ledgerloom.sources import tables
 
@@ -198,6 +199,51 @@ def ledger_balances(p: Pipeline) -> DataFrame:
     return ledger.ledger_balances(p.cash(), p.accounts())
 
 
+def _early(p: Pipeline, df: DataFrame) -> DataFrame:
+    """Transactions without those that come in late: some from a day on, and all of the last weeks."""
+    return df.where(~_is_late())
+
+
+def _is_late():
+    return (F.col("transaction_date") >= F.lit(LATE_FROM).cast("date")) & (F.col("transaction_id") % 97 == 0) \
+        | (F.col("transaction_date") >= F.lit(LATE_ALL).cast("date"))
+
+
+def _ledger_table(p: Pipeline) -> str:
+    """Ledger by month, written without the late transactions and then rebuilt from their first month on."""
+    path = p.workspace.path("ledger-by-month")
+
+    def build() -> DataFrame:
+        months.rebuild_ledger(path, _early(p, p.cash()), p.accounts(), p.workspace)
+        first = p.cash().where(_is_late()).agg(F.min("transaction_date")).first()[0]
+        months.rebuild_ledger(path, p.cash(), p.accounts(), p.workspace, changed=first)
+        return months.read_ledger(p.spark, path)
+    p.workspace.memo("ledger-by-month", build)
+    return path
+
+
+@query
+def ledger_rebuilt_in_part(p: Pipeline) -> DataFrame:
+    return months.read_ledger(p.spark, _ledger_table(p))
+
+
+@query
+def ledger_of_days(p: Pipeline) -> DataFrame:
+    return months.read_ledger(p.spark, _ledger_table(p), *[date.fromisoformat(d) for d in LEDGER_DAYS])
+
+
+@query
+def positions_rebuilt_in_part(p: Pipeline) -> DataFrame:
+    path = p.workspace.path("positions-by-month")
+
+    def build() -> DataFrame:
+        months.rebuild_positions(path, _early(p, p.trades()), p.workspace)
+        first = p.trades().where(_is_late()).agg(F.min("transaction_date")).first()[0]
+        months.rebuild_positions(path, p.trades(), p.workspace, changed=first)
+        return months.read_positions(p.spark, path)
+    return p.workspace.memo("positions-by-month", build)
+
+
 @query
 def daily_net_shares(p: Pipeline) -> DataFrame:
     return ledger.daily_net_shares(p.trades())
@@ -225,12 +271,12 @@ def positions(p: Pipeline) -> DataFrame:
 
 @query
 def rollforward_breaks(p: Pipeline) -> DataFrame:
-    return ledger.rollforward_breaks(p.dented_ledger(), p.cash())
+    return ledger.rollforward_breaks(p.dented_ledger(), p.cash(), moves=p.moves())
 
 
 @query
 def rollforward_lag_tieout(p: Pipeline) -> DataFrame:
-    return ledger.rollforward_lag_tieout(p.dented_ledger(), p.cash())
+    return ledger.rollforward_lag_tieout(p.dented_ledger(), p.cash(), moves=p.moves())
 
 
 # Custodian files and overlays
@@ -363,12 +409,12 @@ def recon_review(p: Pipeline) -> DataFrame:
 
 @query
 def cash_recon_totals(p: Pipeline) -> DataFrame:
-    return recon.cash_recon_totals(p.ledger(), p.custodian_balances())
+    return recon.cash_recon_totals(p.ledger_by_month(), p.custodian_balances_by_month())
 
 
 @query
 def position_recon_totals(p: Pipeline) -> DataFrame:
-    return recon.position_recon_totals(p.positions(), p.custodian_positions())
+    return recon.position_recon_totals(p.positions_by_month(), p.custodian_positions_by_month())
 
 
 @query
@@ -436,7 +482,7 @@ def security_type_profile(p: Pipeline) -> DataFrame:
 
 
 def _rollforward(p: Pipeline) -> DataFrame:
-    return ledger.rollforward_breaks(p.dented_ledger(), p.cash())
+    return ledger.rollforward_breaks(p.dented_ledger(), p.cash(), moves=p.moves())
 
 
 def _validation(p: Pipeline) -> DataFrame:
@@ -536,7 +582,7 @@ def layer_counts(p: Pipeline) -> DataFrame:
 
 @query
 def rollforward_status(p: Pipeline) -> DataFrame:
-    good = checks.rollforward_status(ledger.rollforward_breaks(p.ledger(), p.cash()))
+    good = checks.rollforward_status(ledger.rollforward_breaks(p.ledger_by_month(), p.cash(), moves=p.moves(), openings=p.openings()))
     return good.unionByName(checks.rollforward_status(_rollforward(p)))
 
 
@@ -645,12 +691,26 @@ def exception_completeness(p: Pipeline) -> DataFrame:
     return checks.exception_completeness(p.log())
 
 
+def _published(p: Pipeline, sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables as they are given out: written, and read back."""
+    return {name: p.workspace.memo(f"published-{name}", lambda: tables.overwrite_table(df, p.workspace.path(f"published-{name}")))
+            for name, df in sources.items()}
+
+
 @query
 def tie_outs(p: Pipeline) -> DataFrame:
-    named = lambda log: {"cash": p.cash(), "trades": p.trades(), "ledger": p.ledger(),
-                         "custodian": p.custodian_balances(), "breaks": p.breaks(), "log": log}
-    published = tables.overwrite_table(p.log(), p.workspace.path("published-log"))
-    return checks.tie_outs(named(p.log()), named(published), _rollforward(p), _validation(p))
+    sources = {"cash": p.cash(), "trades": p.trades(), "ledger": p.ledger(), "custodian": p.custodian_balances(),
+               "breaks": p.breaks(), "log": p.log()}
+    return checks.tie_outs(sources, _published(p, sources), _rollforward(p), _validation(p))
+
+
+@query
+def table_differences(p: Pipeline) -> DataFrame:
+    """Where the ledger and a copy with one balance off, one day gone and one account too many disagree."""
+    own = p.ledger()
+    copy = p.dented_ledger().select(own.columns).unionByName(
+        own.where("account_id = 7 and ledger_date between date'1999-01-01' and date'1999-01-03'").withColumn("account_id", F.col("account_id") + 1000))
+    return fingerprints.differences(own, copy, ["account_id", "ledger_date"])
 
 
 # Data quality

@@ -583,6 +583,11 @@ SQL = {
     "ledger_balances": f"SELECT account_id, {_txt('ledger_date')}, {_dbl('daily_net_cash', 'cash_balance')} FROM x_ledger",
     "daily_net_shares": f"SELECT account_id, ticker, {_txt('transaction_date')}, {_dbl('daily_net_shares')} FROM x_netshares",
     "first_trade": f"SELECT account_id, ticker, {_txt('first_trade_date')} FROM x_first",
+    "ledger_rebuilt_in_part": f"SELECT account_id, {_txt('ledger_date')}, {_dbl('daily_net_cash', 'cash_balance')} FROM x_ledger",
+    "ledger_of_days": f"SELECT account_id, {_txt('ledger_date')}, {_dbl('daily_net_cash', 'cash_balance')} FROM x_ledger "
+                      f"WHERE ledger_date BETWEEN DATE '{stand_in.LEDGER_DAYS[0]}' AND DATE '{stand_in.LEDGER_DAYS[1]}'",
+    "positions_rebuilt_in_part": f"""SELECT p.account_id, p.ticker, {_txt('position_date')}, CAST(coalesce(d.daily_net_shares, 0) AS DOUBLE) AS daily_net_shares,
+        {_dbl('share_quantity')} FROM x_positions p LEFT JOIN x_netshares d ON d.account_id = p.account_id AND d.ticker = p.ticker AND d.transaction_date = p.position_date""",
     "position_grid": "SELECT account_id, ticker, count(*) AS days, CAST(min(calendar_date) AS VARCHAR) AS first_day, CAST(max(calendar_date) AS VARCHAR) AS last_day FROM x_pgrid GROUP BY 1, 2",
     "positions": """SELECT account_id, ticker, strftime(position_date, '%Y-%m') AS month, count(*) AS days, CAST(sum(share_quantity) AS DOUBLE) AS share_days,
         CAST(min(share_quantity) AS DOUBLE) AS lowest, CAST(max(share_quantity) AS DOUBLE) AS highest, CAST(arg_max(share_quantity, position_date) AS DOUBLE) AS closing
@@ -742,19 +747,25 @@ SQL = {
         count(*) - count(dollar_exposure) AS null_exposure FROM x_log""",
     "exception_completeness": "SELECT count(*) AS total_exceptions, " + ", ".join(
         f"count(*) - count({c}) AS missing_{c}" for c in ["break_id", "account_id", "break_type", "severity", "root_cause", "owner", "status", "detected_date",
-                                                          "due_date", "aging_days", "sla_status"]) + ", 0 AS missing_evidence_file FROM x_log",
+                                                          "due_date", "aging_days", "sla_status"]) + ", count(*) FILTER (WHERE evidence_file IS NULL OR trim(evidence_file) = '') AS missing_evidence_file FROM x_log",
+    "table_differences": """WITH copy AS (SELECT account_id, ledger_date, daily_net_cash, cash_balance FROM x_dented UNION ALL
+        SELECT account_id + 1000, ledger_date, daily_net_cash, cash_balance FROM x_ledger WHERE account_id = 7 AND ledger_date BETWEEN DATE '1999-01-01' AND DATE '1999-01-03')
+        SELECT account_id, CAST(ledger_date AS VARCHAR) AS ledger_date, CASE WHEN max(b) = 0 THEN 'LOST' WHEN max(a) = 0 THEN 'ADDED' ELSE 'CHANGED' END AS difference,
+        max(a) AS source_rows, max(b) AS copy_rows FROM (
+        SELECT account_id, ledger_date, daily_net_cash, cash_balance, 1 AS a, 0 AS b FROM x_ledger UNION ALL SELECT *, 0, 1 FROM copy)
+        GROUP BY account_id, ledger_date HAVING sum(a) <> sum(b) OR count(DISTINCT (daily_net_cash, cash_balance)) > 1""",
     "tie_outs": " UNION ALL ".join(_tie(i, *row) for i, row in enumerate([
-        *[(name, _n(rel), _n(rel), "TRUE") for name, rel in [
+        *[(name, _n(rel), f"(SELECT count(*) FROM (SELECT * FROM {rel} INTERSECT ALL SELECT * FROM {rel}))", "{e} = {a}") for name, rel in [
             ("Cash Transaction Rows", "x_cash"), ("Security Transaction Rows", "x_trades"), ("Internal Ledger Rows", "x_ledger"),
             ("Custodian Balance Rows", "x_custodian"), ("Reconciliation Break Rows", "x_breaks"), ("Exception Log Rows", "x_log")]],
         ("Ledger Roll-Forward Failures", "0", _n("x_rollbreaks"), "{a} = 0"),
         ("Injected Exceptions Tested", "8", _n("x_validation"), "{a} >= 8"),
         ("Injected Exceptions Detected", "8", _n("x_validation", "detection_status = 'DETECTED'"), "{a} >= 8"),
         ("Injection Detection Rate", "1", f"(SELECT round(CAST({_n('x_validation', chr(39).join(['detection_status = ', 'DETECTED', '']))} AS DOUBLE) / {_n('x_validation')}, 4))", "{a} = 1"),
-        ("Missing Evidence Count", "0", "0", "TRUE"),
-        ("Total Dollar Exposure", "(SELECT round(sum(dollar_exposure), 2) FROM x_log)", "(SELECT round(sum(dollar_exposure), 2) FROM x_log)", "TRUE"),
-        ("Cash Break Count", _control_counts[0], _control_counts[0], "TRUE"),
-        ("Share Break Count", _control_counts[1], _control_counts[1], "TRUE"),
+        ("Missing Evidence Count", "0", _n("x_log", "evidence_file IS NULL OR trim(evidence_file) = ''"), "{a} = 0"),
+        ("Total Dollar Exposure", "(SELECT round(sum(dollar_exposure), 2) FROM x_log)", "(SELECT round(sum(dollar_exposure), 2) FROM x_log)", "{e} = {a}"),
+        ("Cash Break Count", _n("x_recon", "break_type = 'CASH_BALANCE_BREAK'"), _n("x_breaks", "break_category = 'CASH_BALANCE_BREAK'"), "{e} = {a}"),
+        ("Share Break Count", _n("x_precon", "break_type = 'SHARE_QUANTITY_BREAK'"), _n("x_breaks", "break_category = 'SHARE_QUANTITY_BREAK'"), "{e} = {a}"),
     ], 1)),
     "dq_null_required": _family("null_required"),
     "dq_duplicate_id": _family("duplicate_id") + " UNION ALL " + _quality_texts(
@@ -810,6 +821,7 @@ LONG = {
     "adjustment_counts": ["planned_injections"],
     "exception_completeness": ["missing_evidence_file"],
     "tie_outs": ["check_no"],
+    "table_differences": ["source_rows", "copy_rows"],
     **dict.fromkeys(["apply_adjustments", "apply_misposting", "cash_recon", "position_recon", "recon_breaks",
                      "injection_validation", "injection_to_break"], ["injection_id"]),
     **dict.fromkeys([n for n in SQL if n.startswith("dq_") and n != "dq_pass_rate"], ["check_id"]),

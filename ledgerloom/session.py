@@ -19,6 +19,8 @@ def spark_session(app: str = "ledgerloom", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # A skewed join is split even where that costs one more exchange above it.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # Layers bucketed by account and month join on account, month and day where they lie.
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         # Call sites kept per column expression slow the building of wide plans.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
@@ -31,6 +33,11 @@ def spark_session(app: str = "ledgerloom", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def single_machine(master: str) -> bool:
+    """Whether driver and executors share one machine's folders by being one process: ``local`` and ``local[...]``."""
+    return master == "local" or master.startswith("local[")
+
+
 def local_shared_folder(spark: SparkSession) -> None:
     """Give a local session that has no ``spark.checkpoint.dir`` a temporary one, dropped at exit.
 
@@ -38,7 +45,7 @@ def local_shared_folder(spark: SparkSession) -> None:
     as they are and must bring a folder that all executors share.
     """
     context = spark.sparkContext
-    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or not context.master.startswith("local"):
+    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or not single_machine(context.master):
         return
     folder = tempfile.mkdtemp(prefix="ledgerloom-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)

@@ -1,10 +1,13 @@
 """Written layers: tables that are read several times and must not change between reads."""
 
+import re
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.session import single_machine
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor sees: the session's ``spark.checkpoint.dir``, or the checkpoint folder
@@ -12,7 +15,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+    if folder.startswith("file:") and not single_machine(spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must not be a machine-local folder on a cluster")
     return folder
 
@@ -29,6 +32,7 @@ class Workspace:
         base = folder or shared_folder(spark)
         self.folder = f"{base.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"
         self._layers: dict[str, DataFrame] = {}
+        self._tables: list[str] = []
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -39,6 +43,19 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_bucketed(self, df: DataFrame, name: str, keys: list[str], buckets: int | None = None) -> DataFrame:
+        """Write one frame in buckets of the ``keys`` and return the reader of it.
+
+        Frames bucketed alike join and group on these keys where they lie, with no exchange. ``buckets`` must be the same
+        for them; it defaults to the shuffle partitions, so it grows with that setting. The table is known to this session only.
+        """
+        count = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"ledgerloom_{re.sub('[^a-z0-9]', '_', name.lower())}_{uuid.uuid4().hex}"
+        dealt = df.repartition(count, *keys).sortWithinPartitions(*keys)
+        dealt.write.option("path", self.path(table)).format("parquet").bucketBy(count, *keys).sortBy(*keys).saveAsTable(table)
+        self._tables.append(table)
+        return self.spark.table(table)
+
     def layer(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The named layer, built and written at first use."""
         if name not in self._layers:
@@ -52,7 +69,10 @@ class Workspace:
         return self._layers[name]
 
     def drop(self) -> None:
-        """Remove the run folder through the file system that holds it."""
+        """Remove the run folder through the file system that holds it, and forget its tables."""
+        for table in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._tables.clear()
         jvm = self.spark._jvm
         target = jvm.org.apache.hadoop.fs.Path(self.folder)
         target.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
