@@ -241,7 +241,10 @@ def positions_rebuilt_in_part(p: Pipeline) -> DataFrame:
         first = p.trades().where(_is_late()).agg(F.min("transaction_date")).first()[0]
         months.rebuild_positions(path, p.trades(), p.workspace, changed=first)
         return months.read_positions(p.spark, path)
-    return p.workspace.memo("positions-by-month", build)
+    rows, day = p.workspace.memo("positions-by-month", build), F.dayofmonth("position_date")
+    return rows.groupBy("account_id", "ticker", F.date_format("position_date", "yyyy-MM").alias("month")).agg(
+        F.count("*").alias("days"), F.sum("share_quantity").alias("share_days"), F.sum(F.col("share_quantity") * day).alias("weighted_shares"),
+        F.sum("daily_net_shares").alias("net_shares"), F.sum(F.col("daily_net_shares") * day).alias("weighted_net_shares"))
 
 
 @query

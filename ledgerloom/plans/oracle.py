@@ -586,8 +586,10 @@ SQL = {
     "ledger_rebuilt_in_part": f"SELECT account_id, {_txt('ledger_date')}, {_dbl('daily_net_cash', 'cash_balance')} FROM x_ledger",
     "ledger_of_days": f"SELECT account_id, {_txt('ledger_date')}, {_dbl('daily_net_cash', 'cash_balance')} FROM x_ledger "
                       f"WHERE ledger_date BETWEEN DATE '{stand_in.LEDGER_DAYS[0]}' AND DATE '{stand_in.LEDGER_DAYS[1]}'",
-    "positions_rebuilt_in_part": f"""SELECT p.account_id, p.ticker, {_txt('position_date')}, CAST(coalesce(d.daily_net_shares, 0) AS DOUBLE) AS daily_net_shares,
-        {_dbl('share_quantity')} FROM x_positions p LEFT JOIN x_netshares d ON d.account_id = p.account_id AND d.ticker = p.ticker AND d.transaction_date = p.position_date""",
+    "positions_rebuilt_in_part": """SELECT p.account_id, p.ticker, strftime(position_date, '%Y-%m') AS month, count(*) AS days, CAST(sum(share_quantity) AS DOUBLE) AS share_days,
+        CAST(sum(share_quantity * day(position_date)) AS DOUBLE) AS weighted_shares, CAST(sum(coalesce(d.daily_net_shares, 0)) AS DOUBLE) AS net_shares,
+        CAST(sum(coalesce(d.daily_net_shares, 0) * day(position_date)) AS DOUBLE) AS weighted_net_shares
+        FROM x_positions p LEFT JOIN x_netshares d ON d.account_id = p.account_id AND d.ticker = p.ticker AND d.transaction_date = p.position_date GROUP BY 1, 2, 3""",
     "position_grid": "SELECT account_id, ticker, count(*) AS days, CAST(min(calendar_date) AS VARCHAR) AS first_day, CAST(max(calendar_date) AS VARCHAR) AS last_day FROM x_pgrid GROUP BY 1, 2",
     "positions": """SELECT account_id, ticker, strftime(position_date, '%Y-%m') AS month, count(*) AS days, CAST(sum(share_quantity) AS DOUBLE) AS share_days,
         CAST(min(share_quantity) AS DOUBLE) AS lowest, CAST(max(share_quantity) AS DOUBLE) AS highest, CAST(arg_max(share_quantity, position_date) AS DOUBLE) AS closing
@@ -748,12 +750,12 @@ SQL = {
     "exception_completeness": "SELECT count(*) AS total_exceptions, " + ", ".join(
         f"count(*) - count({c}) AS missing_{c}" for c in ["break_id", "account_id", "break_type", "severity", "root_cause", "owner", "status", "detected_date",
                                                           "due_date", "aging_days", "sla_status"]) + ", count(*) FILTER (WHERE evidence_file IS NULL OR trim(evidence_file) = '') AS missing_evidence_file FROM x_log",
-    "table_differences": """WITH copy AS (SELECT account_id, ledger_date, daily_net_cash, cash_balance FROM x_dented UNION ALL
-        SELECT account_id + 1000, ledger_date, daily_net_cash, cash_balance FROM x_ledger WHERE account_id = 7 AND ledger_date BETWEEN DATE '1999-01-01' AND DATE '1999-01-03')
-        SELECT account_id, CAST(ledger_date AS VARCHAR) AS ledger_date, CASE WHEN max(b) = 0 THEN 'LOST' WHEN max(a) = 0 THEN 'ADDED' ELSE 'CHANGED' END AS difference,
-        max(a) AS source_rows, max(b) AS copy_rows FROM (
-        SELECT account_id, ledger_date, daily_net_cash, cash_balance, 1 AS a, 0 AS b FROM x_ledger UNION ALL SELECT *, 0, 1 FROM copy)
-        GROUP BY account_id, ledger_date HAVING sum(a) <> sum(b) OR count(DISTINCT (daily_net_cash, cash_balance)) > 1""",
+    "table_differences": """WITH both_sides AS (SELECT account_id, ledger_date, cash_balance, 1 AS a, 0 AS b FROM x_ledger
+        UNION ALL SELECT account_id, ledger_date, cash_balance, 0, 1 FROM x_dented
+        UNION ALL SELECT account_id + 1000, ledger_date, cash_balance, 0, 1 FROM x_ledger WHERE account_id = 7 AND ledger_date BETWEEN DATE '1999-01-01' AND DATE '1999-01-03')
+        SELECT account_id, CAST(ledger_date AS VARCHAR) AS ledger_date, CASE WHEN sum(b) = 0 THEN 'LOST' WHEN sum(a) = 0 THEN 'ADDED' ELSE 'CHANGED' END AS difference,
+        CAST(sum(a) AS BIGINT) AS source_rows, CAST(sum(b) AS BIGINT) AS copy_rows FROM both_sides
+        GROUP BY account_id, ledger_date HAVING sum(a) <> sum(b) OR count(DISTINCT cash_balance) > 1""",
     "tie_outs": " UNION ALL ".join(_tie(i, *row) for i, row in enumerate([
         *[(name, _n(rel), f"(SELECT count(*) FROM (SELECT * FROM {rel} INTERSECT ALL SELECT * FROM {rel}))", "{e} = {a}") for name, rel in [
             ("Cash Transaction Rows", "x_cash"), ("Security Transaction Rows", "x_trades"), ("Internal Ledger Rows", "x_ledger"),
