@@ -137,6 +137,14 @@ def bucket_count(spark: SparkSession) -> int:
     return 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def any_bucket(ids: np.ndarray, buckets: int) -> int:
+    """A bucket for a row of packed columns that only passes through, told by its first id.
+
+    Counting from zero in each task would send the rows of all tasks to the same few buckets.
+    """
+    return int((mix(ids[:1]) >> np.uint64(32))[0] % np.uint64(buckets)) if len(ids) else 0
+
+
 class Scatter:
     """Collects rows in a task and hands them out as one row of packed columns for each bucket.
 

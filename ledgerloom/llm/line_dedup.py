@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Scatter, bucket_count, group_starts, mix, narrowed, powers, prefix_sums, ragged, range_hash, slices, utf8
+from ledgerloom.llm.common import Scatter, any_bucket, bucket_count, group_starts, mix, narrowed, powers, prefix_sums, ragged, range_hash, slices, utf8
 from ledgerloom.llm.components import components
 from ledgerloom.llm.ngram_join import _MEMBERS, _PACKED, _PAIRS, _PARITY, _SIGNATURES, _SIGNED, _group, _planes, _spread, parities
 from ledgerloom.sources.workspace import Workspace
@@ -93,7 +93,7 @@ def band_keys(values: np.ndarray, rows: int) -> np.ndarray:
 
 def _sign(size: int, rows: int, bands: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent, seen, turn = Scatter(buckets, _SIGNED), set(), 0
+        sent, seen = Scatter(buckets, _SIGNED), set()
 
         def flush():
             for out in sent.flush():
@@ -107,8 +107,7 @@ def _sign(size: int, rows: int, bands: int, buckets: int):
                 if not len(owner):
                     continue
                 name = range_hash(prefix_sums(data), starts, ends).view(np.int64)
-                turn += 1
-                yield pa.RecordBatch.from_arrays([pa.array([_LINES], pa.int32()), pa.array([turn % buckets], pa.int32()),
+                yield pa.RecordBatch.from_arrays([pa.array([_LINES], pa.int32()), pa.array([any_bucket(ids[owner], buckets)], pa.int32()),
                                                   *(pa.array([x.tobytes()], pa.binary()) for x in (name, ids[owner], number.astype(np.int64)))], ["kind", "bucket", "c0", "c1", "c2"])
                 distinct, first = np.unique(name, return_index=True)
                 new = np.array([x not in seen for x in distinct.tolist()], bool)
@@ -132,6 +131,17 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, np.int64)) for x in cells], ["line", "doc_id", "number"])
 
 
+def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without their removed lines, in time linear in their length."""
+    for batch in batches:
+        for piece in slices(batch, "text"):
+            texts, removed = piece.column("text").to_pylist(), [set(x or ()) for x in piece.column("removed").to_pylist()]
+            lines = [0 if t is None else t.count("\n") + 1 for t in texts]
+            kept = ["\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone) if gone else t for t, gone in zip(texts, removed)]
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(lines, pa.int64()), pa.array([len(x) for x in removed], pa.int64()),
+                                              pa.array(kept, pa.string())], ["doc_id", "n_lines", "n_removed", "kept_text"])
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct lines of each slice with their hash."""
     for batch in batches:
@@ -253,9 +263,5 @@ def drop_near_lines(docs: DataFrame, space: Workspace, size: int = 8, percent: i
     place = F.struct("doc_id", "number")
     first = lines.groupBy("root").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("root", "first")
     removed = lines.join(first, "root").where(place != F.col("first")).groupBy("doc_id").agg(F.collect_set("number").alias("removed"))
-    parts = F.split("text", "\n", -1)
-    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("removed", i.cast("long"))), "\n")
     # the text is dealt once; what is removed joins it
-    return docs.join(removed, "doc_id", "left").select(
-        "doc_id", F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept).alias("kept_text"))
+    return docs.join(removed, "doc_id", "left").mapInArrow(_without, "doc_id long, n_lines long, n_removed long, kept_text string")

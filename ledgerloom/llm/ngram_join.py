@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import (
-    Scatter, bucket_count, gathered, group_starts, mix, narrowed, ragged, range_hash, prefix_sums, slices, utf8, window_hash, word_spans,
+    Scatter, any_bucket, bucket_count, gathered, group_starts, mix, narrowed, ragged, range_hash, prefix_sums, slices, utf8, window_hash, word_spans,
 )
 from ledgerloom.llm.components import components
 from ledgerloom.sources.workspace import Workspace
@@ -38,6 +38,8 @@ from ledgerloom.sources.workspace import Workspace
 _SIGNED = {"sig": np.uint32, "low": np.uint32, "high": np.int32}
 _PACKED = "kind int, bucket int, c0 binary, c1 binary, c2 binary"
 _SETS, _SIGNATURES, _PAIRS, _MEMBERS, _LINKS = range(5)
+#: Sets that a task remembers to tell their copies without signatures.
+SEEN = 200_000
 #: Bins whose parity bounds the difference of two sets from below, in words of 64 bits.
 _PARITY = [f"parity{i}" for i in range(8)]
 
@@ -183,7 +185,6 @@ def _row(kind: int, bucket: int, *arrays: np.ndarray) -> pa.RecordBatch:
 def _sign(width: int, percent: int, common: np.ndarray, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent, seen = Scatter(buckets, _SIGNED, 1 << 21), {}
-        turn = 0
 
         def flush():
             for out in sent.flush():
@@ -193,16 +194,18 @@ def _sign(width: int, percent: int, common: np.ndarray, buckets: int):
             for piece in slices(batch, "text"):
                 ids = np.asarray(piece.column("doc_id"))
                 elements, sizes = shingle_sets(*utf8(piece.column("text")), width)
-                turn += 1
-                yield _row(_SETS, turn % buckets, ids, sizes, parities(elements, sizes))
+                through = any_bucket(ids, buckets)
+                yield _row(_SETS, through, ids, sizes, parities(elements, sizes))
                 ends = np.cumsum(sizes)
                 sums = np.concatenate(([0], np.cumsum(mix(elements)))).astype(np.uint64)
                 again = np.concatenate(([0], np.cumsum(mix(elements ^ np.uint64(0x2545F4914F6CDD1D))))).astype(np.uint64)
                 marks = zip((sums[ends] - sums[ends - sizes]).tolist(), (again[ends] - again[ends - sizes]).tolist(), sizes.tolist())
+                if len(seen) > SEEN:
+                    seen.clear()  # a later copy then sends its signatures and is linked by them
                 first = np.array([seen.setdefault(m, d) if m[2] else d for m, d in zip(marks, ids.tolist())], np.int64)
                 copy = first != ids
                 if copy.any():
-                    yield _row(_LINKS, turn % buckets, ids[copy], first[copy])
+                    yield _row(_LINKS, through, ids[copy], first[copy])
                 lone = np.repeat(~copy, sizes)
                 found, owner = signatures(elements[lone], sizes[~copy], percent, common)
                 sent.add(found, found & np.uint64(0xFFFFFFFF), *_planes(ids[~copy][owner]))

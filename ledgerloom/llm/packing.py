@@ -86,7 +86,7 @@ def powers_of_two(pieces: list[Piece]) -> list[list[Piece]]:
 def _word_ids(path: str) -> UnitTable:
     """Ids of words, kept for all tasks of a process."""
     known = tokenizer(path)
-    return UnitTable(lambda units: unit_ids(known, units, " \x01 "))
+    return UnitTable(lambda units: unit_ids(known, units, " \x01 "), most=250_000)
 
 
 def _pack(path: str, end: int, capacity: int, window: int, linear: float, quadratic: float, with_ids: bool):

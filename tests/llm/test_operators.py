@@ -2,11 +2,13 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +112,27 @@ def test_line_dedup_links_members_that_are_no_neighbours(spark, workspace, monke
         assert {d: n for d, n in found.items() if n} == removed
 
 
+def test_lines_of_a_long_text_are_cut_in_linear_time(spark, workspace):
+    """A text of 200,000 lines that all repeat those of another."""
+    lines = "\n".join(f"line number {i} of this text" for i in range(200_000))
+    begun = time.monotonic()
+    found = line_dedup._without(iter([pa.RecordBatch.from_pylist([{"doc_id": 2, "text": lines, "removed": list(range(0, 200_000, 2))},
+                                                                  {"doc_id": 3, "text": None, "removed": None}, {"doc_id": 4, "text": "", "removed": None}])]))
+    rows = [r for batch in found for r in batch.to_pylist()]
+    assert time.monotonic() - begun < 10
+    assert [(r["n_lines"], r["n_removed"]) for r in rows] == [(200_000, 100_000), (0, 0), (1, 0)]
+    assert rows[0]["kept_text"] == "\n".join(lines.split("\n")[1::2]) and rows[1]["kept_text"] is None
+
+
+def test_rows_that_pass_through_are_spread_over_buckets(spark, docs):
+    """Each task has few of them, so they must not start at the same bucket in all."""
+    many = docs.select("doc_id", "text").repartition(32)
+    for signed, kind in ((many.mapInArrow(line_dedup._sign(8, 6, 20, 256), line_dedup._PACKED), line_dedup._LINES),
+                         (many.mapInArrow(ngram_join._sign(5, 80, np.empty(0, np.uint64), 256), ngram_join._PACKED), ngram_join._SETS)):
+        sizes = [r["count"] for r in signed.where(F.col("kind") == kind).groupBy("bucket").count().collect()]
+        assert sum(sizes) >= 30 and max(sizes) <= 6
+
+
 # n-gram join
 
 def set_of(text, lower=str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")):
