@@ -6,17 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.session import single_machine
-
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor sees: the session's ``spark.checkpoint.dir``, or the checkpoint folder
-    its context was given. There is no fallback: a folder of one machine would lose layers."""
+    its context was given. The cluster vouches for that folder, also where it is a mounted one (``file:``).
+    There is no fallback: a folder of one machine would lose layers."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if folder.startswith("file:") and not single_machine(spark.sparkContext.master):
-        raise RuntimeError("spark.checkpoint.dir must not be a machine-local folder on a cluster")
     return folder
 
 
