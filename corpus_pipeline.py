@@ -8,34 +8,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import line_dedup, ngram_join, packing, quality_rules, suffix_dedup
 from ledgerloom.llm.common import small_batches
-from ledgerloom.operators.ids import ordered_id
+from ledgerloom.llm.keys import distinct_ids
 from ledgerloom.session import local_shared_folder
 from ledgerloom.sources.workspace import Workspace
 
 
-def _keyed(docs: DataFrame, labels: DataFrame, space: Workspace) -> DataFrame:
-    """The same rows with distinct, non-null ``doc_id``, as the stages join on it.
-
-    Of rows that share a ``doc_id`` the first by their other columns keeps it. The others, and rows with a
-    null one, get new ids after the largest of documents and labels, in order of the old id (nulls last) and the
-    other columns; so no row is lost or doubled, those rows have no label, and they count as later ones where
-    earlier text stays. New ids must fit 64 bits, or there is an error.
-    """
-    repeated = space.write(docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_id")), "repeated")
-    if repeated.isEmpty():
-        return docs
-    shared = docs["doc_id"].eqNullSafe(repeated["_id"])
-    # equal rows may stand in any order, so the place they are read at breaks their ties
-    again = space.write(docs.join(repeated, shared, "left_semi").withColumn("_at", F.monotonically_increasing_id()), "again")
-    order = [F.col("doc_id").asc_nulls_last(), *(c for c in docs.columns if c != "doc_id"), "_at"]
-    numbered = ordered_id(again, order, "_number", space, start=1, stored=True)
-    first = numbered.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("_number").alias("_first"))
-    largest = docs.select("doc_id").unionByName(labels.select("doc_id")).agg(F.max("doc_id")).first()[0] or 0
-    fresh = F.when(F.col("_number") == F.col("_first"), F.col("doc_id")).otherwise(F.lit(largest).cast("long") + F.col("_number"))
-    rekeyed = numbered.join(first, "doc_id", "left").withColumn("doc_id", fresh).select(docs.columns)
-    return space.write(docs.join(repeated, shared, "left_anti").unionByName(rekeyed), "keyed")
-
-
 def _retold(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The documents with the text that ``kept`` has for them; those left without a word go."""
     columns = docs.columns
@@ -44,10 +21,10 @@ def _retold(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, under distinct ids from here on."""
+    """Documents that the quality rules keep, under distinct ids from here on (see ``distinct_ids``)."""
     small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    docs = _keyed(docs, labels, Workspace(spark))
+    docs = distinct_ids(docs, Workspace(spark), labels)
     verdict = quality_rules.judged(docs, labels)
     return docs.join(verdict.where("kept").select("doc_id"), "doc_id", "left_semi")
 

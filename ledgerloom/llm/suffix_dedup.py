@@ -19,8 +19,9 @@ Documents are dealt by hash of ``doc_id``, grams by their hash; exact copies tra
 a hot group does not meet in one task with all its rows. Contexts that differ do meet, at 168 bytes
 each; a gram with more than 2,000 of them (a common line, say) is split by twice as many bytes, those
 that its strings hold on the side where they reach further, so only contexts that share those meet.
-Where more than 2,000 share those too, each of their strings is a row of its own, a hash and a place: the
-first place of each hash is a minimum that Spark aggregates in every task, and the others give spans.
+Where more than 2,000 share those too, their strings are told apart by hash. A task sends a string once, with
+its first place, and joins the later places to spans at once; first places of one string meet in one bucket,
+as many as tasks hold it, and no join multiplies them.
 Equality of contexts and strings is decided by 64-bit hashes within a gram and by bytes in step 4.
 """
 
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import (
     Scatter, bucket_count, gathered, group_starts, mix, narrowed, prefix_sums, ragged, range_hash, slices, utf8,
 )
+from ledgerloom.llm.keys import distinct_ids
 from ledgerloom.sources.workspace import Workspace
 
 GRAM = 32
@@ -42,6 +44,7 @@ _PLACE_BITS = 21
 _SEGMENT = 1 << 20
 _ANCHOR = {"gram": np.uint32, "context": np.uint64, "doc": np.int64, "pos": np.int32, "left": np.int16, "size": np.int16}
 _MARK = {"doc": np.int64, "pos": np.int32, "size": np.int32, "left": np.int16, "asks": np.int64, "hot": np.int8}
+_STRING = {"key": np.uint64, "doc": np.int64, "pos": np.int32}
 _CONTEXT = {"asks": np.int64, "doc": np.int64, "pos": np.int32, "size": np.int16, "left": np.int16, "content": np.uint8}
 
 
@@ -381,9 +384,46 @@ def _contexts_of(large: np.ndarray, inside: bool):
     return run
 
 
-def _strings(length: int, large: np.ndarray):
-    """Hash and place of every string of the contexts of large groups."""
+def _merged(doc: np.ndarray, pos: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, start and size of the spans that strings of ``length`` bytes cover together."""
+    order = np.lexsort((pos, doc))
+    doc, pos = doc[order], pos[order].astype(np.int64)
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (pos[1:] - pos[:-1] > length)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(doc)) - 1
+    return doc[first], pos[first], pos[last] + length - pos[first]
+
+
+def _fold_strings(key, doc, pos, length: int, marks: Scatter):
+    """First place of each string, in order of its hash; spans of the later places go to ``marks``."""
+    order = np.lexsort((pos, doc, key))
+    key, doc, pos = key[order], doc[order], pos[order]
+    starts = group_starts(key)
+    later = _later(doc, pos, starts)
+    if later.any():
+        where, start, size = _merged(doc[later], pos[later], length)
+        none = np.zeros(len(where))
+        marks.add(_bucket_of(where), where, start, size, none, none - 1, none)
+    return key[starts], doc[starts], pos[starts]
+
+
+def _strings(length: int, large: np.ndarray, buckets: int):
+    """Hash and first place of the strings of large groups' contexts, once for each task and its first million strings
+    (and so on); spans of the later places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent, marks, held = Scatter(buckets, _STRING), Scatter(buckets, _MARK), []
+
+        def settle():
+            if not held:
+                return
+            key, *place = _fold_strings(*(np.concatenate(x) for x in zip(*held)), length, marks)
+            held.clear()
+            sent.add(key, key, *place)
+            for kind, scatter in ((0, sent), (1, marks)):
+                for out in scatter.flush():
+                    yield _tagged(kind, out)
+
         for _, whole in _picked(batches, large, True):
             *columns, content = whole
             edges = np.cumsum(columns[3], dtype=np.int64) - columns[3]
@@ -393,23 +433,25 @@ def _strings(length: int, large: np.ndarray):
                 low = int(begin[0])
                 at, owner = ragged(begin - low, number), np.repeat(np.arange(len(asks)), number)
                 key = mix(range_hash(prefix_sums(content[low:int(begin[-1]) + int(size[-1])]), at, at + length) + asks[owner].astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc[owner]), pa.array(pos[owner] + at - (begin - low)[owner])], ["key", "doc", "pos"])
+                held.append((key, doc[owner], pos[owner] + at - (begin - low)[owner]))
+                if sum(len(x[0]) for x in held) >= 1 << 20:
+                    yield from settle()
+        yield from settle()
     return run
 
 
-def _string_marks(length: int, buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = Scatter(buckets, _MARK)
-        for batch in batches:
-            doc, n = np.asarray(batch.column("doc")), batch.num_rows
-            marks.add(_bucket_of(doc), doc, np.asarray(batch.column("pos")), np.full(n, length), np.zeros(n), np.full(n, -1), np.zeros(n))
-            if marks.full:
-                yield from (_tagged(1, b) for b in marks.flush())
-        yield from (_tagged(1, b) for b in marks.flush())
+def _compare_strings(length: int, buckets: int):
+    """Spans of the later places of the strings of one bucket; those that tasks found already pass through."""
+    def run(table: pa.Table) -> pa.Table:
+        kinds = np.asarray(table["kind"])
+        out, marks = [table.filter(pa.array(kinds == 1))], Scatter(buckets, _MARK)
+        _fold_strings(*_unpacked(table.filter(pa.array(kinds == 0)), _STRING), length, marks)
+        out += [pa.Table.from_batches([_tagged(1, b)]) for b in marks.flush()]
+        return pa.concat_tables([t.cast(out[0].schema) for t in out])
     return run
 
 
-def _spans_of_contexts(contexts: DataFrame, space: Workspace, length: int, buckets: int, split: int) -> DataFrame:
+def _spans_of_contexts(contexts: DataFrame, length: int, buckets: int, split: int) -> DataFrame:
     """Step 4: marks of all repeats among the contexts of each group, groups above ``split`` string by string.
 
     The driver holds 8 bytes for each such group, so for every ``split`` contexts at most.
@@ -419,11 +461,8 @@ def _spans_of_contexts(contexts: DataFrame, space: Workspace, length: int, bucke
     if not len(large):
         return contexts.groupBy("bucket").applyInArrow(_suffix_arrays(length, buckets), _PACKED)
     others = contexts.mapInArrow(_contexts_of(large, False), Scatter.schema(_CONTEXT)).groupBy("bucket").applyInArrow(_suffix_arrays(length, buckets), _PACKED)
-    strings = space.write(contexts.mapInArrow(_strings(length, large), "key long, doc long, pos long"), "strings")
-    place = F.struct("doc", "pos")
-    first = strings.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
-    later = strings.join(first, "key").where(place != F.col("first")).select("doc", "pos").distinct()
-    return others.unionByName(later.mapInArrow(_string_marks(length, buckets), _PACKED))
+    strings = contexts.mapInArrow(_strings(length, large, buckets), _PACKED)
+    return others.unionByName(strings.groupBy("bucket").applyInArrow(_compare_strings(length, buckets), _PACKED))
 
 
 def kept_ranges(size: int, starts: np.ndarray, ends: np.ndarray) -> tuple[list[tuple[int, int]], int, int]:
@@ -455,7 +494,7 @@ def _cut_out(texts: bool):
         order, first, last = _by_doc(ids, doc)
         pos, end = pos[order], (pos + size)[order]
         raw, null = memoryview(data.tobytes()), docs["text"].is_null().to_pylist()
-        out = {"doc_id": ids, "n_bytes": np.diff(offsets), "n_removed": [], "n_spans": [], "kept_sha256": []}
+        out = {"doc_id": docs["own_id"], "n_bytes": np.diff(offsets), "n_removed": [], "n_spans": [], "kept_sha256": []}
         if texts:
             out["kept_text"] = []
         for i in range(len(ids)):
@@ -487,19 +526,20 @@ def remove_repeats(docs: DataFrame, space: Workspace, length: int = 100, texts:
     Grams with more than ``split`` different contexts are split, and their parts again if they have more; that changes no result.
 
     Null text counts as empty and stays null in ``kept_text``; texts shorter than ``length`` are kept whole; an empty
-    table gives an empty result. Rows must have distinct, non-null ``doc_id``: rows with a null one
-    are left out, and other columns are ignored.
+    table gives an empty result. Rows with a null ``doc_id`` are left out. Of rows that share a ``doc_id`` the
+    first by text counts under it, the others as documents after all others, in order of id and text; each has
+    its own row in the result. Other columns are ignored.
     """
     if length < GRAM + 2:
         raise ValueError(f"length must be {GRAM + 2} or more")
-    spark, docs = docs.sparkSession, narrowed(docs).where("doc_id IS NOT NULL")
+    spark, docs = docs.sparkSession, distinct_ids(narrowed(docs).where("doc_id IS NOT NULL"), space, own="own_id")
     buckets = bucket_count(spark)
-    sent = docs.mapInArrow(_find_anchors(length, buckets), _PACKED)
+    sent = docs.select("doc_id", "text").mapInArrow(_find_anchors(length, buckets), _PACKED)
     marks = space.write(sent.groupBy("bucket").applyInArrow(_compare_contexts(split, buckets), _PACKED).select("bucket", *(f"c{i}" for i in range(6))), "marks")
     marks = marks.select(F.lit(1).alias("kind"), "*")
-    dealt = docs.mapInArrow(_with_bucket(buckets), "doc_id long, text string, bucket int")
+    dealt = docs.mapInArrow(_with_bucket(buckets), "doc_id long, text string, own_id long, bucket int")
     contexts = space.write(dealt.groupBy("bucket").cogroup(marks.groupBy("bucket")).applyInArrow(_hand_out(length, buckets), Scatter.schema(_CONTEXT)), "contexts")
-    spans = marks.unionByName(_spans_of_contexts(contexts, space, length, buckets, split))
+    spans = marks.unionByName(_spans_of_contexts(contexts, length, buckets, split))
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * texts
     return dealt.groupBy("bucket").cogroup(spans.groupBy("bucket")).applyInArrow(_cut_out(texts), result)
 

@@ -234,6 +234,21 @@ def test_no_large_group_of_contexts_meets_in_one_task(spark, workspace, monkeypa
     assert {r.doc_id: tuple(r)[1:] for r in got} == repeats_brute(texts_of(df), 100)
 
 
+def test_repeats_of_rows_that_share_an_id(spark, workspace):
+    texts = [(7, PASSAGE), (7, "b " + PASSAGE), (3, PASSAGE[5:]), (7, PASSAGE), (2, None), (2, ""), (None, PASSAGE), (9, PASSAGE[:130])]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(df, workspace, split=1).collect()
+    # as if the later rows of an id stood after all others: rows by place, then what each id has
+    order = [(2, None), (3, PASSAGE[5:]), (7, "b " + PASSAGE), (9, PASSAGE[:130]), (2, ""), (7, PASSAGE), (7, PASSAGE)]
+    want = repeats_brute(dict(enumerate(t for _, t in order)), 100)
+    assert Counter(tuple(r) for r in got) == Counter((order[i][0], *row) for i, row in want.items())
+
+
+def test_strings_that_overlap_or_touch_join_to_one_span():
+    doc, pos = np.array([2, 1, 1, 1, 2]), np.array([0, 111, 0, 10, 101])
+    assert [x.tolist() for x in suffix_dedup._merged(doc, pos, 100)] == [[1, 1, 2, 2], [0, 111, 0, 101], [110, 100, 100, 100]]
+
+
 def test_interval_tree_has_all_occurrences():
     lcp = np.array([3, 5, 5, 0, 4])
     found = [(depth, first, last) for depth, first, last, _ in suffix_dedup.interval_tree(lcp, 3)]
