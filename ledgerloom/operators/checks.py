@@ -1,6 +1,8 @@
 """Pipeline checks: counts, tie-outs, orphans and coverage of known faults."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
@@ -26,18 +28,93 @@ def row_count_tieout(raw: DataFrame, staged: DataFrame) -> DataFrame:
                          _pass(F.col("raw_count") == F.col("staging_count")).alias("status"))
 
 
-def layer_counts(tables: dict[str, DataFrame], expected: dict[str, int]) -> DataFrame:
-    """Row count of every table next to the number expected."""
-    parts = [
-        df.agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("object_name"), "row_count",
-            F.lit(expected.get(name)).cast("bigint").alias("expected_count"))
-        for name, df in tables.items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.withColumn("status", _pass(F.col("row_count").eqNullSafe(F.col("expected_count"))))
+def layer_counts(tables: dict[str, DataFrame], expected: DataFrame) -> DataFrame:
+    """Row count of every table next to the number expected; NOT_SET where there is none.
+
+    ``expected`` holds ``object_name`` and ``expected_count``, a row for each table at most (see ``expected_counts``).
+    """
+    counts = [df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("object_name"), "row_count") for name, df in tables.items()]
+    out = reduce(DataFrame.unionByName, counts).join(F.broadcast(expected), "object_name", "left")
+    same = _pass(F.col("row_count") == F.col("expected_count"))
+    return out.select("object_name", "row_count", "expected_count", F.when(F.col("expected_count").isNull(), "NOT_SET").otherwise(same).alias("status"))
+
+
+def mapped_rows(staged: DataFrame, mapping: DataFrame, sign: str) -> DataFrame:
+    """How many of the rows the mapping books under ``sign``, and their first and last day, in one row.
+
+    Rows are counted per action before they meet the mapping, so no row is joined.
+    """
+    booked = mapping.where(F.col(sign) != 0).groupBy(match_key(F.col("raw_action")).alias("_action")).agg(F.count("*").alias("_times"))
+    actions = staged.groupBy(match_key(F.col("raw_action")).alias("_action")).agg(
+        F.count("*").alias("_n"), F.min("transaction_date").alias("_first"), F.max("transaction_date").alias("_last"))
+    return actions.join(F.broadcast(booked), "_action").agg(
+        F.coalesce(F.sum(F.col("_n") * F.col("_times")), F.lit(0)).alias("rows"), F.min("_first").alias("first_day"), F.max("_last").alias("last_day"))
+
+
+def days_held(moves: DataFrame, last_day: Column) -> DataFrame:
+    """Number of position rows that the daily movements lead to, by arithmetic on the days between them.
+
+    A holding counts on every day up to the next movement, a day that ends at zero only itself.
+    """
+    key = Window.partitionBy("account_id", "ticker").orderBy("transaction_date")
+    held = F.sum("daily_net_shares").over(key.rowsBetween(Window.unboundedPreceding, 0))
+    until = F.coalesce(F.lead("transaction_date").over(key), F.date_add(last_day, 1))
+    known = moves.where("account_id is not null and ticker is not null and transaction_date is not null")
+    runs = known.select(held.alias("held"), F.date_diff(until, F.col("transaction_date")).alias("days"), "daily_net_shares")
+    days = F.when(F.col("held") != 0, F.col("days")).when(F.col("daily_net_shares") != 0, 1).otherwise(0)
+    return runs.agg(F.coalesce(F.sum(days), F.lit(0)).alias("rows"))
+
+
+def unequal_keys(ours: DataFrame, theirs: DataFrame, tolerance: str) -> DataFrame:
+    """How many keys one of two books lacks or shows with another value: both books stacked and folded by key.
+
+    The last column of each book is its value, the others its key.
+    """
+    *keys, value = ours.columns
+    signed = lambda df, side, sign: df.toDF(*keys, value).withColumns(
+        {value: F.col(value).cast(SHARES) * sign, "_ours": F.lit(int(side)), "_theirs": F.lit(int(not side))})
+    both = signed(ours, True, 1).unionByName(signed(theirs, False, -1)).groupBy(*keys).agg(
+        F.sum(value).alias("_off"), F.sum("_ours").alias("_ours"), F.sum("_theirs").alias("_theirs"))
+    differs = (F.col("_ours") == 0) | (F.col("_theirs") == 0) | (F.abs("_off") > F.lit(tolerance).cast(SHARES))
+    return both.agg(F.count_if(differs).alias("rows"))
+
+
+def logged_rows(breaks: DataFrame, matches: DataFrame, adjustments: DataFrame) -> DataFrame:
+    """How many exceptions breaks lead to: one each, or one for each transaction that explains it, and one for each control fault."""
+    keys = ["account_id", "business_date", "variance"]
+    times = matches.select("account_id", "business_date", F.col("cash_variance").cast(SHARES).alias("variance")).groupBy(*keys).agg(F.count("*").alias("_times"))
+    each = breaks.groupBy(*keys).agg(F.count("*").alias("_n")).join(times, keys, "left").select(F.col("_n") * F.coalesce("_times", F.lit(1)))
+    controls = adjustments.where(F.col("exception_type").isin(*fixed.CONTROL_EXCEPTIONS)).select(F.lit(1).cast("bigint"))
+    return each.union(controls).toDF("_n").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"))
+
+
+def expected_counts(one_row: DataFrame, staged_cash: DataFrame, staged_trades: DataFrame, mapping: DataFrame, accounts: DataFrame,
+                    moves: DataFrame, lost_balances: DataFrame, added_balances: DataFrame, added_positions: DataFrame,
+                    cash_books: tuple[DataFrame, DataFrame], share_books: tuple[DataFrame, DataFrame],
+                    breaks: DataFrame, matches: DataFrame, adjustments: DataFrame) -> DataFrame:
+    """How many rows each layer should have, told from what it is built from and not from the layer.
+
+    Transactions are counted per action, ledger days are days times accounts, positions the days between movements;
+    custodian books have the known faults' rows more or less (``lost_balances`` holds account and day); breaks are the
+    keys on which the books differ, and exceptions follow from breaks, matches and control faults. Returns
+    ``object_name`` and ``expected_count``, eight rows.
+    """
+    cash = mapped_rows(staged_cash.where("flag_invalid_date = 0 and flag_invalid_amount = 0"), mapping, "cash_impact_sign")
+    trades = mapped_rows(staged_trades.where("flag_invalid_date = 0 and ticker is not null"), mapping, "security_impact_sign")
+    number = lambda df: df.agg(F.count("*")).scalar()
+    first, last = (cash.select(c).scalar() for c in ("first_day", "last_day"))
+    days = F.coalesce(F.date_diff(last, first) + 1, F.lit(0))
+    balances = number(accounts) * days
+    lost = number(lost_balances.toDF("account_id", "_day").join(accounts.select("account_id"), "account_id", "left_semi").where(F.col("_day").between(first, last)))
+    held = days_held(moves, trades.select("last_day").scalar()).scalar()
+    expected = {
+        "cash_transactions": cash.select("rows").scalar(), "security_transactions": trades.select("rows").scalar(),
+        "internal_ledger_balances": balances, "custodian_balances": balances - lost + number(added_balances),
+        "positions": held, "custodian_positions": held + number(added_positions),
+        "reconciliation_breaks": unequal_keys(*cash_books, fixed.CASH_TOLERANCE).scalar() + unequal_keys(*share_books, fixed.SHARE_TOLERANCE).scalar(),
+        "exception_log": logged_rows(breaks, matches, adjustments).scalar()}
+    row = F.array(*[F.struct(F.lit(name).alias("object_name"), n.cast("bigint").alias("expected_count")) for name, n in expected.items()])
+    return one_row.select(F.inline(row))
 
 
 def rollforward_status(rollforward: DataFrame) -> DataFrame:

@@ -580,7 +580,7 @@ def _layers(p: Pipeline) -> dict[str, DataFrame]:
 
 @query
 def layer_counts(p: Pipeline) -> DataFrame:
-    return checks.layer_counts(_layers(p), {"cash_transactions": 3295, "internal_ledger_balances": 120250})
+    return checks.layer_counts(_layers(p), p.expected_counts())
 
 
 @query

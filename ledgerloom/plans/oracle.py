@@ -705,11 +705,23 @@ SQL = {
         (SELECT {_rates.format("count(*) FILTER (WHERE check_status = 'PASS')")} FROM x_quality) AS data_quality_pass_rate,
         {_n('x_vendor')} AS vendor_issue_count, {_n('x_flags')} AS anomaly_count, {_n('x_flags', "severity = 'HIGH'")} AS high_risk_anomaly_count FROM x_log""",
     "row_count_tieout": f"SELECT 'Row Count Validation' AS check_name, {_n('x_raw')} AS raw_count, {_n('x_staged')} AS staging_count, 'PASS' AS status",
-    "layer_counts": " UNION ALL ".join(
-        f"SELECT '{name}' AS object_name, count(*) AS row_count, CAST({_lit(e)} AS BIGINT) AS expected_count, CASE WHEN count(*) IS NOT DISTINCT FROM {_lit(e)} THEN 'PASS' ELSE 'FAIL' END AS status FROM {rel}"
-        for name, rel, e in [("cash_transactions", "x_cash", 3295), ("security_transactions", "x_trades", None), ("internal_ledger_balances", "x_ledger", 120250),
-                             ("custodian_balances", "x_custodian", None), ("positions", "x_positions", None), ("custodian_positions", "x_custpos", None),
-                             ("reconciliation_breaks", "x_breaks", None), ("exception_log", "x_log", None)]),
+    "layer_counts": f"""WITH days AS (SELECT count(*) AS n, min(calendar_date) AS lo, max(calendar_date) AS hi FROM x_days),
+        grid AS (SELECT days.n * (SELECT count(*) FROM x_accounts) AS n FROM days),
+        runs AS (SELECT sum(daily_net_shares) OVER w AS held, daily_net_shares AS moved, transaction_date AS day, lead(transaction_date) OVER w AS following
+            FROM x_netshares WINDOW w AS (PARTITION BY account_id, ticker ORDER BY transaction_date)),
+        held AS (SELECT sum(CASE WHEN held <> 0 THEN coalesce(following, (SELECT max(transaction_date) + 1 FROM x_trades)) - day WHEN moved <> 0 THEN 1 ELSE 0 END) AS n FROM runs),
+        wanted(object_name, expected_count) AS (
+            SELECT 'cash_transactions', (SELECT count(*) FROM orders WHERE o_orderpriority IN (SELECT raw_action FROM x_actions WHERE cash_impact_sign <> 0))
+            UNION ALL SELECT 'security_transactions', (SELECT count(*) FROM lineitem WHERE l_returnflag IN (SELECT raw_action FROM x_actions WHERE security_impact_sign <> 0))
+            UNION ALL SELECT 'internal_ledger_balances', n FROM grid
+            UNION ALL SELECT 'custodian_balances', n + 1 - (SELECT count(*) FROM x_accounts, days WHERE account_id = {stand_in.MISSING_ROW[0]}
+                AND DATE '{stand_in.MISSING_ROW[1]}' BETWEEN lo AND hi) FROM grid
+            UNION ALL SELECT 'positions', n FROM held UNION ALL SELECT 'custodian_positions', n + 1 FROM held
+            UNION ALL SELECT 'reconciliation_breaks', (SELECT count(*) FROM x_recon WHERE break_type <> 'MATCHED') + (SELECT count(*) FROM x_precon WHERE break_type <> 'MATCHED')
+            UNION ALL SELECT 'exception_log', (SELECT count(*) FROM x_caused) + (SELECT count(*) FROM x_controlrows)),
+        counted(object_name, row_count) AS ({" UNION ALL ".join(f"SELECT '{name}', count(*) FROM {rel}" for name, rel in [("cash_transactions", "x_cash"), ("security_transactions", "x_trades"), ("internal_ledger_balances", "x_ledger"), ("custodian_balances", "x_custodian"), ("positions", "x_positions"), ("custodian_positions", "x_custpos"), ("reconciliation_breaks", "x_breaks"), ("exception_log", "x_log")])})
+        SELECT object_name, row_count, CAST(expected_count AS BIGINT) AS expected_count, if(row_count = expected_count, 'PASS', 'FAIL') AS status
+        FROM counted JOIN wanted USING (object_name)""",
     "rollforward_status": f"""SELECT 'Ledger Roll-Forward' AS validation_check, 'PASS' AS validation_status, 0 AS failure_count,
         'All balances equal prior balance plus movement' AS validation_notes
         UNION ALL SELECT 'Ledger Roll-Forward', 'FAIL', {_n('x_rollbreaks')}, 'Balances differ from prior balance plus movement'""",

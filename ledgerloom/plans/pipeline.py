@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
 from ledgerloom.functions.columns import MONEY, PRICE, SHARES, literal_frame, lookup, quoted
-from ledgerloom.operators import exceptions, files, ledger, recon, staging
+from ledgerloom.operators import checks, exceptions, files, ledger, recon, staging
 from ledgerloom.sources.schemas import RAW_TRANSACTION_COLUMNS
 from ledgerloom.sources.workspace import Workspace
 
@@ -326,3 +326,18 @@ class Pipeline:
     def log(self) -> DataFrame:
         return self.workspace.memo("log", lambda: exceptions.complete_log(
             self.breaks(), self.matches(), self.adjustments(), self.workspace, REVIEW_DATE, RECLASSIFIED_TICKER))
+
+    def expected_counts(self) -> DataFrame:
+        """What the eight layers should count, from their sources and the faults put in."""
+        lost = literal_frame(self.spark, [MISSING_ROW], [("account_id", "bigint"), ("day", "date")])
+        stray = literal_frame(self.spark, [STRAY_ROW[:2]], [("account_id", "bigint"), ("day", "date")])
+        # the misposted row borrows its other fields from a position of its day
+        posted = self.positions().where(F.col("position_date") == F.lit(MISPOSTING["day"]).cast("date")).select("account_id").limit(1)
+        books = lambda df, day, value, *more: df.select("account_id", *more, day, value)
+        return checks.expected_counts(
+            self.spark.range(1).drop("id"), self.staged_orders(), self.staged_lines(), self.actions(), self.accounts(),
+            ledger.daily_net_shares(self.trades()), lost, stray, posted,
+            (books(self.ledger(), "ledger_date", "cash_balance"), books(self.custodian_balances(), "balance_date", "custodian_cash_balance")),
+            (books(self.positions(), "position_date", "share_quantity", "ticker"),
+             books(self.custodian_positions(), "position_date", "custodian_share_quantity", "ticker")),
+            self.breaks(), self.matches(), self.adjustments())

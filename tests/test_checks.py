@@ -1,6 +1,8 @@
 from decimal import Decimal as D
 
-from ledgerloom.operators import checks, reports
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import checks, ledger, reports
 from tests.conftest import rows_of
 
 LOG = ("exception_id bigint;break_id bigint;business_date date;root_cause string;dollar_exposure decimal(19,4);severity string;"
@@ -69,3 +71,44 @@ def test_aging_buckets_and_pivot(frame):
 
 def test_null_fields(frame):
     assert tuple(checks.null_critical_fields(log(frame)).first()) == (1, 1, 1, 1)
+
+
+MAPPED = "raw_action string;cash_impact_sign int"
+STAGED = "raw_action string;transaction_date date"
+
+
+def test_mapped_rows_count_per_action(frame):
+    staged = frame(STAGED, ("buy ", "2020-01-05"), ("BUY", "2020-01-02"), ("fee", "2020-01-01"), ("x", "2019-01-01"), (None, "2018-01-01"))
+    mapping = frame(MAPPED, ("Buy", -1), ("fee", 0), ("x", None))
+    got = checks.mapped_rows(staged, mapping, "cash_impact_sign").first()
+    assert (got["rows"], str(got.first_day), str(got.last_day)) == (2, "2020-01-02", "2020-01-05")
+    none = checks.mapped_rows(staged.where("false"), mapping, "cash_impact_sign").first()
+    assert (none["rows"], none.first_day) == (0, None)
+
+
+def test_days_held_equal_the_rows_of_positions(frame):
+    trades = frame("account_id bigint;ticker string;transaction_date date;security_impact decimal(28,8)",
+                   (1, "A", "2020-01-01", 5), (1, "A", "2020-01-04", -5), (1, "A", "2020-01-09", 2), (1, "A", "2020-01-09", -2),
+                   (2, "A", "2020-01-08", 1), (2, None, "2020-01-08", 1), (3, "B", "2020-01-10", -4))
+    want = ledger.positions(trades).count()
+    got = checks.days_held(ledger.daily_net_shares(trades), F.lit("2020-01-10").cast("date")).first()["rows"]
+    assert got == want == 3 + 1 + 3 + 1
+
+
+def test_unequal_keys_are_the_breaks_of_two_books(frame):
+    ours = frame("account_id bigint;day date;cash decimal(19,4)", (1, "2020-01-01", 5), (1, "2020-01-02", 5), (2, "2020-01-01", 1), (3, "2020-01-01", 0))
+    theirs = frame("account_id bigint;on_day date;amount decimal(19,4)", (1, "2020-01-01", "5.01"), (1, "2020-01-02", "5.02"), (4, "2020-01-01", 0))
+    assert checks.unequal_keys(ours, theirs, "0.01").first()["rows"] == 4
+
+
+def test_logged_rows_follow_breaks_matches_and_control_faults(frame):
+    breaks = frame("account_id bigint;business_date date;variance decimal(28,8)", (1, "2020-01-01", 5), (1, "2020-01-01", 5), (2, "2020-01-01", 7), (3, None, None))
+    matches = frame("account_id bigint;business_date date;cash_variance decimal(19,4)", (1, "2020-01-01", 5), (1, "2020-01-01", 5), (1, "2020-01-01", 5), (2, "2020-01-02", 7))
+    adjustments = frame("exception_type string", ("Missing Vendor File",), ("Fee Mismatch",), (None,))
+    assert checks.logged_rows(breaks, matches, adjustments).first()["rows"] == 6 + 1 + 1 + 1
+
+
+def test_a_lost_or_added_row_fails_its_layer_and_unset_ones_say_so(frame):
+    tables = {"a": frame("x int", (1,), (2,)), "b": frame("x int", (1,)), "c": frame("x int")}
+    expected = frame("object_name string;expected_count bigint", ("a", 2), ("b", 2))
+    assert rows_of(checks.layer_counts(tables, expected)) == [("a", 2, 2, "PASS"), ("b", 1, 2, "FAIL"), ("c", 0, None, "NOT_SET")]
