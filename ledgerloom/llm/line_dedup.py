@@ -211,14 +211,16 @@ def _still_apart(members: DataFrame, near: DataFrame, texts: DataFrame, space: W
     """Pairs of members of one band in different components that may be similar by the bound.
 
     A band of many such members is cut into a grid of cells of at most about ``CELL`` by ``CELL``, so no task
-    compares a whole band with itself.
+    compares a whole band with itself. Lines carry their bands (at most as many as a line has), and a pair leaves the join
+    under the least band that both hold, so just once.
     """
     members = members.join(near.withColumnRenamed("node", "line"), "line", "left").select("name", "line", F.coalesce("root", "line").alias("root"))
     bands = members.groupBy("name").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n")).where("least < most") \
         .select("name", F.ceil(F.col("n") / CELL).cast("int").alias("cells"))
     apart = space.write(members.join(bands, "name"), "apart")
-    bounds = texts.join(apart.select("line").distinct(), "line", "left_semi").mapInArrow(_bounds(size), f"line long, n_shingles long, {' long, '.join(_PARITY)} long")
-    apart = space.write(apart.join(bounds, "line").withColumn("own", F.pmod(F.xxhash64("line"), F.col("cells")).cast("int")), "apart")
+    names = apart.groupBy("line").agg(F.collect_list("name").alias("names"))
+    bounds = texts.join(names.select("line"), "line", "left_semi").mapInArrow(_bounds(size), f"line long, n_shingles long, {' long, '.join(_PARITY)} long")
+    apart = space.write(apart.join(names, "line").join(bounds, "line").withColumn("own", F.pmod(F.xxhash64("line"), F.col("cells")).cast("int")), "apart")
     every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
     x = apart.withColumn("row", F.col("own")).withColumn("column", every).alias("x")
     y = apart.withColumn("column", F.col("own")).withColumn("row", every).alias("y")
@@ -226,8 +228,9 @@ def _still_apart(members: DataFrame, near: DataFrame, texts: DataFrame, space: W
     differing = F.greatest(differing, F.abs(F.col("x.n_shingles") - F.col("y.n_shingles")))
     possible = (100 + percent) * differing <= (100 - percent) * (F.col("x.n_shingles") + F.col("y.n_shingles"))
     same_cell = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("name", "row", "column")]
-    return x.join(y, [*same_cell, F.col("x.root") < F.col("y.root"), possible]) \
-        .select(F.least("x.line", "y.line").alias("a"), F.greatest("x.line", "y.line").alias("b")).distinct()
+    here = F.array_min(F.array_intersect("x.names", "y.names")) == F.col("x.name")
+    return x.join(y, [*same_cell, F.col("x.root") < F.col("y.root"), possible, here]) \
+        .select(F.least("x.line", "y.line").alias("a"), F.greatest("x.line", "y.line").alias("b"))
 
 
 def drop_near_lines(docs: DataFrame, space: Workspace, size: int = 8, percent: int = 80, rows: int = 6, bands: int = 20) -> DataFrame:

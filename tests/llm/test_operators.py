@@ -234,6 +234,16 @@ def test_no_large_group_of_contexts_meets_in_one_task(spark, workspace, monkeypa
     assert {r.doc_id: tuple(r)[1:] for r in got} == repeats_brute(texts_of(df), 100)
 
 
+def test_members_still_apart_meet_once_whatever_bands_they_share(spark, workspace):
+    lines = {1: "the cat sat on the mat by the door", 2: "the cat sat on the mat by the doors", 3: "an entirely different line of text", 4: "the cat sat on the mat by the floor"}
+    texts = workspace.write(spark.createDataFrame(list(lines.items()), "line long, text string"), "texts")
+    bands = {10: [1, 2, 3], 11: [1, 2, 4], 12: [2, 1, 4, 3], 13: [3]}
+    members = workspace.write(spark.createDataFrame([(n, m) for n, held in bands.items() for m in held], "name long, line long"), "members")
+    near = spark.createDataFrame([(4, 1)], "node long, root long")
+    got = [tuple(r) for r in line_dedup._still_apart(members, near, texts, workspace, 8, 80).collect()]
+    assert len(got) == len(set(got)) and (1, 2) in got and (1, 4) not in got and set(got) <= {(1, 2), (2, 4), (1, 3), (2, 3), (3, 4)}
+
+
 def test_repeats_of_rows_that_share_an_id(spark, workspace):
     texts = [(7, PASSAGE), (7, "b " + PASSAGE), (3, PASSAGE[5:]), (7, PASSAGE), (2, None), (2, ""), (None, PASSAGE), (9, PASSAGE[:130])]
     df = spark.createDataFrame(texts, "doc_id long, text string")
