@@ -47,7 +47,7 @@ def mapped_rows(staged: DataFrame, mapping: DataFrame, sign: str) -> DataFrame:
     booked = mapping.where(F.col(sign) != 0).groupBy(match_key(F.col("raw_action")).alias("_action")).agg(F.count("*").alias("_times"))
     actions = staged.groupBy(match_key(F.col("raw_action")).alias("_action")).agg(
         F.count("*").alias("_n"), F.min("transaction_date").alias("_first"), F.max("transaction_date").alias("_last"))
-    return actions.join(F.broadcast(booked), "_action").agg(
+    return actions.join(booked, "_action").agg(
         F.coalesce(F.sum(F.col("_n") * F.col("_times")), F.lit(0)).alias("rows"), F.min("_first").alias("first_day"), F.max("_last").alias("last_day"))
 
 
