@@ -6,14 +6,15 @@ looks back. So does a single line break between two such characters, on both of
 boundaries a text may be cut without changing its tokens.
 
 Documents over ``huge`` bytes are encoded in overlapping chunks with offsets. Two neighbours are
-spliced at a stable boundary in their overlap where both have a token start; if there is none, the
-overlap is doubled and the chunk encoded again, up to the whole rest of the text. Other documents are cut at all
+spliced at a stable boundary in their overlap where both have a token start. Overlaps reach back to two
+such boundaries, and are doubled where the tokens do not meet there. Other documents are cut at all
 their stable boundaries and each distinct unit is encoded once; those with other white space are
 encoded whole.
 """
 
 import functools
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,44 +52,53 @@ def _unit_sizes(path: str) -> UnitTable:
     return UnitTable(sizes)
 
 
-def stable(text: str, at: int) -> bool:
-    """Whether cutting the text before ``at`` leaves all tokens as they are."""
-    if not 0 < at < len(text) - 1:
-        return False
-    return text[at] == " " and not text[at - 1].isspace() and not text[at + 1].isspace()
+# A space whose neighbours are no white space: cutting the text before it leaves all tokens as they are.
+_STABLE = re.compile(r"(?<=\S) (?=\S)")
 
 
 def chunked_count(encode, text: str, chunk: int = 1 << 14, overlap: int = 256) -> int:
-    """Tokens of a text, from overlapping chunks of ``chunk`` characters.
+    """Tokens of a text, from overlapping chunks of ``chunk`` characters or more.
 
     ``encode`` gives the offsets of a text's tokens. Tokens that start before the splice count from
     the left chunk, the others from the right one. The end of a chunk may cut a piece in two, which
     only touches tokens after its last stable boundary, so a splice lies at least one stable
     boundary before the end.
+
+    Where a chunk ends, and how far the next one reaches back, follows from the stable boundaries, which are known before
+    anything is encoded: each chunk brings two new ones, or the rest of the text. So a character lies
+    in two chunks at most, however far apart the boundaries are. Should the tokens of two chunks not meet at them, the
+    overlap doubles, and once it is the whole left chunk, that chunk doubles.
     """
-    total, start, whole = 0, 0, len(text)
-    end = min(whole, chunk)
-    left = [a for a, _ in encode(text[:end])]
-    width = overlap
+    whole = len(text)
+    marks = np.fromiter((m.start() for m in _STABLE.finditer(text)), np.int64)
+
+    def reach(after: int, least: int) -> int:
+        """The least end of a chunk, ``least`` or more, with two boundaries behind ``after`` well inside it."""
+        second = np.searchsorted(marks, after, "right") + 1
+        return whole if second >= len(marks) else min(whole, max(least, int(marks[second]) + 2))
+
+    def token_starts(begin: int, end: int) -> np.ndarray:
+        return begin + np.array([a for a, _ in encode(text[begin:end])], np.int64)
+
+    total, start, width = 0, 0, overlap
+    end = reach(0, chunk)
+    left = token_starts(0, end)
     while end < whole:
-        begin = max(start, end - width)
-        after = min(whole, end + chunk)
-        right = [begin + a for a, _ in encode(text[begin:after])]
-        common = set(start + a for a in left) & set(right)
-        places = sorted(p for p in common if begin < p < end - 1 and stable(text, p))
-        if len(places) < 2:
-            if begin > start:
-                width *= 2
-                continue
-            # the whole left chunk holds no stable boundary: take in more text on its right
-            end = after
-            left = [a for a, _ in encode(text[start:end])]
-            width = overlap
-            continue
-        splice = places[len(places) // 2 - (len(places) % 2 == 0)]
-        total += sum(1 for a in left if start + a < splice)
-        left = [p - begin for p in right if p >= splice]
-        start, end, width = begin, after, overlap
+        inside = int(np.searchsorted(marks, end - 1))
+        begin = max(start, min(end - width, int(marks[inside - 2]) - 1))
+        after = reach(end, end + chunk)
+        right = token_starts(begin, after)
+        places = marks[np.searchsorted(marks, begin, "right"):inside]
+        places = places[np.isin(places, left) & np.isin(places, right)]
+        if len(places) >= 2:
+            splice = places[(len(places) - 1) // 2]
+            total += int(np.count_nonzero(left < splice))
+            left, start, end, width = right[right >= splice], begin, after, overlap
+        elif begin > start:
+            width *= 2
+        else:
+            end = reach(end, 2 * end - start)
+            left, width = token_starts(start, end), overlap
     return total + len(left)
 
 
