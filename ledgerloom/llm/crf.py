@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.columns import literal_frame
 from ledgerloom.llm.common import narrowed, slices, utf8
 from ledgerloom.llm.lines import WIDTH, line_tables
 
@@ -134,11 +135,22 @@ class Sample:
     share: float
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int, held_out: int | None, parts: int = 5) -> Sample:
-    """At most ``per_class`` documents of each label, those of least hash of their id.
+def within(sizes: list[int], budget: int) -> list[bool]:
+    """Which of the sizes, in order, fit into the budget; one that no longer fits is passed over."""
+    kept, used = [], 0
+    for size in sizes:
+        kept.append(used + size <= budget)
+        used += size * kept[-1]
+    return kept
 
-    Rows of the part ``held_out`` are left out, before anything is learned. The ids are broadcast:
-    there are at most ``2 * per_class`` of them. Null labels and ids count as unlabelled.
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int, held_out: int | None, parts: int = 5,
+                    lines: int = 250_000) -> Sample:
+    """At most ``per_class`` documents of each label, those of least hash of their id, and at most ``lines`` lines of each.
+
+    Documents are taken whole, in the order of the hash; one that would exceed the lines left is passed
+    over. Rows of the part ``held_out`` are left out, before anything is learned. The ids are broadcast:
+    there are at most ``2 * per_class`` of them. Null labels and ids count as unlabelled; rows that share an id are taken together.
     """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label")) \
         .where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -146,7 +158,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
         marked = marked.where(fold("doc_id", parts) != held_out)
     counts = {r.label: r["count"] for r in marked.groupBy("label").count().collect()}
     chosen = [marked.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for v in (0, 1)]
-    joined = narrowed(docs).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").select("label", "text")
+    found = narrowed(docs).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    breaks = F.octet_length("text") - F.octet_length(F.translate("text", "\n", "")) + 1
+    sized = found.groupBy("label", "doc_id").agg(F.sum(F.coalesce(breaks, F.lit(1))).alias("n")) \
+        .orderBy("label", F.xxhash64("doc_id"), "doc_id").collect()
+    kept = []
+    for v in (0, 1):
+        own = [r for r in sized if r.label == v]
+        kept += [(r.doc_id, v) for r, fits in zip(own, within([r.n for r in own], lines)) if fits]
+    taken = literal_frame(docs.sparkSession, kept, [("doc_id", "bigint"), ("label", "int")])
+    joined = narrowed(docs).join(F.broadcast(taken), "doc_id").select("label", "text")
     rows = joined.mapInArrow(_featured, "label int, features binary, sizes binary").collect()
     blocks = [np.frombuffer(r.features, np.float32).reshape(-1, WIDTH) for r in rows]
     first = np.concatenate(([0], np.cumsum([len(b) for b in blocks]))).astype(np.int64)

@@ -52,11 +52,12 @@ def _score(chain: Chain | None, slope: float, offset: float, threshold: float):
     return run
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 2000, threshold: float = 0.3, held_out: int = 0, parts: int = 5) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 2000, threshold: float = 0.3, held_out: int = 0, parts: int = 5,
+                   lines: int = 250_000) -> DataFrame:
     """Score every text for quality, from 0 to 1, higher for label 1.
 
-    The chain learns from at most ``per_class`` documents of each label (a bounded sample of
-    labelled rows), none of them in part ``held_out`` of the crc32 fold; each document's label is
+    The chain learns from at most ``per_class`` documents and ``lines`` lines of each label (a bounded sample of
+    labelled rows, documents whole), none of them in part ``held_out`` of the crc32 fold; each document's label is
     given to all its lines. A score is the length-weighted mean of the lines' marginals, calibrated
     on the same sample. Only the text is an input of it.
 
@@ -64,7 +65,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 2000, th
     false; repeated rows each give a row; other columns are ignored; an empty table gives an empty
     result. Without both labels in the sample every score is the share of label 1.
     """
-    sample: Sample = labelled_sample(docs, labels, "quality", per_class, held_out, parts)
+    sample: Sample = labelled_sample(docs, labels, "quality", per_class, held_out, parts, lines)
     chain = fit(sample)
     slope, offset = 1.0, sample.share
     if chain is not None:

@@ -29,17 +29,18 @@ def _judge(chain: Chain | None, least_words: int, most_repeated: int, least_cont
     return run
 
 
-def judged(docs: DataFrame, labels: DataFrame, per_class: int = 2000, least_words: int = 20, most_repeated: int = 30, least_content: float = 0.5) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, per_class: int = 2000, least_words: int = 20, most_repeated: int = 30, least_content: float = 0.5,
+           lines: int = 250_000) -> DataFrame:
     """Counts of each text and whether it is kept.
 
     A text fails the base rules with fewer than ``least_words`` words or more than ``most_repeated``
     percent of them in 8-word windows found twice or more. Of the others, those are kept whose lines
     of content, by Viterbi decoding, hold ``least_content`` or more of the bytes. The chain learns
-    from at most ``per_class`` documents of each quality label (a bounded sample), each label given
-    to all the document's lines: boilerplate for 0, content for 1; without both labels all lines are content.
+    from at most ``per_class`` documents and ``lines`` lines of each quality label (a bounded sample, documents
+    whole), each label given to all the document's lines: boilerplate for 0, content for 1; without both labels all lines are content.
 
     Null text counts as empty: no words, so the base rules fail. Every row gives one row, whatever
     its ``doc_id``; other columns are ignored; an empty table gives an empty result.
     """
-    chain = fit(labelled_sample(docs, labels, "quality", per_class, None))
+    chain = fit(labelled_sample(docs, labels, "quality", per_class, None, lines=lines))
     return narrowed(docs).mapInArrow(_judge(chain, least_words, most_repeated, least_content), RESULT)
