@@ -108,17 +108,36 @@ def adjustment_segments(adjustments: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _month(day: Column) -> Column:
+    return F.trunc(day, "MM")
+
+
+def monthly_segments(segments: DataFrame, last_day: Column) -> DataFrame:
+    """Segments cut at month borders, each piece with its ``month``; open ones run to the month of ``last_day``.
+
+    A key has one open segment at most, and segments do not overlap, so there are no more pieces than
+    segments plus months a key, and no more than a month has days in one key and month.
+    """
+    start = F.col("starts")
+    last = F.greatest(start, F.coalesce(F.date_sub("ends_before", 1), last_day))
+    months = F.sequence(_month(start), _month(last), F.expr("interval 1 month"))
+    return segments.select("*", F.explode(months).alias("month"))
+
+
 def apply_adjustments(records: DataFrame, adjustments: DataFrame, keys: list[str], date_column: str,
                       value_column: str) -> DataFrame:
     """Records with the deltas in force added, tagged with the adjustment id and a flag.
 
     Small segment tables are broadcast after a count, so the records are not shuffled; larger ones
-    meet them in a shuffle join.
+    meet them in a shuffle join. Either way both sides meet on key and month, with no more than a month's days to
+    look through for a record, and the months of a hot account lie in different partitions.
     """
-    segments = adjustment_segments(adjustments, keys).withColumnsRenamed({k: f"_{k}" for k in keys})
-    segments = small_side(segments.where("segment_id is not null"))
     day = F.col(date_column)
-    hit: Column = (day >= F.col("starts")) & (F.col("ends_before").isNull() | (day < F.col("ends_before")))
+    last_day = records.agg(F.max(day).cast("date").alias("last")).scalar()
+    segments = adjustment_segments(adjustments, keys).where("segment_id is not null")
+    pieces = small_side(monthly_segments(segments, last_day).withColumnsRenamed({k: f"_{k}" for k in keys}))
+    hit: Column = (F.col("month") == _month(day)) & (day >= F.col("starts")) & (
+        F.col("ends_before").isNull() | (day < F.col("ends_before")))
     for k in keys:
         hit = hit & (F.col(k) == F.col(f"_{k}"))
     kind = records.schema[value_column].dataType
@@ -127,7 +146,7 @@ def apply_adjustments(records: DataFrame, adjustments: DataFrame, keys: list[str
     old_id = F.col("injection_id") if "injection_id" in records.columns else F.lit(None).cast("int")
     old_flag = F.col("simulation_flag") if "simulation_flag" in records.columns else F.lit("CLEAN")
     rest = [c for c in records.columns if c not in (value_column, "injection_id", "simulation_flag")]
-    return records.join(segments, hit, "left").select(
+    return records.join(pieces, hit, "left").select(
         *rest, value.alias(value_column),
         F.when(injected, F.lit("INJECTED")).otherwise(old_flag).alias("simulation_flag"),
         F.coalesce("segment_id", old_id).alias("injection_id"),

@@ -1,7 +1,10 @@
 import random
+from collections import defaultdict
 from datetime import date, timedelta
 from decimal import Decimal as D
 
+from pyspark.sql import functions as F
+
 from ledgerloom.operators import files
 from tests.conftest import rows_of
 
@@ -28,6 +31,46 @@ def test_overlays_equal_a_loop_and_never_multiply_rows(frame, monkeypatch):
         assert rows_of(got, *columns) == sorted(want, key=repr)
 
 
+def test_many_overlays_of_one_account_are_cut_at_months(spark, frame, monkeypatch):
+    """100,000 overlays on one account, and open ones, beyond the broadcast bound."""
+    monkeypatch.setattr(files, "small_side", lambda d: d)
+    n, days = 100_000, 1500
+    adjustments = spark.range(n).select(
+        F.col("id").cast("int").alias("injection_id"), F.when(F.col("id") < n - 20, 1).otherwise(F.col("id") - n + 22).cast("bigint").alias("account_id"),
+        F.date_add(F.lit("2019-11-20").cast("date"), (F.col("id") * 7919 % days).cast("int")).alias("effective_date"),
+        F.lit("0.5").cast("decimal(28,8)").alias("delta"), (F.col("id") % 1000 == 0).alias("carry_forward"))
+    records = spark.range(days + 400).select(
+        F.explode(F.array([F.lit(k).cast("bigint") for k in (1, 3, 50)])).alias("account_id"),
+        F.date_add(F.lit("2019-11-01").cast("date"), F.col("id").cast("int")).alias("balance_date"), F.lit(100).cast("decimal(19,4)").alias("value"))
+    got = files.apply_adjustments(records, adjustments, ["account_id"], "balance_date", "value")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan and "month" in plan
+    want = defaultdict(lambda: [D(0), None])
+    listed = adjustments.collect()
+    carried = [a for a in listed if a.carry_forward]
+    for a in listed:
+        if not a.carry_forward:
+            cell = want[a.account_id, a.effective_date]
+            cell[0], cell[1] = cell[0] + a.delta, a.injection_id if cell[1] is None else max(cell[1], a.injection_id)
+    rows = got.collect()
+    assert len(rows) == 3 * (days + 400)
+    for r in rows:
+        delta, last = want[r.account_id, r.balance_date] if (r.account_id, r.balance_date) in want else (D(0), None)
+        lasting = [a for a in carried if a.account_id == r.account_id and a.effective_date <= r.balance_date]
+        last = max([a.injection_id for a in lasting] + ([] if last is None else [last]), default=None)
+        assert (r.value, r.injection_id) == (100 + delta + sum(a.delta for a in lasting), last)
+    pieces = files.monthly_segments(files.adjustment_segments(adjustments, ["account_id"]), F.lit("2024-12-31").cast("date"))
+    assert pieces.groupBy("account_id", "month").count().agg(F.max("count")).first()[0] <= 32
+
+
+def test_overlays_meet_no_records_and_days_outside(frame):
+    none = frame("account_id bigint;balance_date date;value decimal(19,4)")
+    one = frame(ADJ, (1, 1, "2020-01-31", 5, True))
+    assert files.apply_adjustments(none, one, ["account_id"], "balance_date", "value").count() == 0
+    early = frame("account_id bigint;balance_date date;value decimal(19,4)", (1, "2019-12-31", 1), (1, None, 1), (None, "2020-02-01", 1))
+    assert rows_of(files.apply_adjustments(early, one, ["account_id"], "balance_date", "value"), "value", "injection_id") == [(D("1.0000"), None)] * 3
+
+
 def test_manifest_link_totals_and_tieout(frame):
     balances = frame("account_id bigint;ledger_date date;value decimal(19,4)",
                      (1, "2020-01-01", 5), (2, "2020-01-01", 6), (1, "2020-01-02", 7))
