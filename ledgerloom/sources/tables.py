@@ -13,8 +13,8 @@ from ledgerloom.sources.schemas import RAW_TRANSACTIONS
 from ledgerloom.sources.workspace import Workspace
 
 
-# Splits whose starts may be broadcast: 128 TB in splits of 128 MB.
-_MAX_SPLITS = 1_000_000
+# Splits whose starts may be broadcast: 128 TB in splits of 128 MB, and the bytes of as many rows of four numbers.
+_MAX_SPLITS, _MAX_SPLIT_BYTES = 1_000_000, 64 << 20
 
 
 def read_csv_numbered(
@@ -28,9 +28,11 @@ def read_csv_numbered(
 ) -> DataFrame:
     """CSV with a header as a table of text columns, plus a row number in file order.
 
-    Rows are not sorted. They are written once as Parquet, each with its file split and the order
+    Rows are not sorted. They are written once as Parquet, each with the task that read it, its file split and the order
     it was read in, so a later read that splits the files differently cannot change them. The
-    running row count over splits then gives the number at which a split begins.
+    running row count over splits then gives the number at which a split begins. A task reads its splits one
+    after the other, so a row finds its split by numbers alone: that of its task, which holds
+    a few splits, and the range of its place there. Names of files stay out of the join.
     """
     tagged = (
         spark.read.schema(schema).option("header", True).option("multiLine", multi_line).csv(path)
@@ -38,20 +40,33 @@ def read_csv_numbered(
             "*",
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
+            F.spark_partition_id().alias("_task"),
             F.monotonically_increasing_id().alias("_seen"),
         )
     )
     rows = workspace.write(tagged, "csv-rows")
-    splits = rows.groupBy("_file", "_block").agg(F.min("_seen").alias("_first"), F.count("*").alias("_n"))
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = workspace.write(splits.select(
-        "_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")), "csv-splits")
-    return rows.join(small_side(starts, _MAX_SPLITS), ["_file", "_block"]).select(
-        (F.col("_start") + F.col("_seen") - F.col("_first") + F.lit(start)).alias(id_column),
+    starts = workspace.write(split_starts(rows), "csv-splits")
+    own = (F.col("_task") == F.col("_reader")) & F.col("_seen").between(F.col("_first"), F.col("_last"))
+    return rows.join(small_side(starts, _MAX_SPLITS, _MAX_SPLIT_BYTES), own).select(
+        (F.col("_seen") + F.col("_shift") + F.lit(start)).alias(id_column),
         *[F.col(f"`{c}`") for c in schema.fieldNames()],
     )
 
 
+def split_starts(rows: DataFrame) -> DataFrame:
+    """For each file split the task that read it, its first and last place there, and the shift from places to numbers.
+
+    Splits are in the order of their files' paths and of their place in a file. Their rows are summed in two steps, files first, so no window
+    holds more than the splits of a file or one row per file.
+    """
+    splits = rows.groupBy("_file", "_block", "_task").agg(F.min("_seen").alias("_first"), F.max("_seen").alias("_last"), F.count("*").alias("_n"))
+    earlier = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    in_file = splits.withColumn("_in_file", earlier(Window.partitionBy("_file").orderBy("_block")))
+    files = splits.groupBy("_file").agg(F.sum("_n").alias("_n")).select("_file", earlier(Window.orderBy("_file")).alias("_before"))
+    return in_file.join(files, "_file").select(
+        F.col("_task").alias("_reader"), "_first", "_last", (F.col("_before") + F.col("_in_file") - F.col("_first")).alias("_shift"))
+
+
 def read_table(
     spark: SparkSession,
     path: str,

@@ -21,6 +21,22 @@ def test_csv_rows_are_numbered_in_file_order_across_splits(spark, workspace, tmp
     assert [r.Action for r in got] == [f"p{p}-{i}" for p in range(3) for i in range(5000)]
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_many_files_of_long_names_are_numbered_without_their_names(spark, workspace, tmp_path, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(tables, "small_side", lambda d, *bounds: d)
+    sizes = [(i * 37) % 50 for i in range(100)]  # among them files without a row
+    for i, n in enumerate(sizes):
+        (tmp_path / f"{'long-name-' * 15}{i:03}.csv").write_text("Action,Notes\n" + "".join(f"f{i}-{k},x\n" for k in range(n)))
+    schema = spark.createDataFrame([], "Action string, Notes string").schema
+    got = tables.read_csv_numbered(spark, str(tmp_path), workspace, schema, start=0)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_file" not in plan and "_block" not in plan
+    rows = got.orderBy("source_row_id").collect()
+    assert [r.source_row_id for r in rows] == list(range(sum(sizes)))
+    assert [r.Action for r in rows] == [f"f{i}-{k}" for i, n in enumerate(sizes) for k in range(n)]
+
+
 def test_missing_table_or_column_skips_the_checks(spark, tmp_path, capsys):
     path = str(tmp_path / "t")
     spark.range(3).write.parquet(path)
