@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from ledgerloom.functions import fixed_values as fixed
 from ledgerloom.functions.columns import match_key, quoted
 from ledgerloom.operators import (
-    anomaly, checks, exceptions, files, fingerprints, ids, ledger, months, quality, recon, reports, staging, vendor,
+    anomaly, checks, exceptions, files, fingerprints, ids, ledger, months, quality, recon, reports, staging, suites, vendor,
 )
 from ledgerloom.plans.pipeline import (
     EXCESS_CASH, LARGE_MOVEMENT, LATE_ALL, LATE_FROM, LEDGER_DAYS, MISPOSTING, MISSING_POSITION_FILE, RECLASSIFIED_TICKER, REVIEW_DATE, Z_SCORE, Pipeline,
@@ -780,16 +780,17 @@ def dq_critical_null(p: Pipeline) -> DataFrame:
     return _family(p, "critical_null")
 
 
+ABSENT_SPEC = quality.QualitySpec("absent.csv")
+
+
+def _checked(p: Pipeline) -> dict[str, DataFrame]:
+    return {"custodian_balances.csv": p.custodian_balances(), "reconciliation_breaks.csv": p.breaks(), "exception_log.csv": p.log(),
+            "vendor_files.csv": p.registry(), "raw_stock_transactions.csv": p.raw_with_copies()}
+
+
 def _quality(p: Pipeline) -> DataFrame:
-    specs = {s.name: s for s in quality.DEFAULT_SPECS}
-    return p.workspace.layer("quality", lambda: quality.dq_suite(p.spark, [
-        (specs["custodian_balances.csv"], p.custodian_balances()),
-        (specs["reconciliation_breaks.csv"], p.breaks()),
-        (specs["exception_log.csv"], p.log()),
-        (specs["vendor_files.csv"], p.registry()),
-        (specs["raw_stock_transactions.csv"], p.raw_with_copies()),
-        (quality.QualitySpec("absent.csv"), None),
-    ]))
+    return p.workspace.layer("quality", lambda: quality.dq_suite(
+        p.spark, [(s, _checked(p).get(s.name)) for s in [*quality.DEFAULT_SPECS, ABSENT_SPEC]]))
 
 
 @query
@@ -957,3 +958,43 @@ def anomaly_summary(p: Pipeline) -> DataFrame:
 @query
 def validation_summary(p: Pipeline) -> DataFrame:
     return anomaly.validation_summary(REVIEW_DATE, _anomalies(p), _vendor(p), _quality(p))
+
+
+# Suites from files
+
+def _from_files(p: Pipeline) -> dict[str, DataFrame]:
+    """Results of the suites on the stand-ins written as text; one file that is checked is not there."""
+    def build() -> dict[str, DataFrame]:
+        folder = p.workspace.path("suite-inputs")
+        given = {**_checked(p), "cash_transactions.csv": p.cash(), "internal_ledger.csv": p.ledger()}
+        for name, df in given.items():
+            tables.write_csv(df.select(*[quoted(c).cast("string").alias(c) for c in df.columns]), f"{folder}/{name}")
+        listed = [suites.anomaly_suite(EXCESS_CASH, LARGE_MOVEMENT, Z_SCORE), suites.vendor_suite(),
+                  suites.quality_suite([*quality.DEFAULT_SPECS, ABSENT_SPEC])]
+        return suites.run_suites(p.spark, folder, p.workspace.path("suite-results"), p.workspace, REVIEW_DATE, listed)
+    return p.workspace.memo("suites", build)
+
+
+@query
+def suite_flags(p: Pipeline) -> DataFrame:
+    return _from_files(p)["anomaly_flags"]
+
+
+@query
+def suite_flag_summary(p: Pipeline) -> DataFrame:
+    return _from_files(p)["anomaly_summary"]
+
+
+@query
+def suite_vendor_issues(p: Pipeline) -> DataFrame:
+    return _from_files(p)["vendor_validation_results"]
+
+
+@query
+def suite_quality(p: Pipeline) -> DataFrame:
+    return _from_files(p)["data_quality_results"]
+
+
+@query
+def suite_summary(p: Pipeline) -> DataFrame:
+    return _from_files(p)[suites.SUMMARY]

@@ -823,6 +823,9 @@ SQL = {
         count(*) FILTER (WHERE check_status = 'FAIL') || ' of ' || count(*) || ' checks failed; '
         || count(*) FILTER (WHERE check_status = 'FAIL' AND severity = 'HIGH') || ' HIGH severity failures' FROM x_quality""",
 }
+# The suites run from files must tell what the rules tell of the tables themselves.
+SQL |= {"suite_flags": SQL["anomaly_flags"], "suite_flag_summary": SQL["anomaly_summary"], "suite_vendor_issues": SQL["vendor_suite"],
+        "suite_quality": SQL["dq_suite"], "suite_summary": SQL["validation_summary"]}
 
 
 # Whole-number columns that small literals would leave narrower than the Spark side's.
@@ -838,7 +841,7 @@ LONG = {
     "table_differences": ["source_rows", "copy_rows"],
     **dict.fromkeys(["apply_adjustments", "apply_misposting", "cash_recon", "position_recon", "recon_breaks",
                      "injection_validation", "injection_to_break"], ["injection_id"]),
-    **dict.fromkeys([n for n in SQL if n.startswith("dq_") and n != "dq_pass_rate"], ["check_id"]),
+    **dict.fromkeys([n for n in SQL if n.startswith("dq_") and n != "dq_pass_rate"] + ["suite_quality"], ["check_id"]),
 }
 
 

@@ -105,9 +105,18 @@ def read_optional(spark: SparkSession, path: str, required: Iterable[str], **opt
     return read_table(spark, path, required, optional=True, **options)
 
 
+# Blanks stay, and quotes are doubled as other readers expect.
+_CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Header CSV without a row index; one file per task."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Header CSV without a row index; one file per task. Missing values are left empty."""
+    df.write.mode("overwrite").options(**_CSV).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What ``write_csv`` wrote, line breaks inside values included; empty text comes back as missing."""
+    return spark.read.schema(schema).options(**_CSV, multiLine=True).csv(path)
 
 
 MONTH = "year_month"
