@@ -47,9 +47,14 @@ def typed(df: DataFrame, types: T.StructType) -> DataFrame:
     return df.select(*[quoted(c).try_cast(known[c]).alias(c) if c in known else quoted(c) for c in df.columns])
 
 
-def load(spark: SparkSession, folder: str, source: Source) -> DataFrame | None:
+def load(spark: SparkSession, folder: str, source: Source, workspace: Workspace, texts: dict[str, DataFrame]) -> DataFrame | None:
+    """A source's file with its types, or none. Its text is parsed once and kept in ``texts``: each rule scans what was written."""
     df = tables.read_table(spark, f"{folder.rstrip('/')}/{source.file}", source.required, source.optional)
-    return None if df is None else typed(df, source.types)
+    if df is None:
+        return None
+    if source.file not in texts:
+        texts[source.file] = workspace.write(df, "suite-text") if df.columns else df
+    return typed(texts[source.file], source.types)
 
 
 _BALANCES = T.StructType().add("account_id", "long").add("balance_date", "date").add("custodian_cash_balance", MONEY)
@@ -107,10 +112,11 @@ def run_suites(spark: SparkSession, folder: str, out: str, workspace: Workspace,
     follows from it, the summary too, reads what was written.
     """
     done: dict[str, DataFrame] = {}
+    texts: dict[str, DataFrame] = {}
     for suite in suites if suites is not None else default_suites():
-        inputs = {s.file: load(spark, folder, s) for s in suite.sources}
+        inputs = {s.file: load(spark, folder, s, workspace, texts) for s in suite.sources}
         for name, df in suite.run(spark, inputs, workspace).items():
-            done[name] = _written(workspace.write(df, name), f"{out.rstrip('/')}/{name}.csv")
+            done[name] = _written(df, f"{out.rstrip('/')}/{name}.csv")
     if done:
         summary = anomaly.validation_summary(
             run_date, done.get("anomaly_flags"), done.get("vendor_validation_results"), done.get("data_quality_results"))

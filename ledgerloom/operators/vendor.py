@@ -14,6 +14,8 @@ from ledgerloom.sources.workspace import Workspace
 _OPS, _RECON = "Custodian Operations", "Reconciliation Team"
 _OUT = ["file_date", "file_type", "expected_status", "actual_status", "record_count", "issue_type", "severity",
         "owner", "review_action"]
+# What the rules read of a prepared registry.
+_READ = ["source_file_id", "file_name", "receipt_status", "validation_status", "expected_date", "file_type", "_expected", "_received", "_records"]
 
 
 def file_type(name: Column) -> Column:
@@ -174,9 +176,10 @@ def vendor_suite(registry: DataFrame, workspace: Workspace, lateness_hours: int
                  low: int = fixed.MIN_RECORD_COUNT, high: int = fixed.MAX_RECORD_COUNT) -> DataFrame:
     """All issues in rule order with consecutive ids; the schema stays when there are none.
 
-    Rules on single files share one scan; the two rules on groups of files aggregate first.
+    Rules on single files share one scan; the two rules on groups of files aggregate first. File types, dates and counts
+    are read once and written, so no rule reads them again.
     """
-    files = prepared(registry)
+    files = workspace.write(prepared(registry).select(*_READ), "vendor-files")
     single = _hits(files, _missing(), _late(lateness_hours), *_bounds(low, high), *_dates(), _failed())
     found = single.unionByName(duplicate_names(files)).unionByName(duplicate_type_dates(files))
     numbered = ordered_id(found, ["_rule", "_text", "_place"], "validation_id", workspace, start=1)

@@ -101,3 +101,16 @@ def test_typed_keeps_other_columns(frame):
     df = frame("a string;b string", ("1", "x"), ("no", "y"))
     got = suites.typed(df, T.StructType().add("a", "long").add("gone", "date"))
     assert rows_of(got) == [(1, "x"), (None, "y")] and got.columns == ["a", "b"]
+
+
+def test_a_file_is_parsed_once_for_all_suites_that_read_it(spark, workspace, folder):
+    seen = []
+
+    def keep(spark, inputs, workspace):
+        seen.append(inputs["custodian_balances.csv"])
+        return {}
+    source = suites.Source("custodian_balances.csv", ("account_id",))
+    suites.run_suites(spark, str(folder), str(folder / "out"), workspace, "2024-02-01", [suites.Suite(n, (source,), keep) for n in "ab"])
+    assert seen[0].inputFiles() == seen[1].inputFiles()
+    assert not any(f.endswith(".csv") for f in seen[0].inputFiles())
+    assert rows_of(seen[0], "account_id", "custodian_cash_balance") == [("7", "-500.00"), ("7", "900000.00"), ("x", "abc")]
