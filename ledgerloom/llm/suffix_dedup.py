@@ -22,6 +22,8 @@ that its strings hold on the side where they reach further, so only contexts tha
 Where more than 2,000 share those too, their strings are told apart by hash. A task sends a string once, with
 its first place, and joins the later places to spans at once; first places of one string meet in one bucket,
 as many as tasks hold it, and no join multiplies them.
+Marks leave tasks and groups undealt, in few rows; they are dealt to documents in two steps, so their rows grow with tasks
+times eighths of buckets at most and not with buckets times buckets.
 Equality of contexts and strings is decided by 64-bit hashes within a gram and by bytes in step 4.
 """
 
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import (
-    Scatter, bucket_count, gathered, group_starts, mix, narrowed, prefix_sums, ragged, range_hash, slices, utf8,
+    Scatter, any_bucket, bucket_count, gathered, group_starts, mix, narrowed, prefix_sums, ragged, range_hash, slices, utf8,
 )
 from ledgerloom.llm.keys import distinct_ids
 from ledgerloom.sources.workspace import Workspace
@@ -109,9 +111,56 @@ def _later(doc: np.ndarray, pos: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return (doc != doc[first]) | (pos != pos[first])
 
 
+class _Marks:
+    """Marks that a task or a group has made, handed out as few rows of packed columns, not dealt yet."""
+
+    def __init__(self):
+        self.parts: list[list[np.ndarray]] = []
+
+    def add(self, *arrays: np.ndarray) -> None:
+        if len(arrays[0]):
+            self.parts.append([np.asarray(a).astype(t, copy=False) for a, t in zip(arrays, _MARK.values())])
+
+    def flush(self, buckets: int) -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate(x) for x in zip(*self.parts)]
+        self.parts = []
+        for a in range(0, len(columns[0]) if columns else 0, 1 << 18):
+            piece = [c[a:a + (1 << 18)] for c in columns]
+            yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([any_bucket(piece[0], buckets)], pa.int32()),
+                                              *(pa.array([c.tobytes()], pa.binary()) for c in piece)], _NAMES)
+
+    def table(self, buckets: int) -> pa.Table:
+        empty = pa.RecordBatch.from_arrays([pa.nulls(0, pa.int32())] * 2 + [pa.nulls(0, pa.binary())] * 6, _NAMES)
+        return pa.Table.from_batches(list(self.flush(buckets)) or [empty])
+
+
+def _dealt(buckets: int, together: int):
+    """Packed marks dealt by document, ``together`` neighbouring buckets as one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = Scatter(-(-buckets // together), _MARK)
+        for batch in batches:
+            for cells in zip(*(batch.column(name).to_pylist() for name in _NAMES[2:])):
+                columns = [np.frombuffer(x, t) for x, t in zip(cells, _MARK.values())]
+                bucket = (_bucket_of(columns[0]) >> np.uint64(32)) % np.uint64(buckets)
+                sent.add(bucket // np.uint64(together) << np.uint64(32), *columns)
+                if sent.full:
+                    yield from (_tagged(1, b) for b in sent.flush())
+        yield from (_tagged(1, b) for b in sent.flush())
+    return run
+
+
+def _by_document(found: DataFrame, buckets: int) -> DataFrame:
+    """Marks of groups by the bucket of their document.
+
+    Dealt by each group, most of them would lie alone in a row, as there are as many buckets as groups. So each task
+    deals those of all its groups over runs of eight buckets, and the task that gets such a run deals it over its buckets.
+    """
+    return found.mapInArrow(_dealt(buckets, 8), _PACKED).repartition("bucket").mapInArrow(_dealt(buckets, 1), _PACKED)
+
+
 def _find_anchors(length: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent, marks, held = Scatter(buckets, _ANCHOR), Scatter(buckets, _MARK), []
+        sent, marks, held = Scatter(buckets, _ANCHOR), _Marks(), []
 
         def settle():
             if not held:
@@ -122,10 +171,9 @@ def _find_anchors(length: int, buckets: int):
             gram, context, doc, pos, left, size = (x[order] for x in (gram, context, doc, pos, left, size))
             sent.add(gram[starts], (gram[starts] & np.uint64(0xFFFFFFFF)), *(x[starts] for x in (context, doc, pos, left, size)))
             later = _later(doc, pos, starts)
-            marks.add(_bucket_of(doc[later]), doc[later], (pos - left)[later], size[later], left[later], np.full(int(later.sum()), -1), np.zeros(int(later.sum())))
-            for kind, scatter, columns in ((0, sent, _ANCHOR), (1, marks, _MARK)):
-                for out in scatter.flush():
-                    yield _tagged(kind, out)
+            marks.add(doc[later], (pos - left)[later], size[later], left[later], np.full(int(later.sum()), -1), np.zeros(int(later.sum())))
+            yield from (_tagged(0, out) for out in sent.flush())
+            yield from marks.flush(buckets)
 
         for batch in batches:
             for piece in slices(batch, "text"):
@@ -142,14 +190,14 @@ def _find_anchors(length: int, buckets: int):
     return run
 
 
-_PACKED = "kind int, bucket int, " + ", ".join(f"c{i} binary" for i in range(6))
+_NAMES = ["kind", "bucket", *(f"c{i}" for i in range(6))]
+_PACKED = "kind int, bucket int, " + ", ".join(f"{c} binary" for c in _NAMES[2:])
 
 
 def _tagged(kind: int, batch: pa.RecordBatch) -> pa.RecordBatch:
     columns = [batch.column(i) for i in range(1, batch.num_columns)]
     columns += [pa.nulls(batch.num_rows, pa.binary())] * (6 - len(columns))
-    return pa.RecordBatch.from_arrays([pa.array([kind] * batch.num_rows, pa.int32()), batch.column(0), *columns],
-                                      ["kind", "bucket", *(f"c{i}" for i in range(6))])
+    return pa.RecordBatch.from_arrays([pa.array([kind] * batch.num_rows, pa.int32()), batch.column(0), *columns], _NAMES)
 
 
 def _unpacked(table: pa.Table, columns: dict[str, type]) -> list[np.ndarray]:
@@ -159,8 +207,8 @@ def _unpacked(table: pa.Table, columns: dict[str, type]) -> list[np.ndarray]:
 def _compare_contexts(split: int, buckets: int):
     """Step 2, on the anchors of one bucket; marks that tasks made already pass through."""
     def run(table: pa.Table) -> pa.Table:
-        kinds = np.asarray(table["kind"])
-        out = [table.filter(pa.array(kinds == 1))]
+        kinds, marks = np.asarray(table["kind"]), _Marks()
+        marks.add(*_unpacked(table.filter(pa.array(kinds == 1)), _MARK))
         gram, context, doc, pos, left, size = _unpacked(table.filter(pa.array(kinds == 0)), _ANCHOR)
         if len(gram):
             bucket = table["bucket"][0].as_py()
@@ -172,11 +220,9 @@ def _compare_contexts(split: int, buckets: int):
             contexts = np.repeat(sizes, sizes)
             asked = starts[contexts > 1]
             asks = (np.int64(bucket) << np.int64(32)) | gram[asked].astype(np.int64)
-            marks = Scatter(buckets, _MARK)
-            marks.add(_bucket_of(doc[later]), doc[later], (pos - left)[later], size[later], left[later], np.full(int(later.sum()), -1), np.zeros(int(later.sum())))
-            marks.add(_bucket_of(doc[asked]), doc[asked], (pos - left)[asked], size[asked], left[asked], asks, (contexts > split)[contexts > 1])
-            out += [pa.Table.from_batches([_tagged(1, b)]) for b in marks.flush()]
-        return pa.concat_tables([t.cast(out[0].schema) for t in out])
+            marks.add(doc[later], (pos - left)[later], size[later], left[later], np.full(int(later.sum()), -1), np.zeros(int(later.sum())))
+            marks.add(doc[asked], (pos - left)[asked], size[asked], left[asked], asks, (contexts > split)[contexts > 1])
+        return marks.table(buckets)
     return run
 
 
@@ -328,7 +374,7 @@ def _suffix_arrays(length: int, buckets: int):
         size, left = size.astype(np.int64), left.astype(np.int64)
         starts = np.cumsum(size) - size
         order = np.argsort(asks, kind="stable")
-        marks = Scatter(buckets, _MARK)
+        marks = _Marks()
         for a, b in _whole_groups(asks[order], 1 << 13):
             k = order[a:b]
             ids, rank = np.unique(doc[k], return_inverse=True)
@@ -352,10 +398,9 @@ def _suffix_arrays(length: int, buckets: int):
             if longest:
                 found = np.fromiter(longest, np.int64, len(longest))
                 docs = ids[found >> np.int64(32)]
-                marks.add(_bucket_of(docs), docs, found & np.int64(0xFFFFFFFF), np.fromiter(longest.values(), np.int64, len(longest)),
+                marks.add(docs, found & np.int64(0xFFFFFFFF), np.fromiter(longest.values(), np.int64, len(longest)),
                           np.zeros(len(found)), np.full(len(found), -1), np.zeros(len(found)))
-        empty = pa.RecordBatch.from_pylist([], pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in _MARK)]))
-        return pa.Table.from_batches([_tagged(1, b) for b in (list(marks.flush()) or [empty])])
+        return marks.table(buckets)
     return run
 
 
@@ -395,7 +440,7 @@ def _merged(doc: np.ndarray, pos: np.ndarray, length: int) -> tuple[np.ndarray,
     return doc[first], pos[first], pos[last] + length - pos[first]
 
 
-def _fold_strings(key, doc, pos, length: int, marks: Scatter):
+def _fold_strings(key, doc, pos, length: int, marks: _Marks):
     """First place of each string, in order of its hash; spans of the later places go to ``marks``."""
     order = np.lexsort((pos, doc, key))
     key, doc, pos = key[order], doc[order], pos[order]
@@ -404,7 +449,7 @@ def _fold_strings(key, doc, pos, length: int, marks: Scatter):
     if later.any():
         where, start, size = _merged(doc[later], pos[later], length)
         none = np.zeros(len(where))
-        marks.add(_bucket_of(where), where, start, size, none, none - 1, none)
+        marks.add(where, start, size, none, none - 1, none)
     return key[starts], doc[starts], pos[starts]
 
 
@@ -412,7 +457,7 @@ def _strings(length: int, large: np.ndarray, buckets: int):
     """Hash and first place of the strings of large groups' contexts, once for each task and its first million strings
     (and so on); spans of the later places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent, marks, held = Scatter(buckets, _STRING), Scatter(buckets, _MARK), []
+        sent, marks, held = Scatter(buckets, _STRING), _Marks(), []
 
         def settle():
             if not held:
@@ -420,9 +465,8 @@ def _strings(length: int, large: np.ndarray, buckets: int):
             key, *place = _fold_strings(*(np.concatenate(x) for x in zip(*held)), length, marks)
             held.clear()
             sent.add(key, key, *place)
-            for kind, scatter in ((0, sent), (1, marks)):
-                for out in scatter.flush():
-                    yield _tagged(kind, out)
+            yield from (_tagged(0, out) for out in sent.flush())
+            yield from marks.flush(buckets)
 
         for _, whole in _picked(batches, large, True):
             *columns, content = whole
@@ -443,11 +487,10 @@ def _strings(length: int, large: np.ndarray, buckets: int):
 def _compare_strings(length: int, buckets: int):
     """Spans of the later places of the strings of one bucket; those that tasks found already pass through."""
     def run(table: pa.Table) -> pa.Table:
-        kinds = np.asarray(table["kind"])
-        out, marks = [table.filter(pa.array(kinds == 1))], Scatter(buckets, _MARK)
+        kinds, marks = np.asarray(table["kind"]), _Marks()
+        marks.add(*_unpacked(table.filter(pa.array(kinds == 1)), _MARK))
         _fold_strings(*_unpacked(table.filter(pa.array(kinds == 0)), _STRING), length, marks)
-        out += [pa.Table.from_batches([_tagged(1, b)]) for b in marks.flush()]
-        return pa.concat_tables([t.cast(out[0].schema) for t in out])
+        return marks.table(buckets)
     return run
 
 
@@ -535,11 +578,10 @@ def remove_repeats(docs: DataFrame, space: Workspace, length: int = 100, texts:
     spark, docs = docs.sparkSession, distinct_ids(narrowed(docs).where("doc_id IS NOT NULL"), space, own="own_id")
     buckets = bucket_count(spark)
     sent = docs.select("doc_id", "text").mapInArrow(_find_anchors(length, buckets), _PACKED)
-    marks = space.write(sent.groupBy("bucket").applyInArrow(_compare_contexts(split, buckets), _PACKED).select("bucket", *(f"c{i}" for i in range(6))), "marks")
-    marks = marks.select(F.lit(1).alias("kind"), "*")
+    marks = space.write(_by_document(sent.groupBy("bucket").applyInArrow(_compare_contexts(split, buckets), _PACKED), buckets), "marks")
     dealt = docs.mapInArrow(_with_bucket(buckets), "doc_id long, text string, own_id long, bucket int")
     contexts = space.write(dealt.groupBy("bucket").cogroup(marks.groupBy("bucket")).applyInArrow(_hand_out(length, buckets), Scatter.schema(_CONTEXT)), "contexts")
-    spans = marks.unionByName(_spans_of_contexts(contexts, length, buckets, split))
+    spans = marks.unionByName(_by_document(_spans_of_contexts(contexts, length, buckets, split), buckets))
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * texts
     return dealt.groupBy("bucket").cogroup(spans.groupBy("bucket")).applyInArrow(_cut_out(texts), result)
 

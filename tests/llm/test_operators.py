@@ -234,6 +234,22 @@ def test_no_large_group_of_contexts_meets_in_one_task(spark, workspace, monkeypa
     assert {r.doc_id: tuple(r)[1:] for r in got} == repeats_brute(texts_of(df), 100)
 
 
+def test_marks_leave_tasks_and_groups_in_few_rows():
+    buckets = 4096
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array([PASSAGE] * 300, pa.string())], ["doc_id", "text"])
+    sent = pa.Table.from_batches(list(suffix_dedup._find_anchors(100, buckets)(iter([batch]))))
+    marks = sent.filter(pa.array(np.asarray(sent["kind"]) == 1))
+    assert marks.num_rows == 1
+    found = suffix_dedup._compare_contexts(2000, buckets)(sent)
+    assert found.num_rows == 1
+    coarse = pa.Table.from_batches(list(suffix_dedup._dealt(buckets, 8)(iter(found.to_batches()))))
+    fine = pa.Table.from_batches(list(suffix_dedup._dealt(buckets, 1)(iter(coarse.to_batches()))))
+    docs = [np.frombuffer(x, np.int64) for x in fine["c0"].to_pylist()]
+    assert set(np.concatenate(docs).tolist()) == set(range(1, 300))
+    for bucket, held in zip(fine["bucket"].to_pylist(), docs):
+        assert set(((suffix_dedup._bucket_of(held) >> np.uint64(32)) % np.uint64(buckets)).tolist()) == {bucket}
+
+
 def test_members_still_apart_meet_once_whatever_bands_they_share(spark, workspace):
     lines = {1: "the cat sat on the mat by the door", 2: "the cat sat on the mat by the doors", 3: "an entirely different line of text", 4: "the cat sat on the mat by the floor"}
     texts = workspace.write(spark.createDataFrame(list(lines.items()), "line long, text string"), "texts")
