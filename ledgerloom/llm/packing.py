@@ -9,6 +9,7 @@ the end of a task they fill sequences whose lengths are powers of two, which nee
 """
 
 import functools
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.llm.common import narrowed, slices, utf8
 from ledgerloom.llm.token_counts import tokenizer
-from ledgerloom.llm.units import UnitTable, unit_ids, words
+from ledgerloom.llm.units import UnitTable, cut_finer, unit_ids, words
 
 Piece = tuple[int, int, int]  # document, start, length
 
@@ -83,16 +84,30 @@ def powers_of_two(pieces: list[Piece]) -> list[list[Piece]]:
 
 
 @functools.cache
-def _word_ids(path: str) -> UnitTable:
-    """Ids of words, kept for all tasks of a process."""
+def _word_ids(path: str) -> tuple[UnitTable, bool]:
+    """Ids of words, kept for all tasks of a process, and whether words are cut at punctuation too."""
     known = tokenizer(path)
-    return UnitTable(lambda units: unit_ids(known, units, " \x01 "), most=250_000)
+    return UnitTable(lambda units: unit_ids(known, units, " \x01 "), most=500_000), cut_finer(known)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
+    """Pieces of batches joined up to about ``limit`` text bytes, so that a word is looked up once for more rows, and the rows of each piece."""
+    held, size = [], 0
+    for batch in batches:
+        for piece in slices(batch, "text", limit):
+            if held and size + piece.nbytes > limit:
+                yield pa.concat_batches(held), [x.num_rows for x in held]
+                held, size = [], 0
+            held.append(piece)
+            size += piece.nbytes
+    if held:
+        yield pa.concat_batches(held), [x.num_rows for x in held]
 
 
 def _pack(path: str, end: int, capacity: int, window: int, linear: float, quadratic: float, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = np.array([end], "<u4")
-        table, schema = _word_ids(path), _schema(with_ids)
+        (table, finer), schema = _word_ids(path), _schema(with_ids)
         number = TaskContext.get().partitionId() << 33
         docs: list[tuple[object, np.ndarray]] = []
         pieces: list[Piece] = []
@@ -112,11 +127,12 @@ def _pack(path: str, end: int, capacity: int, window: int, linear: float, quadra
                 number += 1
             return pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in out], schema)
 
-        for batch in batches:
-            for piece in slices(batch, "text", 1 << 22):
-                packed, edges = table(*words(*utf8(piece.column("text"))))
-                ids = packed.view("<u4")
-                for name, a, b in zip(piece.column("doc_id").to_pylist(), (edges[:-1] // 4).tolist(), (edges[1:] // 4).tolist()):
+        for joined, counts in _gathered(batches, 1 << 22):
+            packed, edges = table(*words(*utf8(joined.column("text")), finer))
+            ids = packed.view("<u4")
+            found = zip(joined.column("doc_id").to_pylist(), (edges[:-1] // 4).tolist(), (edges[1:] // 4).tolist())
+            for count in counts:
+                for name, a, b in itertools.islice(found, count):
                     whole = np.concatenate([ids[a:b], tail])
                     pieces.append((len(docs), 0, len(whole)))
                     docs.append((name, whole))

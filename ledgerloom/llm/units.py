@@ -5,12 +5,20 @@ order. Units are cut in numpy and numbered by Arrow; a bounded table in each tas
 units seen so far gave. Fresh units are encoded many to a text, with a mark between them.
 """
 
+import itertools
+import json
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 
-from ledgerloom.llm.common import _SPACE
+from ledgerloom.llm.common import _SPACE, utf8
+
+#: ASCII punctuation but those that special tokens are written with.
+_MARKS = b"!\"#$%&'()*+,-./:;=?@[\\]^_`{}~"
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[list(range(0x41, 0x5B)) + list(range(0x61, 0x7B))] = True
+_MARK[list(_MARKS)] = True
 
 
 def strings(data: np.ndarray, offsets: np.ndarray) -> pa.LargeStringArray:
@@ -27,19 +35,40 @@ def cut_at(starts: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[p
     return strings(data, np.append(begins, len(data))), np.searchsorted(begins, offsets)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeStringArray, np.ndarray]:
-    """Runs of bytes other than ASCII white space, and where each row's runs begin."""
+def words(data: np.ndarray, offsets: np.ndarray, finer: bool = False) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """Runs of bytes other than ASCII white space, and where each row's runs begin.
+
+    With ``finer`` a run is also cut between an ASCII letter and a mark of ``_MARKS`` that follows it, and
+    between such a mark and a letter after it, but not after an apostrophe.
+    """
     keep = ~_SPACE[data]
     kept_before = np.concatenate(([0], np.cumsum(keep)))
     begin = keep.copy()
     begin[1:] &= ~keep[:-1]
     inner = offsets[:-1][np.diff(offsets) > 0]
     begin[inner] = keep[inner]
+    if finer:
+        letter, mark = _LETTER[data], _MARK[data]
+        begin[1:] |= letter[:-1] & mark[1:] | mark[:-1] & letter[1:] & (data[:-1] != 0x27)
     starts = np.flatnonzero(begin)
     return strings(data[keep], np.append(kept_before[starts], kept_before[-1])), np.searchsorted(starts, offsets)
 
 
-def unit_ids(known, units: list[str], mark: str, width: int = 64) -> list[bytes]:
+def cut_finer(known) -> bool:
+    """Whether the tokenizer ``known`` itself cuts wherever ``words`` does with ``finer``.
+
+    Its pieces must be contractions, runs of letters, single digits or runs of other marks, and what changes a text
+    before that must not reach over two ASCII characters; no added token may be cut.
+    """
+    spec = json.loads(known.to_str())
+    before, split = spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
+    before, split = before.get("normalizers", [before] if before else []), split.get("pretokenizers", [split])[0]
+    return all(x["type"] in ("NFC", "Lowercase") or x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"} for x in before) \
+        and split.get("pattern") == {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"} and (split["behavior"], split["invert"]) == ("Removed", True) \
+        and all(len(words(*utf8(pa.array([x["content"]])), finer=True)[0]) == 1 for x in spec["added_tokens"])
+
+
+def unit_ids(known, units: list[str], mark: str, width: int = 256) -> list[bytes]:
     """Little-endian 32-bit ids of each unit by the tokenizer ``known``.
 
     ``mark`` holds what separates two units: nothing may join across it, and it gives one id of its own.
@@ -67,11 +96,17 @@ def unit_ids(known, units: list[str], mark: str, width: int = 64) -> list[bytes]
 class UnitTable:
     """Packed results of units: ``resolve`` gives one bytes object for each of a list of units.
 
-    At most ``most`` units are remembered, and only those of at most ``longest`` characters, which bounds the memory.
+    At most ``most`` units are remembered, and only those of at most ``longest`` characters, which bounds the memory. They
+    stand in two halves: when the newer is full, the older is forgotten, so units that come again and again stay.
     """
 
     def __init__(self, resolve: Callable[[list[str]], list[bytes]], most: int = 1_000_000, longest: int = 64):
-        self.resolve, self.most, self.longest, self.known = resolve, most, longest, {}
+        self.resolve, self.most, self.longest, self.known, self.older = resolve, most, longest, {}, {}
+
+    def _remember(self, units: dict[str, bytes]) -> None:
+        if len(self.known) + len(units) > self.most // 2:
+            self.older, self.known = self.known, {}
+        self.known.update(itertools.islice(units.items(), self.most // 2))
 
     def __call__(self, units: pa.LargeStringArray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Results of all units, joined, and where each row's results begin in them."""
@@ -82,13 +117,11 @@ class UnitTable:
         found = list(map(self.known.get, distinct))
         missing = [i for i, x in enumerate(found) if x is None]
         if missing:
-            fresh = [distinct[i] for i in missing]
-            results = self.resolve(fresh)
-            for i, x in zip(missing, results):
-                found[i] = x
-            if len(self.known) + len(fresh) > self.most:
-                self.known.clear()
-            self.known.update((u, x) for u, x in zip(fresh, results) if len(u) <= self.longest)
+            fresh = [i for i in missing if distinct[i] not in self.older]
+            results = dict(zip(fresh, self.resolve([distinct[i] for i in fresh])))
+            for i in missing:
+                found[i] = results[i] if i in results else self.older[distinct[i]]
+            self._remember({distinct[i]: found[i] for i in missing if len(distinct[i]) <= self.longest})
         taken = pa.array(found, pa.large_binary()).take(numbered.indices)
         offsets = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:taken.offset + len(taken) + 1]
         held = np.frombuffer(taken.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
