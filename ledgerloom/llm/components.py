@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.sources.workspace import Workspace
 
+#: Links that one task writes in a round, at least.
+LINKS = 1 << 16
+
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over one batch of links: each node is linked with the smallest it is joined to."""
@@ -56,9 +59,12 @@ def components(links: DataFrame, space: Workspace) -> DataFrame:
     a, b = links.columns
     pairs = links.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("root")).where("node > root")
     pairs = space.write(pairs.mapInArrow(_forest, "node long, root long").distinct(), "forest")
+    mark = [F.count("*"), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))]
+    before = pairs.agg(*mark).first()
     while True:
-        after = space.write(_starred(_starred(pairs, True), False), "forest")
-        mark = [F.count("*"), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))]
-        if pairs.agg(*mark).first() == after.agg(*mark).first():
+        # a round writes a file for each LINKS links, not one for each shuffle partition
+        after = space.write(_starred(_starred(pairs, True), False).coalesce(max(1, before[0] // LINKS)), "forest")
+        found = after.agg(*mark).first()
+        if found == before:
             return after
-        pairs = after
+        pairs, before = after, found

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Scatter, any_bucket, bucket_count, group_starts, mix, narrowed, powers, prefix_sums, ragged, range_hash, slices, utf8
+from ledgerloom.llm.common import _BASE_INVERSE, Scatter, any_bucket, bucket_count, group_starts, mix, narrowed, powers, prefix_sums, ragged, range_hash, slices, utf8
 from ledgerloom.llm.components import components
 from ledgerloom.llm.ngram_join import _MEMBERS, _PACKED, _PAIRS, _PARITY, _SIGNATURES, _SIGNED, _group, _planes, _spread, parities
 from ledgerloom.sources.workspace import Workspace
@@ -61,10 +61,38 @@ def shingles(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int)
     first = np.searchsorted(lead, bounds)
     chars = np.diff(first)
     number = np.maximum(chars - size + 1, 1)
-    at = ragged(first[:-1], number)
-    lead = np.append(lead, len(held))
-    stop = np.minimum(at + size, np.repeat(first[1:], number))
-    return range_hash(prefix_sums(held), lead[at], lead[stop]), number
+    edge, sums = np.append(lead, len(held)), prefix_sums(held)
+    out = np.zeros(int(number.sum()), np.uint64)
+    if len(lead) >= size:
+        # every run of ``size`` characters, then those within a range
+        at_edge, begin = sums[edge], edge[:-size]
+        runs = mix((at_edge[size:] - at_edge[:-size]) * powers(len(sums), _BASE_INVERSE)[begin] + (edge[size:] - begin).astype(np.uint64))
+        out = runs[np.minimum(ragged(first[:-1], number), len(runs) - 1)]
+    short = np.flatnonzero(chars < size)
+    out[(np.cumsum(number) - number)[short]] = range_hash(sums, bounds[:-1][short], bounds[1:][short])
+    return out, number
+
+
+def sorted_runs(values: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """The values of each row in rising order; ``number`` tells how many each row has.
+
+    Rows of similar length are sorted together, in tables of at most about 65,536 cells or one row.
+    """
+    out = np.empty_like(values)
+    begin, by = np.cumsum(number) - number, np.argsort(number, kind="stable")
+    lengths = number[by]
+    a = int(np.searchsorted(lengths, 1))
+    while a < len(by):
+        # no row is less than half as long as another in its table
+        b = min(int(np.searchsorted(lengths, 2 * lengths[a])), a + max(1, (1 << 15) // int(lengths[a])))
+        place = begin[by[a:b], None] + np.arange(lengths[b - 1])
+        held = np.arange(lengths[b - 1]) < lengths[a:b, None]
+        table = np.full(held.shape, np.iinfo(values.dtype).max, values.dtype)
+        table[held] = values[place[held]]
+        table.sort(axis=1)
+        out[place[held]] = table[held]
+        a = b
+    return out
 
 
 def minima(hashes: np.ndarray, number: np.ndarray, bins: int) -> np.ndarray:
@@ -77,7 +105,7 @@ def minima(hashes: np.ndarray, number: np.ndarray, bins: int) -> np.ndarray:
     out = out.reshape(n, bins)
     twice = np.concatenate([out, out], axis=1)
     full = twice != np.iinfo(np.uint32).max
-    place = np.where(full, np.arange(2 * bins), 4 * bins)
+    place = np.where(full, np.arange(2 * bins, dtype=np.int16 if bins < 8192 else np.int64), 4 * bins)
     nearest = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :bins]
     borrowed = np.take_along_axis(twice, np.minimum(nearest, 2 * bins - 1), axis=1).astype(np.uint64)
     return mix(borrowed + ((nearest - np.arange(bins)).astype(np.uint64) << np.uint64(32)))
@@ -115,8 +143,8 @@ def _sign(size: int, rows: int, bands: int, buckets: int):
                     seen.clear()
                 seen.update(distinct[new].tolist())
                 first = first[new]
-                for a in range(0, len(first), 4096):
-                    k = first[a:a + 4096]
+                for a in range(0, len(first), 512):
+                    k = first[a:a + 512]
                     keys = band_keys(minima(*shingles(data, starts[k], ends[k], size), rows * bands), rows)
                     sent.add(keys.ravel(), (keys & np.uint64(0xFFFFFFFF)).ravel(), *_planes(np.repeat(name[k], bands)))
                 if sent.full:
@@ -157,9 +185,8 @@ def _sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each row, row after row, and the row of each."""
     data, offsets = utf8(column)
     values, number = shingles(data, offsets[:-1], offsets[1:], size)
-    owner = np.repeat(np.arange(len(number)), number)
-    order = np.lexsort((values, owner))
-    once = order[group_starts(owner[order], values[order])]
+    values, owner = sorted_runs(values, number), np.repeat(np.arange(len(number)), number)
+    once = group_starts(owner, values)
     return owner[once], values[once]
 
 
@@ -181,12 +208,13 @@ def _similar(size: int, percent: int):
             for piece in slices(batch, "text_b", 1 << 19):
                 sets = [_sets(piece.column(side), size) for side in ("text_a", "text_b")]
                 n = piece.num_rows
-                owner, values = (np.concatenate(x) for x in zip(*sets))
-                order = np.lexsort((values, owner))
-                owner, values = owner[order], values[order]
-                same = (owner[1:] == owner[:-1]) & (values[1:] == values[:-1])
-                shared = np.bincount(owner[1:][same], minlength=n)
-                union = np.bincount(owner, minlength=n) - shared
+                sizes = [np.bincount(owner, minlength=n) for owner, _ in sets]
+                begin = np.cumsum(sizes[0] + sizes[1]) - sizes[0] - sizes[1]
+                both = np.empty(sum(len(values) for _, values in sets), np.uint64)
+                both[ragged(begin, sizes[0])], both[ragged(begin + sizes[0], sizes[1])] = sets[0][1], sets[1][1]
+                both, owner = sorted_runs(both, sizes[0] + sizes[1]), np.repeat(np.arange(n), sizes[0] + sizes[1])
+                union = np.bincount(owner[group_starts(owner, both)], minlength=n)
+                shared = sizes[0] + sizes[1] - union
                 linked = pa.array(100 * shared >= percent * union)
                 yield pa.RecordBatch.from_arrays([piece.column("a").filter(linked), piece.column("b").filter(linked)], ["a", "b"])
     return run

@@ -114,6 +114,39 @@ def test_line_dedup_links_members_that_are_no_neighbours(spark, workspace, monke
         assert {d: n for d, n in found.items() if n} == removed
 
 
+def test_pairs_are_compared_by_sorted_rows(monkeypatch):
+    """Rows of very different length, repeated values and the largest value, in tables no larger than twice their rows."""
+    rng, cells, full = np.random.default_rng(4), [], np.full
+    number = np.array([0, 1, 40_000, 0, *rng.integers(0, 90, 500), 3, 70_000])
+    values = rng.integers(0, 50, number.sum()).astype(np.uint64)
+    values[values == 7] = np.iinfo(np.uint64).max
+    monkeypatch.setattr(np, "full", lambda shape, *more: cells.append(shape) or full(shape, *more))
+    found = line_dedup.sorted_runs(values, number)
+    edges = np.concatenate(([0], np.cumsum(number)))
+    assert all((found[a:b] == np.sort(values[a:b])).all() for a, b in zip(edges, edges[1:]))
+    assert sum(a * b for a, b in cells) <= 2 * len(values) and max(a * b for a, b in cells) <= max(1 << 16, number.max())
+    lines = ["", "a", "abcdefgh", "ab" * 40, "ab" * 39 + "x", "h\u00e9 \u6f22\u5b57 " * 9, PASSAGE, PASSAGE + "!", PASSAGE[:40]]
+    pairs = [(x, y) for x in lines for y in lines]
+    batch = pa.RecordBatch.from_pylist([{"a": i, "b": -i, "text_a": x, "text_b": y} for i, (x, y) in enumerate(pairs)])
+    grams = {x: {x[i:i + 8] for i in range(max(1, len(x) - 7))} for x in lines}
+    links = [i for i, (x, y) in enumerate(pairs) if 100 * len(grams[x] & grams[y]) >= 80 * len(grams[x] | grams[y])]
+    assert [i for out in line_dedup._similar(8, 80)(iter([batch])) for i in out["a"].to_pylist()] == links
+
+
+def test_rounds_of_components_write_few_files(spark, workspace):
+    rows = [(i, i + 1) for i in range(300) if i % 10 < 9]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        near = components.components(spark.createDataFrame(rows, "a long, b long").repartition(8), workspace)
+        assert {r.node: r.root for r in near.collect()} == {i: i - i % 10 for i in range(300) if i % 10}
+        assert len(near.inputFiles()) <= 2
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def test_lines_of_a_long_text_are_cut_in_linear_time(spark, workspace):
     """A text of 200,000 lines that all repeat those of another."""
     lines = "\n".join(f"line number {i} of this text" for i in range(200_000))
