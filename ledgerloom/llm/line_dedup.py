@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import _BASE_INVERSE, Scatter, any_bucket, bucket_count, group_starts, mix, narrowed, powers, prefix_sums, ragged, range_hash, slices, utf8
 from ledgerloom.llm.components import components
 from ledgerloom.llm.ngram_join import _MEMBERS, _PACKED, _PAIRS, _PARITY, _SIGNATURES, _SIGNED, _group, _planes, _spread, parities
+from ledgerloom.llm.units import strings
 from ledgerloom.sources.workspace import Workspace
 
 _LINES = 5
@@ -177,8 +178,9 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, offsets = utf8(_lowered(piece.column("text")))
             _, _, starts, ends = split_lines(data, offsets)
             name, first = np.unique(range_hash(prefix_sums(data), starts, ends).view(np.int64), return_index=True)
-            k = [data[a:b].tobytes().decode() for a, b in zip(starts[first], ends[first])]
-            yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(k, pa.string())], ["line", "text"])
+            starts, lengths = starts[first], (ends - starts)[first]
+            k = strings(data[ragged(starts, lengths)], np.concatenate(([0], np.cumsum(lengths))))
+            yield pa.RecordBatch.from_arrays([pa.array(name), k.cast(pa.string())], ["line", "text"])
 
 
 def _sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
