@@ -4,8 +4,9 @@ Hashes are 64-bit: prefix sums of a polynomial modulo 2**64, then a mixing step,
 byte range costs one subtraction and one product.
 """
 
+import ctypes
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,16 +54,38 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
-@functools.cache
-def _powers(size: int, base: int) -> np.ndarray:
-    out = np.full(size, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(length: int, base: int = _BASE) -> np.ndarray:
-    """``base`` to the powers from 0 on, at least ``length`` of them."""
-    return _powers(1 << max(16, int(length).bit_length()), base)
+    """``base`` to the powers from 0 on, at least ``length`` of them; the longest made is kept until a task ends (see ``tidy``)."""
+    held = _POWERS.get(base, ())
+    if len(held) < max(1 << 16, length):
+        held = np.full(1 << max(16, int(length).bit_length()), base, np.uint64)
+        held[0] = 1
+        held = _POWERS[base] = np.multiply.accumulate(held)
+    return held
+
+
+def give_back() -> None:
+    """Return to the system what this process no longer uses; allocators keep it otherwise."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for the batches of a task, with ``give_back`` after it.
+
+    Workers are reused, and those of an executor stand beside its heap: what one step has held must not stay through the next.
+    """
+    @functools.wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+    return tidied
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:

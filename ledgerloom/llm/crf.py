@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import literal_frame
-from ledgerloom.llm.common import narrowed, slices, utf8
+from ledgerloom.llm.common import narrowed, slices, tidy, utf8
 from ledgerloom.llm.lines import WIDTH, line_tables
 
 
@@ -109,6 +109,7 @@ def train(features: np.ndarray, first: np.ndarray, labels: np.ndarray, rounds: i
     return Chain(values[:size].copy(), values[size:].reshape(2, 2).copy())
 
 
+@tidy
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, "text"):

@@ -4,13 +4,14 @@ Lines are lower-cased and cut into character shingles. One-permutation hashing g
 line ``rows * bands`` minima (each shingle falls into one bin; empty bins borrow from the next full
 one), and lines that agree on all rows of a band are candidates: at similarity 0.8 a pair is missed in
 all 20 bands of 6 rows with a chance of 0.2 percent. Candidates of a band are compared with the
-least of them and with their neighbour in order of hash, by exact Jaccard similarity: a number of
-pairs in proportion to the band. That order is the same in all bands, so this alone does not find every link:
+least of them and with their neighbour in order of hash, by exact Jaccard similarity, and in a band of up to ``ngram_join.WHOLE``
+lines each with each: a number of pairs in proportion to the band. That order is the same in all bands, so this alone does not find every link:
 members still in different components after it meet each other, under a bound that no similar pair exceeds
 (sizes, and which bins of the domain hold an odd number of shingles), and the pairs within it are compared too. Union-find
 over tasks joins the links, and of each component the occurrence in the smallest document, first line, stays.
 
-Line texts move only for candidates; repeated lines are sent once by each task.
+Line texts move only for candidates. Each task, and then each bucket, keeps a line's first place only: its later places are
+removed whatever else the line is linked with, so they meet nothing but their documents.
 """
 
 from collections.abc import Iterator
@@ -20,15 +21,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import _BASE_INVERSE, Scatter, any_bucket, bucket_count, group_starts, mix, narrowed, powers, prefix_sums, ragged, range_hash, slices, utf8
+from ledgerloom.llm.common import _BASE_INVERSE, Scatter, any_bucket, bucket_count, gathered, group_starts, mix, narrowed, powers, prefix_sums, ragged, range_hash, slices, tidy, utf8
 from ledgerloom.llm.components import components
-from ledgerloom.llm.ngram_join import _MEMBERS, _PACKED, _PAIRS, _PARITY, _SIGNATURES, _SIGNED, _group, _planes, _spread, parities
+from ledgerloom.llm.ngram_join import _MEMBERS, _PACKED, _PAIRS, _PARITY, _SIGNATURES, _SIGNED, _group, _planes, _row, _spread, parities
 from ledgerloom.llm.units import strings
 from ledgerloom.sources.workspace import Workspace
 
-_LINES = 5
+_LINES, _FIRST = 5, 6
+_PLACE = {"line": np.int64, "doc": np.int64, "number": np.int64}
 #: Up to this many needed line hashes (8 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_LINES = 1_000_000
+#: Places of lines that a task holds before it keeps the first of each line only.
+HELD = 1 << 18
+#: Lines that a task remembers, to send each once.
+SEEN = 500_000
 #: Members of a band that one task compares with as many others.
 CELL = 1024
 
@@ -120,13 +126,47 @@ def band_keys(values: np.ndarray, rows: int) -> np.ndarray:
     return mix((parts * powers(rows)[:rows]).sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def first_places(line: np.ndarray, doc: np.ndarray, number: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """Each line with its first place, by document and number, and the documents and numbers of all other places."""
+    order = np.argsort(line)
+    line, doc, number = line[order], doc[order], number[order]
+    starts = group_starts(line)
+    of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(line))))
+    least = np.minimum.reduceat(doc, starts)
+    there = doc == least[of]
+    lowest = np.minimum.reduceat(np.where(there, number, np.iinfo(np.int64).max), starts)
+    later = ~there | (number != lowest[of])
+    return (line[starts], least, lowest), (doc[later], number[later])
+
+
+def _fresh(names: np.ndarray, seen: set[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct names that are not in ``seen``, which gets them and is cleared when it is large, and where each first stands."""
+    distinct, first = np.unique(names, return_index=True)
+    new = np.array([x not in seen for x in distinct.tolist()], bool)
+    if len(seen) > SEEN:
+        seen.clear()
+    seen.update(distinct[new].tolist())
+    return distinct[new], first[new]
+
+
 def _sign(size: int, rows: int, bands: int, buckets: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent, seen = Scatter(buckets, _SIGNED), set()
-
-        def flush():
-            for out in sent.flush():
-                yield pa.RecordBatch.from_arrays([pa.array([_SIGNATURES] * out.num_rows, pa.int32()), *out.columns], ["kind", "bucket", "c0", "c1", "c2"])
+        sent, seen, held = Scatter(buckets, _SIGNED), set(), []
+
+        def dealt(kind: int, packed: Scatter):
+            for out in packed.flush():
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * out.num_rows, pa.int32()), *out.columns], ["kind", "bucket", "c0", "c1", "c2"])
+
+        def places():
+            if held:
+                through = any_bucket(held[0][1], buckets)
+                first, gone = first_places(*(np.concatenate(x) for x in zip(*held)))
+                held.clear()
+                packed = Scatter(buckets, _PLACE)
+                packed.add(mix(first[0]), *first)
+                yield from dealt(_FIRST, packed)
+                yield _row(_LINES, through, *gone)
 
         for batch in batches:
             for piece in slices(batch, "text"):
@@ -136,30 +176,57 @@ def _sign(size: int, rows: int, bands: int, buckets: int):
                 if not len(owner):
                     continue
                 name = range_hash(prefix_sums(data), starts, ends).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([_LINES], pa.int32()), pa.array([any_bucket(ids[owner], buckets)], pa.int32()),
-                                                  *(pa.array([x.tobytes()], pa.binary()) for x in (name, ids[owner], number.astype(np.int64)))], ["kind", "bucket", "c0", "c1", "c2"])
-                distinct, first = np.unique(name, return_index=True)
-                new = np.array([x not in seen for x in distinct.tolist()], bool)
-                if len(seen) > 500_000:
-                    seen.clear()
-                seen.update(distinct[new].tolist())
-                first = first[new]
+                held.append((name, ids[owner], number))
+                if sum(len(x[0]) for x in held) >= HELD:
+                    yield from places()
+                _, first = _fresh(name, seen)
                 for a in range(0, len(first), 512):
                     k = first[a:a + 512]
                     keys = band_keys(minima(*shingles(data, starts[k], ends[k], size), rows * bands), rows)
                     sent.add(keys.ravel(), (keys & np.uint64(0xFFFFFFFF)).ravel(), *_planes(np.repeat(name[k], bands)))
                 if sent.full:
-                    yield from flush()
-        yield from flush()
+                    yield from dealt(_SIGNATURES, sent)
+        yield from dealt(_SIGNATURES, sent)
+        yield from places()
+    return run
+
+
+def _meet():
+    """Pairs and members of one bucket's signatures; first and later places of its lines."""
+    grouped = _group(chain=True)
+
+    def run(table: pa.Table) -> pa.Table:
+        here = np.asarray(table["kind"]) == _FIRST
+        out = [grouped(table.filter(pa.array(~here)))]
+        if here.any():
+            bucket = table["bucket"][0].as_py()
+            first, gone = first_places(*gathered(table.filter(pa.array(here)).rename_columns(["kind", "bucket", *_PLACE]), _PLACE))
+            out.append(pa.Table.from_batches([_row(_FIRST, bucket, *first)]))
+            if len(gone[0]):
+                out.append(pa.Table.from_batches([_row(_LINES, bucket, *gone)]))
+        return pa.concat_tables([t.cast(out[0].schema) for t in out])
     return run
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for cells in zip(*(batch.column(c).to_pylist() for c in ("c0", "c1", "c2"))):
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, np.int64)) for x in cells], ["line", "doc_id", "number"])
 
 
+def _gone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers of removed lines, a list for each document of a packed row."""
+    for batch in batches:
+        for cells in zip(batch.column("c0").to_pylist(), batch.column("c1").to_pylist()):
+            doc, number = (np.frombuffer(x, np.int64) for x in cells)
+            order = np.argsort(doc, kind="stable")
+            doc, number = doc[order], number[order]
+            starts = group_starts(doc)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(doc)), pa.int32()), pa.array(number))
+            yield pa.RecordBatch.from_arrays([pa.array(doc[starts]), lists], ["doc_id", "numbers"])
+
+
+@tidy
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without their removed lines, in time linear in their length."""
     for batch in batches:
@@ -171,13 +238,15 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(kept, pa.string())], ["doc_id", "n_lines", "n_removed", "kept_text"])
 
 
+@tidy
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct lines of each slice with their hash."""
+    """Distinct lines of a task, as far as it remembers them, with their hash."""
+    seen: set[int] = set()
     for batch in batches:
         for piece in slices(batch, "text"):
             data, offsets = utf8(_lowered(piece.column("text")))
             _, _, starts, ends = split_lines(data, offsets)
-            name, first = np.unique(range_hash(prefix_sums(data), starts, ends).view(np.int64), return_index=True)
+            name, first = _fresh(range_hash(prefix_sums(data), starts, ends).view(np.int64), seen)
             starts, lengths = starts[first], (ends - starts)[first]
             k = strings(data[ragged(starts, lengths)], np.concatenate(([0], np.cumsum(lengths))))
             yield pa.RecordBatch.from_arrays([pa.array(name), k.cast(pa.string())], ["line", "text"])
@@ -192,8 +261,17 @@ def _sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return owner[once], values[once]
 
 
+def _sets_of(ids: pa.Array, column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and values of the sets of each row, made once for the rows of one id."""
+    _, first, of = np.unique(np.asarray(ids), return_index=True, return_inverse=True)
+    owner, values = _sets(column.take(pa.array(first)), size)
+    sizes = np.bincount(owner, minlength=len(first))
+    return sizes[of], values[ragged((np.cumsum(sizes) - sizes)[of], sizes[of])]
+
+
 def _bounds(size: int):
     """Set size and parities of each line."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text", 1 << 19):
@@ -205,15 +283,15 @@ def _bounds(size: int):
 
 
 def _similar(size: int, percent: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text_b", 1 << 19):
-                sets = [_sets(piece.column(side), size) for side in ("text_a", "text_b")]
+                sizes, sets = zip(*(_sets_of(piece.column(side), piece.column(f"text_{side}"), size) for side in ("a", "b")))
                 n = piece.num_rows
-                sizes = [np.bincount(owner, minlength=n) for owner, _ in sets]
                 begin = np.cumsum(sizes[0] + sizes[1]) - sizes[0] - sizes[1]
-                both = np.empty(sum(len(values) for _, values in sets), np.uint64)
-                both[ragged(begin, sizes[0])], both[ragged(begin + sizes[0], sizes[1])] = sets[0][1], sets[1][1]
+                both = np.empty(sum(map(len, sets)), np.uint64)
+                both[ragged(begin, sizes[0])], both[ragged(begin + sizes[0], sizes[1])] = sets
                 both, owner = sorted_runs(both, sizes[0] + sizes[1]), np.repeat(np.arange(n), sizes[0] + sizes[1])
                 union = np.bincount(owner[group_starts(owner, both)], minlength=n)
                 shared = sizes[0] + sizes[1] - union
@@ -263,6 +341,15 @@ def _still_apart(members: DataFrame, near: DataFrame, texts: DataFrame, space: W
         .select(F.least("x.line", "y.line").alias("a"), F.greatest("x.line", "y.line").alias("b"))
 
 
+def _joined(near: DataFrame, more: DataFrame, space: Workspace) -> DataFrame:
+    """Components of the links of ``near`` and ``more``, found from the roots that ``more`` joins alone."""
+    for side in ("a", "b"):
+        more = more.join(near.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+    found = components(more.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")), space)
+    moved = near.join(found.select(F.col("node").alias("root"), F.col("root").alias("least")), "root", "left").select("node", F.coalesce("least", "root").alias("root"))
+    return space.write(moved.unionByName(found), "forest")
+
+
 def drop_near_lines(docs: DataFrame, space: Workspace, size: int = 8, percent: int = 80, rows: int = 6, bands: int = 20) -> DataFrame:
     """Each document without the lines that repeat an earlier one, exactly or nearly.
 
@@ -276,7 +363,7 @@ def drop_near_lines(docs: DataFrame, space: Workspace, size: int = 8, percent: i
     """
     docs = narrowed(docs).where("doc_id IS NOT NULL")
     buckets = bucket_count(docs.sparkSession)
-    found = space.write(docs.mapInArrow(_sign(size, rows, bands, buckets), _PACKED).groupBy("bucket").applyInArrow(_group(chain=True), _PACKED), "lines")
+    found = space.write(docs.mapInArrow(_sign(size, rows, bands, buckets), _PACKED).groupBy("bucket").applyInArrow(_meet(), _PACKED), "lines")
 
     def part(kind: int) -> DataFrame:
         return found.where(F.col("kind") == kind).mapInArrow(_spread, "a long, b long")
@@ -289,12 +376,17 @@ def drop_near_lines(docs: DataFrame, space: Workspace, size: int = 8, percent: i
     members = part(_MEMBERS).distinct().withColumnsRenamed({"a": "name", "b": "line"})
     more = space.write(_verified(texts, _still_apart(members, near, texts, space, size, percent), size, percent), "links")
     if not more.isEmpty():
-        near = components(near.toDF("a", "b").unionByName(more), space)
+        near = _joined(near, more, space)
 
-    lines = found.where(F.col("kind") == _LINES).mapInArrow(_occurrences, "line long, doc_id long, number long")
-    lines = lines.join(near.withColumnRenamed("node", "line"), "line", "left").select(F.coalesce("root", "line").alias("root"), "doc_id", "number")
+    # first places of linked lines; the others have nothing but their own later places
+    few = near.count() <= BROADCAST_LINES
+    linked = near.unionByName(near.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "line")
+    places = found.where(F.col("kind") == _FIRST).mapInArrow(_places, "line long, doc_id long, number long")
+    places = space.write(places.join(F.broadcast(linked) if few else linked, "line").select("root", "doc_id", "number"), "places")
     place = F.struct("doc_id", "number")
-    first = lines.groupBy("root").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("root", "first")
-    removed = lines.join(first, "root").where(place != F.col("first")).groupBy("doc_id").agg(F.collect_set("number").alias("removed"))
-    # the text is dealt once; what is removed joins it
-    return docs.join(removed, "doc_id", "left").mapInArrow(_without, "doc_id long, n_lines long, n_removed long, kept_text string")
+    first = places.groupBy("root").agg(F.min(place).alias("first"))
+    later = places.join(F.broadcast(first) if few else first, "root").where(place != F.col("first")).select("doc_id", F.array("number").alias("numbers"))
+    gone = found.where(F.col("kind") == _LINES).mapInArrow(_gone, "doc_id long, numbers array<long>")
+    removed = gone.unionByName(later).groupBy("doc_id").agg(F.flatten(F.collect_list("numbers")).alias("removed"))
+    # the text is dealt once, unsorted; what is removed joins it
+    return docs.join(removed.hint("shuffle_hash"), "doc_id", "left").mapInArrow(_without, "doc_id long, n_lines long, n_removed long, kept_text string")

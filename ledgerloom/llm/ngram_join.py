@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import (
-    Scatter, any_bucket, bucket_count, gathered, group_starts, mix, narrowed, ragged, range_hash, prefix_sums, slices, utf8, window_hash, word_spans,
+    Scatter, any_bucket, bucket_count, gathered, group_starts, mix, narrowed, ragged, range_hash, prefix_sums, slices, tidy, utf8, window_hash, word_spans,
 )
 from ledgerloom.llm.components import components
 from ledgerloom.sources.workspace import Workspace
@@ -40,6 +40,8 @@ _PACKED = "kind int, bucket int, c0 binary, c1 binary, c2 binary"
 _SETS, _SIGNATURES, _PAIRS, _MEMBERS, _LINKS = range(5)
 #: Sets that a task remembers to tell their copies without signatures.
 SEEN = 200_000
+#: Groups of up to so many members are compared each with each at once where neighbours are compared too.
+WHOLE = 8
 #: Bins whose parity bounds the difference of two sets from below, in words of 64 bits.
 _PARITY = [f"parity{i}" for i in range(8)]
 
@@ -129,6 +131,7 @@ def _among(values: np.ndarray, found: np.ndarray) -> np.ndarray:
 
 def _often(width: int, share: float):
     """Shingles that a share of a task's documents hold, with their number, chunk by chunk."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, docs = [], 0
 
@@ -183,6 +186,7 @@ def _row(kind: int, bucket: int, *arrays: np.ndarray) -> pa.RecordBatch:
 
 
 def _sign(width: int, percent: int, common: np.ndarray, buckets: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent, seen = Scatter(buckets, _SIGNED, 1 << 21), {}
 
@@ -218,7 +222,8 @@ def _sign(width: int, percent: int, common: np.ndarray, buckets: int):
 def _group(chain: bool = False):
     """Pairs with the least member and, for larger groups, the members, of one bucket's signatures.
 
-    With ``chain`` there are also pairs of neighbours.
+    With ``chain`` there are also pairs of neighbours, and a group of up to ``WHOLE`` has all its pairs instead: they cost less
+    than its members would.
     """
     def run(table: pa.Table) -> pa.Table:
         kinds = np.asarray(table["kind"])
@@ -245,12 +250,20 @@ def _group(chain: bool = False):
                 first = first[sizes[first] > 1]
                 names, cuts, sizes = names[first].astype(np.int64), cuts[first], sizes[first]
                 others = doc[ragged(cuts + 1, sizes - 1)]
-                pairs = np.unique(np.stack([np.repeat(doc[cuts], sizes - 1), others]), axis=1)
-                out.append(pa.Table.from_batches([_row(_PAIRS, bucket, *pairs)]))
+                pairs = [(np.repeat(doc[cuts], sizes - 1), others)]
                 large = sizes > 2
                 if chain:
+                    large = sizes > WHOLE
                     follow = ragged((cuts + 2)[large], (sizes - 2)[large])
-                    out.append(pa.Table.from_batches([_row(_PAIRS, bucket, doc[follow - 1], doc[follow])]))
+                    pairs.append((doc[follow - 1], doc[follow]))
+                    inner = np.where(sizes <= WHOLE, sizes - 2, 0)
+                    at = ragged(cuts + 1, inner)
+                    rest = np.repeat(cuts + sizes, inner) - at - 1
+                    pairs.append((doc[np.repeat(at, rest)], doc[ragged(at + 1, rest)]))
+                a, b = (np.concatenate(x) for x in zip(*pairs))
+                order = np.lexsort((b, a))
+                once = order[group_starts(a[order], b[order])]
+                out.append(pa.Table.from_batches([_row(_PAIRS, bucket, a[once], b[once])]))
                 out.append(pa.Table.from_batches([_row(_MEMBERS, bucket, np.repeat(names[large], sizes[large]), doc[ragged(cuts[large], sizes[large])])]))
         return pa.concat_tables([t.cast(out[0].schema) for t in out])
     return run
@@ -270,6 +283,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _similar(width: int, percent: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text_a", 1 << 19):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from ledgerloom.llm.common import narrowed, slices, utf8
+from ledgerloom.llm.common import narrowed, slices, tidy, utf8
 from ledgerloom.llm.token_counts import tokenizer
 from ledgerloom.llm.units import UnitTable, cut_finer, unit_ids, words
 
@@ -105,6 +105,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[p
 
 
 def _pack(path: str, end: int, capacity: int, window: int, linear: float, quadratic: float, with_ids: bool):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = np.array([end], "<u4")
         (table, finer), schema = _word_ids(path), _schema(with_ids)

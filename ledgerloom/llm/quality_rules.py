@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgerloom.llm.common import narrowed, slices, utf8
+from ledgerloom.llm.common import narrowed, slices, tidy, utf8
 from ledgerloom.llm.crf import Chain, fit, labelled_sample, weighted_share
 from ledgerloom.llm.lines import line_tables
 
@@ -16,6 +16,7 @@ _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def _judge(chain: Chain | None, least_words: int, most_repeated: int, least_content: float):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import (
-    Scatter, any_bucket, bucket_count, gathered, group_starts, mix, narrowed, prefix_sums, ragged, range_hash, slices, utf8,
+    Scatter, any_bucket, bucket_count, gathered, group_starts, mix, narrowed, prefix_sums, ragged, range_hash, slices, tidy, utf8,
 )
 from ledgerloom.llm.keys import distinct_ids
 from ledgerloom.sources.workspace import Workspace
@@ -159,6 +159,7 @@ def _by_document(found: DataFrame, buckets: int) -> DataFrame:
 
 
 def _find_anchors(length: int, buckets: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent, marks, held = Scatter(buckets, _ANCHOR), _Marks(), []
 
@@ -456,6 +457,7 @@ def _fold_strings(key, doc, pos, length: int, marks: _Marks):
 def _strings(length: int, large: np.ndarray, buckets: int):
     """Hash and first place of the strings of large groups' contexts, once for each task and its first million strings
     (and so on); spans of the later places."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent, marks, held = Scatter(buckets, _STRING), _Marks(), []
 

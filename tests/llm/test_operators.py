@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+import types
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerloom.llm import (
-    ann, components, langid, line_dedup, ngram_join, packing, quality_crf, quality_rules, sentencepiece_bpe, suffix_dedup, token_counts,
+    ann, common, components, langid, line_dedup, ngram_join, packing, quality_crf, quality_rules, sentencepiece_bpe, suffix_dedup, token_counts,
 )
 from ledgerloom.llm.common import utf8
 from ledgerloom.llm.units import UnitTable, cut_finer, strings, unit_ids, words
@@ -168,6 +169,62 @@ def test_rows_that_pass_through_are_spread_over_buckets(spark, docs):
         assert sum(sizes) >= 30 and max(sizes) <= 6
 
 
+def packed(found, kind):
+    """Columns of the packed rows of one kind."""
+    rows = [r for batch in found for r in batch.to_pylist() if r["kind"] == kind]
+    return list(zip(*(np.concatenate([np.frombuffer(r[c], np.int64) for r in rows] or [np.empty(0, np.int64)]).tolist()
+                      for c in ("c0", "c1", "c2") if not rows or rows[0][c] is not None)))
+
+
+def test_a_line_leaves_a_task_and_its_bucket_with_its_first_place():
+    """A line in all documents, twice in some: one place to compare, the others removed at once, in any order of rows."""
+    texts = [(d, f"the very common line\nown line number {d} of all" + "\nthe very common line" * (d % 2)) for d in (7, 3, 9, 4, 3)]
+    batches = [pa.RecordBatch.from_pylist([{"doc_id": d, "text": x}]) for d, x in texts]
+    signed = list(line_dedup._sign(8, 6, 20, 1)(iter(batches)))
+    first, gone = packed(signed, line_dedup._FIRST), packed(signed, line_dedup._LINES)
+    assert sorted(x[1:] for x in first) == [(3, 0), (3, 1), (4, 1), (7, 1), (9, 1)]
+    # the rows of document 3 stand at one place
+    assert sorted(gone) == [(3, 2), (3, 2), (4, 0), (7, 0), (7, 2), (9, 0), (9, 2)]
+    met = line_dedup._meet()(pa.concat_tables([pa.Table.from_batches([b]) for b in 2 * signed])).to_batches()
+    assert sorted(packed(met, line_dedup._FIRST)) == sorted(first) and sorted(packed(met, line_dedup._LINES)) == sorted(2 * gone)
+
+
+def test_small_bands_are_compared_at_once():
+    """All pairs of a band of up to eight lines, so none of them has to meet again; larger ones send their members."""
+    sizes = (2, 4, 8, 9)
+    sig, lines = np.repeat(np.arange(4), sizes).astype(np.uint32), np.arange(sum(sizes)) + (1 << 33)
+    planes = [x.astype(t) for x, t in zip(ngram_join._planes(lines), (np.uint32, np.int32))]
+    found = ngram_join._group(chain=True)(pa.Table.from_batches([ngram_join._row(ngram_join._SIGNATURES, 0, sig, *planes)])).to_batches()
+    bands = np.split(lines, np.cumsum(sizes)[:-1])
+    pairs = {(a, b) for band in bands[:3] for a in band.tolist() for b in band.tolist() if a < b}
+    pairs |= {(bands[3][0], b) for b in bands[3][1:].tolist()} | set(zip(bands[3][1:].tolist(), bands[3][2:].tolist()))
+    got = packed(found, ngram_join._PAIRS)
+    assert len(got) == len(pairs) and set(got) == pairs
+    assert sorted(x[1] for x in packed(found, ngram_join._MEMBERS)) == bands[3].tolist()
+
+
+def test_more_links_join_components_through_their_roots(spark, workspace):
+    near = components.components(spark.createDataFrame([(1, 5), (5, 9), (2, 6), (3, 7)], "a long, b long"), workspace)
+    for more in ([(9, 6)], [(6, 7), (4, 9), (10, 11)], [(1, 2), (2, 3)]):
+        whole = components.components(spark.createDataFrame([(1, 5), (5, 9), (2, 6), (3, 7), *more], "a long, b long"), workspace)
+        found = line_dedup._joined(near, spark.createDataFrame(more, "a long, b long"), workspace)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_workers_keep_little_after_a_task(monkeypatch):
+    """Each scan of texts gives memory back when its task ends; tables of powers are not kept for each length."""
+    given, real = [], common.give_back
+    monkeypatch.setattr(common, "give_back", lambda: (given.append(sum(x.nbytes for x in common._POWERS.values())), real()))
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: types.SimpleNamespace(partitionId=lambda: 0))
+    batches = [pa.RecordBatch.from_pylist([{"doc_id": i, "text": " ".join(f"word{i * j % 977}" for j in range(n))}]) for i, n in enumerate((10, 9_000, 20_000, 40_000))]
+    scans = (quality_rules._judge(None, 20, 30, 0.5), line_dedup._sign(8, 6, 20, 4), line_dedup._texts, ngram_join._often(5, 0.002),
+             ngram_join._sign(5, 80, np.empty(0, np.uint64), 4), suffix_dedup._find_anchors(100, 4), packing._pack(WORD_BPE, 2, 4096, 1 << 20, 1.0, 1 / 2048, False))
+    for i, scan in enumerate(scans, 1):
+        assert list(scan(iter(batches)))
+        assert len(given) == i and not common._POWERS
+    assert 0 < max(given) <= 2 * 8 << 19
+
+
 # n-gram join
 
 def set_of(text, lower=str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")):
